@@ -58,13 +58,14 @@ def ingest_changed(stream: DataFrame, target: str, state: str, key: str, content
     kept as a partition and overwritten on a retry, so a replayed batch does not append twice.
     """
     digest = F.sha2(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in content]), 256)
-    schema = T.StructType([*stream.schema.fields, T.StructField("digest", T.StringType())])
+    stored = [T.StructField("digest", T.StringType()), T.StructField("batch", T.LongType())]
+    schema = T.StructType([*stream.schema.fields, *stored])
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         hashed = batch.withColumn("digest", digest).dropDuplicates([key, "digest"])
         if batch_id > 0:
-            known = spark.read.schema(schema.add("batch", "bigint")).parquet(target).filter(F.col("batch") < batch_id)
+            known = spark.read.schema(schema).parquet(target).filter(F.col("batch") < batch_id)
             hashed = hashed.join(known.select(key, "digest"), [key, "digest"], "left_anti")
         hashed.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
