@@ -111,20 +111,21 @@ def semantic_chunks(
     """
     split = docs.select(key, sentences(F.col(text)).alias("sentences"))
     last = F.size("sentences")
-    windows = F.transform(
-        F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-        lambda i: F.concat_ws(
-            " ",
-            F.slice(
-                "sentences",
-                F.greatest(i - buffer, F.lit(1)),
-                F.least(i + buffer, last) - F.greatest(i - buffer, F.lit(1)) + 1,
-            ),
-        ),
-    )
-    paired = split.filter(last > 0).select(key, F.arrays_zip("sentences", windows.alias("windows")).alias("pairs"))
-    grouped = paired.select(key, F.posexplode("pairs").alias("position", "pair")).select(
-        key, "position", F.col("pair.sentences").alias("sentence"), F.col("pair.windows").alias("window")
+
+    def with_neighbours(i):
+        start = F.greatest(i - buffer, F.lit(1))
+        around = F.slice("sentences", start, F.least(i + buffer, last) - start + 1)
+        return F.struct(
+            F.try_element_at("sentences", i).alias("sentence"), F.concat_ws(" ", around).alias("window")
+        )
+
+    # Exploded as an expression: for a plain column the optimizer would add a test of its size and
+    # push it below the projection, computing the nested transforms a second time.
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), with_neighbours)
+    grouped = (
+        split.select(key, F.posexplode(pairs).alias("position", "pair"))
+        .select(key, "position", "pair.*")
+        .filter("sentence IS NOT NULL")
     )
     embedded = grouped.select(
         key, "position", "sentence", hashed_embedding(words(F.col("window")), dims, hashing).alias("vector")

@@ -32,8 +32,10 @@ class LexicalIndex:
 
     def postings(self) -> DataFrame:
         """``(term, doc_id, tf)``. Each document is exploded in its own task before the shuffle."""
+        # A bare column here would be tokenised twice: the optimizer pushes a test of its size down.
+        tokens = F.filter("tokens", lambda term: term.isNotNull())
         return (
-            self.docs.select("doc_id", F.explode("tokens").alias("term"))
+            self.docs.select("doc_id", F.explode(tokens).alias("term"))
             .groupBy("term", "doc_id")
             .agg(F.count(F.lit(1)).alias("tf"))
         )
