@@ -3,15 +3,14 @@
 Each task scores whole Arrow batches against a block of queries and keeps only its best ``k`` hits
 per query, so what is shuffled is ``tasks x queries x k`` rows and never ``corpus x queries``.
 
-* The query side is taken to the tasks as a broadcast only if it fits ``max_query_rows`` (checked by
-  reading one row more than that). The corpus is then scanned in place, with no shuffle.
+* The query side is taken to the tasks as a broadcast only if it has been counted and has at most
+  ``max_query_rows``. The corpus is then scanned in place, with no shuffle.
 * A larger query side is cut into blocks and the corpus into tiles. Each (tile, block) pair is a
   co-group of bounded size; tiles come from a hash of the document id, so no tile can be hot.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Any
@@ -24,6 +23,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.session import materialise
+
 SCORE_DIGITS = 6
 MATRIX_CELLS = 4_000_000  # upper bound of documents x queries scored at once in a task
 TILE_ROWS = 50_000
@@ -79,9 +80,9 @@ def _ranked(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def numbers(n: int) -> Column:
-    """One row for each of ``0 .. n-1``."""
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+def _numbers(count: str) -> Column:
+    """One row for each of ``0 .. count-1``."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
 
 
 def _hit_schema(corpus: DataFrame, queries: DataFrame) -> T.StructType:
@@ -108,46 +109,57 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
 def topk(
     corpus: DataFrame, queries: DataFrame, scorer: Scorer, k: int, max_query_rows: int = 200_000
 ) -> DataFrame:
-    """Best ``k`` documents per query: ``(query_id, doc_id, score, rank)``, ties broken by id."""
+    """Best ``k`` documents per query: ``(query_id, doc_id, score, rank)``, ties broken by id.
+
+    The search runs here and its hits are stored: they are read several times by what follows, and
+    their known size lets the planner broadcast them to the corpus instead of shuffling the corpus.
+    """
     schema = _hit_schema(corpus, queries)
     arrow_schema = _arrow_schema(schema)
-    probe = queries.limit(max_query_rows + 1).toArrow()
-    if probe.num_rows <= max_query_rows:
-        shipped = corpus.sparkSession.sparkContext.broadcast(scorer.prepare(probe))
+    queries = materialise(queries, "queries")
+    n_queries = queries.count()
+    if n_queries <= max_query_rows:
+        shipped = corpus.sparkSession.sparkContext.broadcast(scorer.prepare(queries.toArrow()))
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _to_arrow(_task_topk(scorer, shipped.value, batches, k), arrow_schema).to_batches()
 
-        return _ranked(corpus.mapInArrow(scan, schema), k)
+        return materialise(_ranked(corpus.mapInArrow(scan, schema), k), "hits")
 
-    blocks = math.ceil(queries.count() / max_query_rows)
-    tiles = max(1, math.ceil(corpus.count() / TILE_ROWS))
-    tiled_corpus = corpus.withColumns(
-        {
-            "tile": F.pmod(F.xxhash64("doc_id"), F.lit(tiles)),
-            "block": numbers(blocks),
-        }
+    whole = F.lit(0).cast("bigint")
+    return topk_by_key(
+        corpus.withColumn("cell", whole), queries.withColumn("cell", whole), "cell", scorer, k, max_query_rows
     )
-    blocked_queries = queries.withColumns(
-        {
-            "block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)),
-            "tile": numbers(tiles),
-        }
-    )
-    return topk_by_key(tiled_corpus, blocked_queries, ["tile", "block"], scorer, k)
 
 
 def topk_by_key(
-    corpus: DataFrame, queries: DataFrame, keys: list[str], scorer: Scorer, k: int
+    corpus: DataFrame, queries: DataFrame, key: str, scorer: Scorer, k: int, max_query_rows: int = 200_000
 ) -> DataFrame:
-    """Best ``k`` per query where a query meets only the documents that share its key values."""
+    """Best ``k`` per query where a query meets only the documents that share its ``key`` value.
+
+    Every key value is cut into tiles of documents and blocks of queries according to its own counts,
+    so that no group outgrows a task however the rows are spread over the keys.
+    """
     schema = _hit_schema(corpus, queries)
     arrow_schema = _arrow_schema(schema)
+    pieces = materialise(
+        corpus.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / TILE_ROWS).alias("tiles")).join(
+            queries.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / max_query_rows).alias("blocks")), key
+        ),
+        "pieces",
+    )
+    tiled = corpus.join(pieces, key).withColumns(
+        {"tile": F.pmod(F.xxhash64("doc_id"), "tiles"), "block": _numbers("blocks")}
+    )
+    blocked = queries.join(pieces, key).withColumns(
+        {"block": F.pmod(F.xxhash64("query_id"), "blocks"), "tile": _numbers("tiles")}
+    )
 
     def score_group(docs: pa.Table, block: pa.Table) -> pa.Table:
         if not docs.num_rows or not block.num_rows:
             return arrow_schema.empty_table()
         return _to_arrow(_task_topk(scorer, scorer.prepare(block), iter(docs.to_batches()), k), arrow_schema)
 
-    grouped = corpus.groupBy(*keys).cogroup(queries.groupBy(*keys))
-    return _ranked(grouped.applyInArrow(score_group, schema), k)
+    keys = [key, "tile", "block"]
+    grouped = tiled.drop("tiles", "blocks").groupBy(*keys).cogroup(blocked.drop("tiles", "blocks").groupBy(*keys))
+    return materialise(_ranked(grouped.applyInArrow(score_group, schema), k), "hits")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import sentences, words
-from gleaner.functions.vectors import dot, hashed_embedding
+from gleaner.functions.vectors import token_buckets
 
 # Separators from coarse to fine.
 SEPARATORS = ["\n\n", "\n", " ", ""]
@@ -98,50 +99,55 @@ def child_chunks(parents: DataFrame, size: int = 200, overlap: int = 0, key: str
     )
 
 
+def chunk_numbers(dims: int, percentile: float):
+    """Arrow UDF: token buckets of a text's sentence windows to the chunk number of each sentence."""
+
+    @F.arrow_udf("array<int>")
+    def number(windows: pa.Array) -> pa.Array:
+        numbers = []
+        for window_buckets in windows.to_pylist():
+            counts = np.array([np.bincount(b, minlength=dims) for b in window_buckets or []], dtype=float)
+            cuts = np.zeros(len(counts), dtype=np.int32)
+            if len(counts) > 1:
+                lengths = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+                units = counts / np.where(lengths > 0, lengths, 1.0)
+                distances = np.round(1 - (units[1:] * units[:-1]).sum(axis=1), 6)
+                cuts[1:] = distances > np.percentile(distances, percentile * 100)
+            numbers.append(np.cumsum(cuts, dtype=np.int32))
+        return pa.array(numbers, pa.list_(pa.int32()))
+
+    return number
+
+
 def semantic_chunks(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percentile: float = 0.95, buffer: int = 1,
     dims: int = 64, hashing: str = "xxhash64",
 ) -> DataFrame:
-    """Cut a text where neighbouring sentence groups differ most: ``key, chunk_id, chunk_text``.
+    """Cut a text where neighbouring sentence groups differ most: ``key, chunk_id, chunk_text, n_sentences``.
 
     A sentence group is a sentence with ``buffer`` neighbours on both sides. Cuts go where the cosine
-    distance of two neighbouring groups is above the document's ``percentile`` of such distances.
-    Everything is keyed by the document; its sentences arrive in one row, so the neighbours are found
-    before any shuffle.
+    distance of two neighbouring groups is above the document's ``percentile`` of such distances. A
+    document is one row from the scan to its chunks, so nothing is shuffled.
     """
     split = docs.select(key, sentences(F.col(text)).alias("sentences"))
     last = F.size("sentences")
 
-    def with_neighbours(i):
+    def around(i):
         start = F.greatest(i - buffer, F.lit(1))
-        around = F.slice("sentences", start, F.least(i + buffer, last) - start + 1)
-        return F.struct(
-            F.try_element_at("sentences", i).alias("sentence"), F.concat_ws(" ", around).alias("window")
-        )
-
-    # Exploded as an expression: for a plain column the optimizer would add a test of its size and
-    # push it below the projection, computing the nested transforms a second time.
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), with_neighbours)
-    grouped = (
-        split.select(key, F.posexplode(pairs).alias("position", "pair"))
-        .select(key, "position", "pair.*")
-        .filter("sentence IS NOT NULL")
-    )
-    embedded = grouped.select(
-        key, "position", "sentence", hashed_embedding(words(F.col("window")), dims, hashing).alias("vector")
-    )
-    in_order = W.partitionBy(key).orderBy("position")
-    distances = embedded.withColumn("previous", F.lag("vector").over(in_order)).select(
-        key, "position", "sentence",
-        F.when(F.col("previous").isNotNull(), F.round(1 - dot(F.col("vector"), F.col("previous")), 6)).alias("distance"),
-    )
-    cut = F.percentile("distance", percentile).over(W.partitionBy(key))
-    marked = distances.withColumn("cut", F.when(F.col("distance") > cut, 1).otherwise(0))
-    numbered = marked.withColumn(
-        "chunk_id", F.sum("cut").over(in_order.rowsBetween(W.unboundedPreceding, W.currentRow)).cast("int")
+        window = F.concat_ws(" ", F.slice("sentences", start, F.least(i + buffer, last) - start + 1))
+        return token_buckets(words(window), dims, hashing)
+
+    positions = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    numbered = split.select(
+        key, "sentences", chunk_numbers(dims, percentile)(F.transform(positions, around)).alias("numbers")
     )
-    ordered = F.array_sort(F.collect_list(F.struct("position", "sentence")))
-    return numbered.groupBy(key, "chunk_id").agg(
-        F.concat_ws(" ", F.transform(ordered, lambda s: s["sentence"])).alias("chunk_text"),
-        F.count(F.lit(1)).alias("n_sentences"),
+
+    def chunk(n):
+        length = F.size(F.filter("numbers", lambda x: x == n))
+        part = F.slice("sentences", F.array_position("numbers", n).cast("int"), length)
+        return F.struct(F.concat_ws(" ", part).alias("chunk_text"), length.cast("bigint").alias("n_sentences"))
+
+    chunks = F.when(
+        F.size("numbers") > 0, F.transform(F.sequence(F.lit(0), F.element_at("numbers", -1)), chunk)
     )
+    return numbered.select(key, F.posexplode(chunks).alias("chunk_id", "chunk")).select(key, "chunk_id", "chunk.*")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import words
 from gleaner.functions.vectors import as_double, dequantise, hashed_embedding, normalise, quantise, shorten
-from gleaner.operators.blocks import TILE_ROWS, Scorer, numbers, topk, topk_by_key
+from gleaner.operators.blocks import TILE_ROWS, Scorer, topk, topk_by_key
+from gleaner.session import materialise
 
 BROADCAST_VALUES = 8_000_000  # 64 MB of doubles
 
@@ -77,12 +78,13 @@ def nearest_cells(vectors: DataFrame, key: str, centroids: DataFrame, probes: in
 def assign_cells(vectors: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
     """Index build: each vector with its nearest cell, fit for ``write.partitionBy("cell")``.
 
-    The roles are swapped against ``nearest_cells``: the (small) centroid set is the query side, so
-    the corpus is scanned in place.
+    The roles are swapped against ``nearest_cells``: the centroid set (counted first) is the query
+    side, so the corpus is scanned in place.
     """
-    found = centroids.limit(TILE_ROWS + 1).toArrow()
-    if found.num_rows > TILE_ROWS:
+    centroids = materialise(centroids.select("cell", "vector"), "centroids")
+    if centroids.count() > TILE_ROWS:
         return vectors.join(nearest_cells(vectors, key, centroids, 1), key)
+    found = centroids.toArrow()
     cells = found.column("cell").to_numpy()
     matrix = vectors.sparkSession.sparkContext.broadcast(_matrix(found.column("vector"), found.num_rows))
 
@@ -97,19 +99,15 @@ def assign_cells(vectors: DataFrame, key: str, centroids: DataFrame) -> DataFram
 
 
 def cell_search(
-    indexed: DataFrame, queries: DataFrame, centroids: DataFrame, k: int, probes: int = 2, salts: int = 8
+    indexed: DataFrame, queries: DataFrame, centroids: DataFrame, k: int, probes: int = 2
 ) -> DataFrame:
     """Approximate top-k over a cell index: a query meets only the documents of its nearest cells.
 
-    Cells are salted, so one that holds a third of the corpus is still scored by many tasks.
+    Cells are tiled by their own size, so one that holds a third of the corpus is scored by many tasks.
     """
-    near = nearest_cells(queries, "query_id", centroids, probes)
-    asked = queries.join(near, "query_id").withColumn("salt", numbers(salts))
-    salted = indexed.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
+    asked = queries.join(nearest_cells(queries, "query_id", centroids, probes), "query_id")
     return topk_by_key(
-        salted.select("cell", "salt", "doc_id", "vector"),
-        asked.select("cell", "salt", "query_id", "vector"),
-        ["cell", "salt"], DOT, k,
+        indexed.select("cell", "doc_id", "vector"), asked.select("cell", "query_id", "vector"), "cell", DOT, k
     )
 
 

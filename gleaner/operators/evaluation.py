@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import word_count
+from gleaner.session import materialise
 
 RELEVANCE_METRICS = ["precision", "recall", "f1", "mrr", "ndcg"]
 
@@ -154,7 +155,8 @@ def term_coverage(texts: DataFrame, terms: DataFrame, by: list[str]) -> DataFram
 
     An equi-join on the word; partial distinct sets are merged per group, never the texts themselves.
     """
-    sizes = terms.groupBy("category").agg(F.count_distinct("term").alias("n_terms"))
+    terms = materialise(terms.select("category", "term").distinct(), "term-list")  # known size: broadcast if small
+    sizes = terms.groupBy("category").agg(F.count(F.lit(1)).alias("n_terms"))
     mentioned = (
         texts.select(*by, F.explode(F.array_distinct("tokens")).alias("term"))
         .join(terms, "term")

@@ -85,7 +85,8 @@ def query_weights(index: LexicalIndex, queries: DataFrame, text: str = "text") -
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("qtf"))
     )
-    return asked.join(index.terms, "term").select(
+    # Stored first: with its size known, it is broadcast to the vocabulary rather than shuffled with it.
+    return materialise(asked, "asked").join(index.terms, "term").select(
         "query_id",
         "term",
         (F.col("qtf") * F.col("idf")).alias("weight"),

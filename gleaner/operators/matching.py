@@ -34,7 +34,9 @@ def containment(corpus: DataFrame, passages: DataFrame, size: int = 4) -> DataFr
     asked = passages.select("query_id", "text", words(F.col("text")).alias("tokens")).withColumn("inner", inner)
     long = asked.filter(F.size("inner") >= size)
     runs = long.select("query_id", F.explode(_shingles("inner", size)).alias("run"))
-    # One narrow pass over the corpus; the semi-join keeps only the runs that some passage asks for.
+    # One narrow pass over the corpus; the semi-join keeps only the runs that some passage asks for. The
+    # asked runs are stored first, so that the planner knows their size and can broadcast them.
+    runs = materialise(runs, "asked")
     seen = (
         corpus.select("doc_id", words(F.col("text")).alias("tokens"))
         .select("doc_id", F.explode(_shingles("tokens", size)).alias("run"))

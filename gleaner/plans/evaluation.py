@@ -78,8 +78,8 @@ def relevance_subset(t: Tables) -> DataFrame:
 up AS (SELECT query_id, parent_id AS doc_id, rank FROM hits JOIN ch USING (doc_id)), {metrics_sql(hits='up')} SELECT * FROM per""")
 def relevance_repeated_hits(t: Tables) -> DataFrame:
     """Chunk hits scored at document level, so a document can be hit several times."""
-    hits, children = child_hits(t)
-    up = hits.join(children.select("doc_id", "parent_id"), "doc_id").select("query_id", F.col("parent_id").alias("doc_id"), "rank")
+    parent = F.substring_index("doc_id", "#", 1).cast("bigint")
+    up = child_hits(t).select("query_id", parent.alias("doc_id"), "rank")
     return rounded(evaluation.relevance_by_query(up, qrels(t), dedupe=False))
 
 

@@ -209,17 +209,16 @@ FROM (SELECT doc_id, text, unnest(range(0, greatest((length(text) + 199) // 200,
 PARENT_SQL = f"""WITH ch AS ({CHILDREN}), {sql.dense('', 10, 'SELECT doc_id, text FROM ch')}"""
 
 
-def child_hits(t: Tables) -> tuple[DataFrame, DataFrame]:
+def child_hits(t: Tables) -> DataFrame:
     children = chunking.child_chunks(t.corpus, 200)
-    return dense.dense(vectors(children, "doc_id", "chunk_text"), vectors(t.questions, "query_id"), 10), children
+    return dense.dense(vectors(children, "doc_id", "chunk_text"), vectors(t.questions, "query_id"), 10)
 
 
 @query("parent_document", PARENT_SQL + """,
 u AS (SELECT query_id, parent_id AS doc_id, min(rank) AS o, max(score) AS score FROM hits JOIN ch USING (doc_id) GROUP BY ALL)
 SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY o, doc_id)::INTEGER AS rank FROM u""")
 def parent_document(t: Tables) -> DataFrame:
-    hits, children = child_hits(t)
-    return fusion.parents_of(hits, children)
+    return fusion.parents_of(child_hits(t))
 
 
 SEMANTIC = f"""
