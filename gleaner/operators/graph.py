@@ -7,6 +7,8 @@ executor costs one round.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -63,6 +65,44 @@ def entity_counts(nodes: DataFrame, top: int = 10) -> DataFrame:
     return counted.orderBy(F.desc("n"), F.asc("entity"), F.asc_nulls_first("entity_type")).limit(top)
 
 
+def structure(nodes: DataFrame) -> DataFrame:
+    """Structure of a sample node (the first by id): its fields, property keys and ``summary`` keys."""
+    sample = nodes.orderBy("id").limit(1)
+    fields = F.array(*[F.struct(F.lit("node").alias("level"), F.lit(name).alias("key")) for name in nodes.columns])
+    properties = F.transform(F.map_keys("properties"), lambda k: F.struct(F.lit("properties").alias("level"), k.alias("key")))
+    inner = F.coalesce(F.json_object_keys(F.try_element_at("properties", F.lit("summary"))), F.array().cast("array<string>"))
+    summary = F.transform(inner, lambda k: F.struct(F.lit("summary").alias("level"), k.alias("key")))
+    return sample.select(F.inline(F.concat(fields, properties, summary)))
+
+
+def embedding_paths(rows: DataFrame, word: str = "embedding", max_depth: int = 20) -> DataFrame:
+    """Paths of the property keys that contain ``word``, with their row counts.
+
+    Nested JSON objects are entered to any depth, lists by their first item only. One pass per level.
+    """
+    level = rows.select(F.explode("properties").alias("key", "value")).withColumn("path", F.concat(F.lit("properties."), "key"))
+    found = []
+    for _ in range(max_depth):
+        named = level.filter(F.contains(F.lower("key"), F.lit(word)))
+        found.append(named.groupBy("path").agg(F.count(F.lit(1)).alias("n")))
+        opened = F.ltrim("value")
+        in_list = F.startswith(opened, F.lit("["))
+        item = F.when(in_list, F.get_json_object("value", "$[0]")).otherwise(F.col("value"))
+        nested = level.filter(F.startswith(opened, F.lit("{")) | in_list).select(
+            F.when(in_list, F.concat("path", F.lit("[0]"))).otherwise(F.col("path")).alias("parent"), item.alias("item")
+        )
+        objects = nested.filter(F.startswith(F.ltrim("item"), F.lit("{")))
+        level = materialise(
+            objects.select("parent", F.explode(F.from_json("item", "map<string,string>")).alias("key", "value")).select(
+                "key", "value", F.concat_ws(".", "parent", "key").alias("path")
+            ),
+            "level",
+        )
+        if level.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found).groupBy("path").agg(F.sum("n").alias("n"))
+
+
 def simple_edges(relationships: DataFrame, ordinal: str, limit: int = 50) -> DataFrame:
     """Undirected simple edges ``(src, dst, attributes)``.
 

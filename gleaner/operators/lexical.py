@@ -24,11 +24,12 @@ EPSILON = 0.25
 
 @dataclass(frozen=True)
 class LexicalIndex:
-    """``docs(doc_id, tokens, dl)``, ``terms(term, df, idf)`` and the one-row ``stats(n_docs, avgdl)``."""
+    """``docs(doc_id, tokens, dl)``, ``terms(term, df, idf)``, the corpus size and mean length."""
 
     docs: DataFrame
     terms: DataFrame
-    stats: DataFrame
+    n_docs: int
+    avgdl: float
 
     def postings(self) -> DataFrame:
         """``(term, doc_id, tf)``. Each document is exploded in its own task before the shuffle."""
@@ -63,19 +64,15 @@ def build_index(corpus: DataFrame, text: str = "text") -> LexicalIndex:
         ),
         "terms",
     )
-    stats = counted.filter(F.col("term").isNull()).select(
-        F.col("df").alias("n_docs"), (F.col("total_dl") / F.col("df")).alias("avgdl")
-    )
-    n_docs = stats.select("n_docs").scalar()
+    sizes = counted.filter(F.col("term").isNull()).select("df", "total_dl").first()
+    n_docs, avgdl = (sizes.df, sizes.total_dl / sizes.df) if sizes else (0, 1.0)
     raw = counted.filter(F.col("term").isNotNull()).select(
-        "term", "df", (F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf")
+        "term", "df", (F.log(F.lit(n_docs) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf")
     )
     # Words in more than half of the documents get a small positive weight instead of a negative one.
-    floor = F.lit(EPSILON) * raw.agg(F.avg("raw_idf")).scalar()
-    terms = raw.select(
-        "term", "df", F.when(F.col("raw_idf") < 0, floor).otherwise(F.col("raw_idf")).alias("idf")
-    )
-    return LexicalIndex(docs, terms, stats)
+    mean_idf = raw.agg(F.avg("raw_idf")).first()[0] or 0.0
+    idf = F.when(F.col("raw_idf") < 0, F.lit(EPSILON * mean_idf)).otherwise(F.col("raw_idf"))
+    return LexicalIndex(docs, raw.select("term", "df", idf.alias("idf")), n_docs, avgdl)
 
 
 def query_weights(index: LexicalIndex, queries: DataFrame, text: str = "text") -> DataFrame:
@@ -90,7 +87,7 @@ def query_weights(index: LexicalIndex, queries: DataFrame, text: str = "text") -
         "query_id",
         "term",
         (F.col("qtf") * F.col("idf")).alias("weight"),
-        index.stats.select("avgdl").scalar().alias("avgdl"),
+        F.lit(index.avgdl).alias("avgdl"),
     )
 
 

@@ -201,7 +201,11 @@ def shape_hits(hits: DataFrame, top_k: int = 5) -> DataFrame:
     by_position = F.lit(1.0) - F.col("position") * 0.05
     generic = F.lit(0.9) - F.col("position") * 0.1
     broken = F.col("page_content").isNull()
-    others = F.map_filter(meta, lambda key, _: ~key.isin(SCORE_KEYS + ["retriever"]))
+    others = F.map_filter(meta, lambda key, _: ~key.isin(SCORE_KEYS))
+    # A result's own ``retriever`` key stays.
+    named = F.map_filter(
+        F.create_map(F.lit("retriever"), F.col("retriever_type")), lambda key, _: ~F.map_contains_key(meta, key)
+    )
     return hits.filter(F.col("position") < top_k).select(
         "query_id",
         "retriever_type",
@@ -213,7 +217,7 @@ def shape_hits(hits: DataFrame, top_k: int = 5) -> DataFrame:
         ).alias("doc_id"),
         F.coalesce("page_content", F.lit("")).alias("content"),
         F.when(broken, generic).otherwise(F.coalesce(found, by_position)).alias("score"),
-        F.map_concat(others, F.create_map(F.lit("retriever"), F.col("retriever_type"))).alias("metadata"),
+        F.map_concat(others, named).alias("metadata"),
     )
 
 

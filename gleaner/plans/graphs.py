@@ -292,6 +292,22 @@ def embedding_sizes(t: Tables) -> DataFrame:
     return shaping.embedding_report(shaping.drop_embeddings(rows), [])
 
 
+@query("node_structure", """SELECT 'node' AS level, unnest(['id', 'type', 'properties']) AS key UNION ALL
+SELECT 'properties', unnest(['name', 'type', 'entities', 'summary_embedding'])""")
+def node_structure(t: Tables) -> DataFrame:
+    return graph.structure(nodes(t))
+
+
+@query("embedding_paths", """SELECT 'properties.summary_embedding' AS path, count(*) AS n FROM customer UNION ALL
+SELECT 'properties.summary.embedding', count(*) FROM supplier UNION ALL SELECT 'properties.items[0].embedding_b', count(*) FROM supplier""")
+def embedding_paths(t: Tables) -> DataFrame:
+    """Embedding keys at the top, in a nested object and in a list's first item."""
+    nested = t.supplier.select(_map(
+        summary=F.lit('{"text":"x","embedding":[1,2]}'), items=F.lit('[{"embedding_b":1},{"embedding_c":2}]')
+    ).alias("properties"))
+    return graph.embedding_paths(nodes(t).select("properties").unionByName(nested))
+
+
 @query("graph_json", KG + """ SELECT 'node' AS kind, coalesce(type, '?') AS type, count(*) AS n FROM nodes GROUP BY ALL
 UNION ALL SELECT 'relationship', type, count(*) FROM rels GROUP BY ALL""")
 def graph_json(t: Tables) -> DataFrame:

@@ -78,7 +78,7 @@ def folder_fingerprint(files: DataFrame) -> DataFrame:
 def read_text_files(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """One row per text file."""
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+        spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("page_content"))
     )
 
