@@ -22,9 +22,16 @@ def norm(vector: Column) -> Column:
 
 
 def normalise(vector: Column) -> Column:
-    """Unit length; a zero vector stays as it is."""
-    length = norm(vector)
-    return F.when(length > 0, F.transform(vector, lambda x: x / length)).otherwise(vector)
+    """Unit length; a zero vector stays as it is.
+
+    The length is bound by an outer one-element transform. Inside the inner lambda it would be
+    computed again for every entry.
+    """
+    scaled = F.transform(
+        F.array(norm(vector)),
+        lambda length: F.when(length > 0, F.transform(vector, lambda x: x / length)).otherwise(vector),
+    )
+    return F.element_at(scaled, 1)
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import sentences, words
-from gleaner.functions.vectors import token_buckets
+from gleaner.functions.vectors import list_lengths, token_buckets
 
 # Separators from coarse to fine.
 SEPARATORS = ["\n\n", "\n", " ", ""]
@@ -99,21 +99,36 @@ def child_chunks(parents: DataFrame, size: int = 200, overlap: int = 0, key: str
     )
 
 
-def chunk_numbers(dims: int, percentile: float):
-    """Arrow UDF: token buckets of a text's sentence windows to the chunk number of each sentence."""
+def _cuts(counts: np.ndarray, percentile: float, buffer: int) -> np.ndarray:
+    """Chunk number of each sentence of one text, from the sentences' bucket counts."""
+    n = len(counts)
+    if n < 2:
+        return np.zeros(n, dtype=np.int32)
+    # Counts add up, so a window's counts are a difference of running sums.
+    running = np.vstack([np.zeros(counts.shape[1]), np.cumsum(counts, axis=0)])
+    place = np.arange(n)
+    windows = running[np.minimum(place + buffer + 1, n)] - running[np.maximum(place - buffer, 0)]
+    lengths = np.sqrt((windows * windows).sum(axis=1, keepdims=True))
+    units = windows / np.where(lengths > 0, lengths, 1.0)
+    distances = np.round(1 - (units[1:] * units[:-1]).sum(axis=1), 6)
+    limit = np.percentile(distances, percentile * 100)
+    return np.cumsum(np.concatenate([[False], distances > limit]), dtype=np.int32)
+
+
+def chunk_numbers(dims: int, percentile: float, buffer: int):
+    """Arrow UDF: token buckets per sentence (a list of lists per text) to chunk numbers per sentence."""
 
     @F.arrow_udf("array<int>")
-    def number(windows: pa.Array) -> pa.Array:
+    def number(texts: pa.Array) -> pa.Array:
         numbers = []
-        for window_buckets in windows.to_pylist():
-            counts = np.array([np.bincount(b, minlength=dims) for b in window_buckets or []], dtype=float)
-            cuts = np.zeros(len(counts), dtype=np.int32)
-            if len(counts) > 1:
-                lengths = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-                units = counts / np.where(lengths > 0, lengths, 1.0)
-                distances = np.round(1 - (units[1:] * units[:-1]).sum(axis=1), 6)
-                cuts[1:] = distances > np.percentile(distances, percentile * 100)
-            numbers.append(np.cumsum(cuts, dtype=np.int32))
+        for start in range(0, len(texts), 200):
+            part = texts.slice(start, 200)
+            per_text = part.flatten()
+            rows = np.repeat(np.arange(len(per_text)), list_lengths(per_text))
+            slots = rows * dims + per_text.flatten().to_numpy(zero_copy_only=False)
+            counts = np.bincount(slots, minlength=len(per_text) * dims).reshape(-1, dims)
+            edges = np.cumsum(list_lengths(part))[:-1]
+            numbers += [_cuts(c, percentile, buffer) for c in np.split(counts, edges)]
         return pa.array(numbers, pa.list_(pa.int32()))
 
     return number
@@ -130,17 +145,8 @@ def semantic_chunks(
     document is one row from the scan to its chunks, so nothing is shuffled.
     """
     split = docs.select(key, sentences(F.col(text)).alias("sentences"))
-    last = F.size("sentences")
-
-    def around(i):
-        start = F.greatest(i - buffer, F.lit(1))
-        window = F.concat_ws(" ", F.slice("sentences", start, F.least(i + buffer, last) - start + 1))
-        return token_buckets(words(window), dims, hashing)
-
-    positions = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    numbered = split.select(
-        key, "sentences", chunk_numbers(dims, percentile)(F.transform(positions, around)).alias("numbers")
-    )
+    buckets = F.transform("sentences", lambda s: token_buckets(words(s), dims, hashing))
+    numbered = split.select(key, "sentences", chunk_numbers(dims, percentile, buffer)(buckets).alias("numbers"))
 
     def chunk(n):
         length = F.size(F.filter("numbers", lambda x: x == n))

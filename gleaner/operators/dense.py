@@ -76,7 +76,7 @@ def nearest_cells(vectors: DataFrame, key: str, centroids: DataFrame, probes: in
 
 
 def assign_cells(vectors: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
-    """Index build: each vector with its nearest cell, fit for ``write.partitionBy("cell")``.
+    """Index build: each vector stored with its nearest cell, fit for ``write.partitionBy("cell")``.
 
     The roles are swapped against ``nearest_cells``: the centroid set (counted first) is the query
     side, so the corpus is scanned in place.
@@ -95,7 +95,7 @@ def assign_cells(vectors: DataFrame, key: str, centroids: DataFrame) -> DataFram
         ids = np.where(scores == best, cells[None, :].astype(np.float64), np.inf).min(axis=1)
         return pa.array(ids.astype(np.int64))
 
-    return vectors.withColumn("cell", nearest("vector"))
+    return materialise(vectors.withColumn("cell", nearest("vector")), "cells")
 
 
 def cell_search(

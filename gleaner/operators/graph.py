@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from gleaner.operators.ordinal import with_ordinal
 from gleaner.session import materialise
 
 
@@ -309,37 +310,35 @@ def neighbourhood(seeds: DataFrame, edges: DataFrame, hops: int) -> DataFrame:
 def clustering(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Triangles and clustering coefficient per vertex.
 
-    Edges point from the lower to the higher (degree, id), so a hub has few outgoing edges and the
-    two-step join stays within the square root of the edge count per vertex.
+    Vertices are numbered by (degree, id) and edges point to the higher number. A hub then has few
+    outgoing edges: at most the square root of twice the edge count, which bounds the neighbour lists
+    that are intersected along each edge.
     """
-    simple = edges.filter("src <> dst").select(
-        F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")
-    ).distinct()
-    simple = materialise(simple, "simple")
-    degree = materialise(degrees(vertices, simple), "degree")
-    ranked = simple.join(degree.select(F.col("id").alias("src"), F.col("degree").alias("ds")), "src").join(
-        degree.select(F.col("id").alias("dst"), F.col("degree").alias("dd")), "dst"
+    simple = materialise(
+        edges.filter("src <> dst")
+        .select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+        .distinct(),
+        "simple",
     )
-    low, high = F.struct(F.col("ds"), F.col("src")), F.struct(F.col("dd"), F.col("dst"))
-    forward = F.struct("ds", F.col("src").alias("id")) < F.struct(F.col("dd").alias("ds"), F.col("dst").alias("id"))
-    directed = ranked.select(
-        F.when(forward, low["src"]).otherwise(high["dst"]).alias("a"),
-        F.when(forward, high["dst"]).otherwise(low["src"]).alias("b"),
+    ranked = materialise(with_ordinal(degrees(vertices, simple), ["degree", "id"], "n"), "ranked")
+    ends = simple.join(ranked.select(F.col("id").alias("src"), F.col("n").alias("x")), "src").join(
+        ranked.select(F.col("id").alias("dst"), F.col("n").alias("y")), "dst"
     )
-    directed = materialise(directed, "directed")
-    ab = directed
-    ac = directed.select("a", F.col("b").alias("c"))
-    bc = directed.select(F.col("a").alias("b"), F.col("b").alias("c"))
-    triangles = ab.join(ac, "a").join(bc, ["b", "c"])
-    per_vertex = (
-        triangles.select(F.explode(F.array("a", "b", "c")).alias("id"))
-        .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("triangles"))
+    directed = materialise(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "directed")
+    onward = directed.groupBy("a").agg(F.collect_list("b").alias("onward"))
+    along = directed.join(onward, "a").join(onward.select(F.col("a").alias("b"), F.col("onward").alias("beyond")), "b")
+    closed = along.select("a", "b", F.array_intersect("onward", "beyond").alias("third"))
+    shared = F.size("third").cast("bigint")
+    corners = F.concat(
+        F.array(F.struct(F.col("a").alias("n"), shared.alias("c")), F.struct(F.col("b").alias("n"), shared.alias("c"))),
+        F.transform("third", lambda v: F.struct(v.alias("n"), F.lit(1).cast("bigint").alias("c"))),
     )
-    counted = degree.join(per_vertex, "id", "left").withColumn("triangles", F.coalesce("triangles", F.lit(0)))
+    per_vertex = closed.select(F.inline(corners)).groupBy("n").agg(F.sum("c").alias("triangles"))
+    counted = ranked.join(per_vertex, "n", "left").withColumn("triangles", F.coalesce("triangles", F.lit(0)))
     pairs = F.col("degree") * (F.col("degree") - 1)
-    return counted.withColumn(
-        "coefficient", F.coalesce(2.0 * F.col("triangles") / F.nullif(pairs, F.lit(0)), F.lit(0.0))
+    return counted.select(
+        "id", "degree", "triangles",
+        F.coalesce(2.0 * F.col("triangles") / F.nullif(pairs, F.lit(0)), F.lit(0.0)).alias("coefficient"),
     )
 
 

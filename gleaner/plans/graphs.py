@@ -63,7 +63,7 @@ def relationships(t: Tables) -> DataFrame:
     rows = rows.unionByName(link(t.supplier, _id("supplier", "s_suppkey"), _id("nation", "s_nationkey"), "in_nation", F.col("s_suppkey"), empty))
     flags = _map(flag=F.col("l_returnflag"), status=F.col("l_linestatus"), line=F.col("l_linenumber").cast("string"))
     place = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    return rows.unionByName(link(t.lineitem, _id("part", "l_partkey"), _id("supplier", "l_suppkey"), "supplied_by", place, flags))
+    return rows.unionByName(link(t.spread("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"), _id("part", "l_partkey"), _id("supplier", "l_suppkey"), "supplied_by", place, flags))
 
 
 KG_NODES = """nodes AS (
@@ -211,10 +211,10 @@ def type_filter(t: Tables) -> DataFrame:
 
 def trade(t: Tables) -> tuple[DataFrame, DataFrame]:
     """Part - supplier - customer triangles from the line items."""
-    lines = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    lines = t.spread("lineitem", "l_orderkey", "l_partkey", "l_suppkey").join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
     part, supplier, customer = _id("part", "l_partkey"), _id("supplier", "l_suppkey"), _id("customer", "o_custkey")
     pairs = lines.select(F.inline(F.array(*[F.struct(a.alias("src"), b.alias("dst")) for a, b in [(part, supplier), (customer, supplier), (customer, part)]])))
-    edges = materialise(pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(), "trade")
+    edges = materialise(pairs.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")), "trade")
     return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), edges
 
 
