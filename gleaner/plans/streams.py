@@ -13,8 +13,11 @@ def stream(t: Tables) -> DataFrame:
     return ev.event_stream(t.spark, t.folder, "events.parquet")
 
 
+NUDGE = 1e-9  # moves exact halves off the rounding edge, where engines differ
+
+
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({"total": F.round("total", 4), "mean": F.round("mean", 4)})
+    return df.withColumns({name: F.round(F.col(name) + NUDGE, 4) for name in ("total", "mean")})
 
 
 @query("run_events", "SELECT event_type, (props::JSON->>'k')::INTEGER % 10 AS bucket, count(*) AS n FROM events GROUP BY ALL")
@@ -24,7 +27,7 @@ def run_events(t: Tables) -> DataFrame:
     return written.groupBy("event_type", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-HOURS = """w AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total, round(avg(value), 4) AS mean FROM events GROUP BY ALL),
+HOURS = """w AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value) + 1e-9, 4) AS total, round(avg(value) + 1e-9, 4) AS mean FROM events GROUP BY ALL),
 closed AS (SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, event_type, n, total, mean FROM w
 WHERE window_start + INTERVAL '1 hour' <= (SELECT max(ts) - INTERVAL '10 minutes' FROM events))"""
 
@@ -36,14 +39,14 @@ def event_rollup(t: Tables) -> DataFrame:
 
 
 @query("event_rollup_batch", """SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end, event_type,
-count(*) AS n, round(sum(value), 4) AS total, round(avg(value), 4) AS mean FROM events GROUP BY ALL""")
+count(*) AS n, round(sum(value) + 1e-9, 4) AS total, round(avg(value) + 1e-9, 4) AS mean FROM events GROUP BY ALL""")
 def event_rollup_batch(t: Tables) -> DataFrame:
     """The same roll-up on the table as a batch: every window."""
     return _rounded(ev.rollup(t.events.withColumn("ts", F.col("ts").cast("timestamp"))))
 
 
 @query("feedback_windows", """WITH d AS (SELECT unnest(range(0, 7)) AS k), e AS (SELECT date_trunc('day', ts)::TIMESTAMP - to_days(k::INTEGER) AS window_start, event_type, value FROM events, d),
-w AS (SELECT window_start, window_start + INTERVAL '7 days' AS window_end, event_type, count(*) AS n, round(sum(value), 4) AS total, round(avg(value), 4) AS mean FROM e GROUP BY ALL)
+w AS (SELECT window_start, window_start + INTERVAL '7 days' AS window_end, event_type, count(*) AS n, round(sum(value) + 1e-9, 4) AS total, round(avg(value) + 1e-9, 4) AS mean FROM e GROUP BY ALL)
 SELECT * FROM w WHERE window_end <= (SELECT max(ts) - INTERVAL '10 minutes' FROM events)""")
 def feedback_windows(t: Tables) -> DataFrame:
     """Insights over the last seven days, sliding by one day."""
@@ -62,12 +65,12 @@ def incremental_ingest(t: Tables) -> DataFrame:
     return stored.select("doc_id", F.md5("text").alias("text_print"), "batch")
 
 
-@query("metric_monitoring", f"""WITH {HOURS}, base AS (SELECT event_type, round(avg(value), 4) AS baseline FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY event_type)
+@query("metric_monitoring", f"""WITH {HOURS}, base AS (SELECT event_type, round(avg(value) + 1e-9, 4) AS baseline FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY event_type)
 SELECT window_start, event_type, mean, baseline, round((mean - baseline) / baseline, 4) AS change, (mean - baseline) / baseline > 0.2 AS regressed
 FROM closed JOIN base USING (event_type)""")
 def metric_monitoring(t: Tables) -> DataFrame:
     """Hourly latency against the first half of the month; higher is worse."""
     windows = _rounded(ev.run_available(ev.rollup(stream(t)), t.scratch("monitoring")))
-    early = t.events.filter("ts < '2024-01-16'").groupBy("event_type").agg(F.round(F.avg("value"), 4).alias("mean"))
+    early = t.events.filter("ts < '2024-01-16'").groupBy("event_type").agg(F.round(F.avg("value") + NUDGE, 4).alias("mean"))
     flagged = ev.flag_regressions(windows, early, 0.2, F.lit(-1))
     return flagged.select("window_start", "event_type", "mean", "baseline", F.round("change", 4).alias("change"), "regressed")

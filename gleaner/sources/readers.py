@@ -56,19 +56,27 @@ def shifted_access(docs: DataFrame, as_of: Column, parts: int) -> DataFrame:
 
 
 def list_binary(spark: SparkSession, path: str, glob: str = "*.pdf", fingerprint: bool = False) -> DataFrame:
-    """Files of a folder with size and change time. Contents are read only for fingerprints."""
+    """Files of a folder with size and change time. Contents are read only for fingerprints.
+
+    The scan leaves out files of zero bytes.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     columns = [
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length"),
         F.col("modificationTime").alias("modified"),
-        (F.col("length") == 0).alias("empty"),
     ]
     if fingerprint:
         columns.append(F.sha2("content", 256).alias("sha256"))
     return files.select(*columns)
 
 
+def files_without_content(files: DataFrame, pages: DataFrame) -> DataFrame:
+    """Listed files that gave no page with text: ``pages(file_name, page_content)``."""
+    filled = pages.filter(F.trim("page_content") != "").select("file_name")
+    return files.join(filled, "file_name", "left_anti").withColumn("warning", F.lit("no content"))
+
+
 def folder_fingerprint(files: DataFrame) -> DataFrame:
     """One digest per folder state, independent of order and combined without collecting the names."""
     digest = F.xxhash64("file_name", "length", "modified")

@@ -152,12 +152,14 @@ def test_review_csv(spark, tmp_path):
 
 def test_text_and_binary_files(spark, tmp_path):
     (tmp_path / "a.txt").write_text("one\ntwo")
-    (tmp_path / "b.pdf").write_bytes(b"")
+    (tmp_path / "b.pdf").write_bytes(b"x")
     (tmp_path / "c.pdf").write_bytes(b"abc")
     assert [r.page_content for r in readers.read_text_files(spark, str(tmp_path)).collect()] == ["one\ntwo"]
     listed = readers.list_binary(spark, str(tmp_path), fingerprint=True)
     rows = {r.file_name: r for r in listed.collect()}
-    assert rows["b.pdf"].empty and not rows["c.pdf"].empty and len(rows["c.pdf"].sha256) == 64
+    assert rows["c.pdf"].length == 3 and len(rows["c.pdf"].sha256) == 64
+    pages = spark.createDataFrame([("c.pdf", "text"), ("b.pdf", " ")], "file_name string, page_content string")
+    assert [r.file_name for r in readers.files_without_content(listed, pages).collect()] == ["b.pdf"]
     before = readers.folder_fingerprint(listed.drop("sha256")).first()
     (tmp_path / "d.pdf").write_bytes(b"x")
     after = readers.folder_fingerprint(readers.list_binary(spark, str(tmp_path))).first()
