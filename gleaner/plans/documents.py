@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 from gleaner import schemas
 from gleaner.functions.text import mask, redact, word_count
 from gleaner.operators import chunking, shaping
+from gleaner.operators.evaluation import mark_outcome
 from gleaner.operators.ordinal import batch_id, with_ordinal
 from gleaner.plans import sql
-from gleaner.plans.evaluation import AGG_METRICS, AGG_SQL, aggregates, tall_metrics
+from gleaner.plans.evaluation import AGG_SQL, aggregates
 from gleaner.plans.registry import Tables, query
 from gleaner.sources import readers, writers
 
@@ -87,8 +88,6 @@ def testset_json(t: Tables) -> DataFrame:
     path = t.scratch("testset")
     rows.write.json(path)
     mapped = readers.map_test_set(readers.read_test_set(t.spark, path))
-    from gleaner.operators.evaluation import mark_outcome
-
     return mark_outcome(mapped).select("question_id", "question", "answer", F.size("context").alias("n_context"), "status")
 
 

@@ -141,12 +141,12 @@ def test_review_csv(spark, tmp_path):
     (tmp_path / "jw1.csv").write_text(f'{header}\n2020,T,u,A,8,"line one\nsays ""hi""",en\n2020,T2,u,A,,x,en\n')
     (tmp_path / "jw3.csv").write_text(f"{header}\n2021,T3,u,B,bad,y,de\n")
     paths = [str(tmp_path / f"jw{n}.csv") for n in (1, 2, 3)]
-    docs = readers.read_csv_documents(spark, paths, REVIEW_SCHEMA, path_pattern=".*/jw([0-9])[.]csv", title="John Wick $1")
+    docs = readers.read_csv_documents(spark, paths, REVIEW_SCHEMA, path_pattern=".*/jw([0-9])[.]csv", title="Volume $1")
     docs = readers.shifted_access(docs, F.lit("2024-02-01").cast("timestamp"), 4)
     rows = {r.Review_Title: r for r in docs.collect()}
     assert rows["T"].page_content == 'text: line one\nsays "hi"\nlang: en' and rows["T"].Rating == 8
     assert rows["T2"].Rating == 0 and rows["T2"].bad_rating is None
-    assert rows["T3"].Rating == 0 and rows["T3"].bad_rating == "bad" and rows["T3"].Movie_Title == "John Wick 3"
+    assert rows["T3"].Rating == 0 and rows["T3"].bad_rating == "bad" and rows["T3"].Movie_Title == "Volume 3"
     assert rows["T3"].last_accessed_at == dt.datetime(2024, 1, 31)
 
 
