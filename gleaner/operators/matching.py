@@ -70,6 +70,7 @@ def containment(corpus: DataFrame, passages: DataFrame, size: int = 4) -> DataFr
         .filter("possible")
     )
     candidates = seen.join(anchors.join(complete, "query_id", "left_semi"), "run").select("query_id", "doc_id")
+    candidates = materialise(candidates, "candidates")  # known size: the texts are then not shuffled if it is small
     texts = long.select("query_id", F.col("text").alias("passage"))
     found = (
         candidates.join(corpus.select("doc_id", "text"), "doc_id")
