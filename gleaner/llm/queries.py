@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat
+from gleaner.llm import chat, licences, quality_rules
 from gleaner.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,51 @@ def chat_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"),
     )
     return chat.digest(chat.prefix_targets(turns.unionByName(probe)))
+
+
+def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that ``labels`` marks as good."""
+    return table(spark, folder, "labels").filter("quality = 1").select("doc_id").distinct()
+
+
+@query("op3_llr_quality_rules")
+def llr_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(table(spark, folder, "documents"), trusted_ids(spark, folder))
+
+
+def _canonical_sql(text: str) -> str:
+    lower = f"regexp_replace(lower(coalesce({text}, '')), '{licences.COPYRIGHT_LINE}', '', 'g')"
+    plain = f"trim(regexp_replace({lower}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    for left, right in licences.SPELLINGS.items():
+        plain = f"regexp_replace({plain}, '\\b{left}\\b', '{right}', 'g')"
+    return plain
+
+
+def _known_sql(rows: list[tuple[str, str]]) -> str:
+    quoted = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in rows)
+    return f"(SELECT sha256({_canonical_sql('text')}) AS digest, min(id) AS id FROM (VALUES {quoted}) v(id, text) GROUP BY 1)"
+
+
+def _licence_sql() -> str:
+    notices = [
+        (licence, f"{subject}{verb} {name}")
+        for licence, names in licences.NAMES.items() for name in names
+        for subject in licences.SUBJECTS for verb in licences.VERBS
+    ]
+    return f"""
+WITH known AS {_known_sql(list(licences.TEXTS.items()))},
+notices AS {_known_sql(notices)},
+whole AS (SELECT doc_id, sha256({_canonical_sql('text')}) AS digest FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM documents),
+noted AS (
+  SELECT doc_id, string_agg(DISTINCT n.id, ',' ORDER BY n.id) AS notices
+  FROM lines JOIN notices n ON sha256({_canonical_sql('lines.text')}) = n.digest GROUP BY doc_id)
+SELECT whole.doc_id, whole.digest, known.id AS licence_id, noted.notices
+FROM whole LEFT JOIN known USING (digest) LEFT JOIN noted ON whole.doc_id = noted.doc_id
+"""
+
+
+@query("op7_licence_digests", _licence_sql())
+def licence_digests(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return licences.scan_documents(documents, licences.known_texts(spark), licences.known_notices(spark))
