@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import chat, licences, quality_rules
+from gleaner.llm import bpe, chat, licences, quality_rules
 from gleaner.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +115,17 @@ FROM whole LEFT JOIN known USING (digest) LEFT JOIN noted ON whole.doc_id = note
 def licence_digests(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return licences.scan_documents(documents, licences.known_texts(spark), licences.known_notices(spark))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Token counts and digests of the ids and of the decoded bytes; all other columns but the text stay."""
+    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.withColumns({
+        "n_tokens": F.size("ids").cast("long"), "ids_sha256": F.sha2(ids, 256), "decoded_sha256": F.sha2("decoded", 256),
+    }).drop("ids", "decoded")
+
+
+@query("op8_byte_bpe")
+def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_digests(table(spark, folder, "documents").select("doc_id", "text"))
