@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, licences, quality_rules
+from gleaner.llm import bpe, chat, licences, neardup, quality_rules
 from gleaner.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,8 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 @query("op8_byte_bpe")
 def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op5_minhash_components")
+def minhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.components(table(spark, folder, "documents"))
