@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, licences, neardup, quality_rules
+from gleaner.llm import bpe, chat, classifier, licences, neardup, quality_rules, topk
 from gleaner.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,42 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_minhash_components")
 def minhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.components(table(spark, folder, "documents"))
+
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+terms AS (SELECT vec_id, unnest(e) AS w, generate_subscripts(e, 1) AS t FROM v),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.w * c.w)::BIGINT AS score
+  FROM terms q JOIN terms c ON q.t = c.t AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op4_exact_topk", TOP_K_SQL)
+def exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = topk.whole_numbers(table(spark, folder, "embeddings"), 1024)
+    return topk.top_k(vectors, vectors.filter("id % 100 = 0"), 10).withColumnRenamed("id", "vec_id")
+
+
+#: A document whose crc32 leaves this remainder is held out: its label is never learnt.
+HELD_OUT = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+ACCEPTED = 0.7
+
+
+def quality_scores(spark: SparkSession, folder: str, docs: DataFrame) -> DataFrame:
+    labels = table(spark, folder, "labels").filter(~HELD_OUT).select("doc_id", F.col("quality").alias("label"))
+    return classifier.classify(docs, labels)
+
+
+@query("op6_quality_trees")
+def quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(spark, folder, table(spark, folder, "documents")).select(
+        "doc_id", HELD_OUT.alias("held_out"), "score", (F.col("score") >= ACCEPTED).cast("int").alias("predicted")
+    )
