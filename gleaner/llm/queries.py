@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, classifier, licences, neardup, quality_rules, topk
+from gleaner.llm import bpe, chat, classifier, licences, mixing, neardup, quality_rules, topk
 from gleaner.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,22 @@ def quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(spark, folder, table(spark, folder, "documents")).select(
         "doc_id", HELD_OUT.alias("held_out"), "score", (F.col("score") >= ACCEPTED).cast("int").alias("predicted")
     )
+
+
+#: The mixture of the registered query: sources in four domains, English twice as heavy, one source five times.
+DOMAIN = F.concat(F.lit("domain"), F.coalesce(F.regexp_extract("source", "([0-9]+)$", 1).cast("int"), F.lit(0)) % 4)
+MIX_WEIGHTS = {("domain0",): 4.0, ("domain1",): 3.0, ("domain2",): 2.0, ("domain0", "en"): 2.0, ("domain1", "en"): 2.0,
+               ("domain0", "en", "src0"): 5.0}
+MIX_FRACTION = 0.6
+MIX_EPOCHS = 2
+MIX_SEED = 17
+
+
+def mixture(docs: DataFrame, **options) -> DataFrame:
+    options = {"fraction": MIX_FRACTION, "epochs": MIX_EPOCHS, "seed": MIX_SEED} | options
+    return mixing.mix(docs.withColumn("domain", DOMAIN), mixing.word_tokens(F.col("text")), MIX_WEIGHTS, **options)
+
+
+@query("op9_mixture")
+def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture(table(spark, folder, "documents"))
