@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, classifier, licences, mixing, neardup, quality_rules, topk
+from gleaner.llm import bpe, chat, classifier, html_text, licences, mixing, neardup, quality_rules, topk
 from gleaner.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,9 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
 @query("op9_mixture")
 def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixture(table(spark, folder, "documents"))
+
+
+@query("op10_html_main_text")
+def html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
