@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, classifier, html_text, licences, mixing, neardup, quality_rules, topk
+from gleaner.llm import bpe, chat, classifier, html_text, licences, mixing, neardup, pii, quality_rules, topk
 from gleaner.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,21 @@ def mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
 def html_main_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query("op2_bilstm_crf_pii")
+def bilstm_crf_pii(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find(documents, pii.fit(pii.labelled_windows(documents))).drop("text")
+    order = F.array(*map(F.lit, pii.KINDS))
+    keyed = lambda spans: F.transform(spans, lambda s: F.struct(
+        F.array_position(order, s["kind"]).alias("i"), s["start"].alias("start"),
+        F.concat_ws(":", s["kind"], s["start"], s["end"]).alias("span"),
+    ))
+    joined = lambda spans: F.array_join(F.transform(F.array_sort(keyed(spans)), lambda s: s["span"]), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
