@@ -20,14 +20,19 @@ def mark_outcome(questions: DataFrame, question: str = "question", failed: Colum
     return questions.withColumn("status", F.when(bad, F.lit("failed")).otherwise(F.lit("success")))
 
 
-def question_details(hits: DataFrame, keys: list[str]) -> DataFrame:
-    """Per question: document count, mean score, words. ``hits(keys, score, content)``."""
-    return hits.groupBy(*keys).agg(
+def question_details(questions: DataFrame, hits: DataFrame, keys: list[str]) -> DataFrame:
+    """Per question: document count, mean score, words; zeros for a question without hits.
+
+    ``questions(keys)`` has each question once, ``hits(keys, score, content)`` its documents.
+    """
+    found = hits.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("document_count"),
-        F.coalesce(F.avg("score"), F.lit(0.0)).alias("avg_score"),
+        F.avg("score").alias("avg_score"),
         F.sum("score").alias("score_sum"),
         F.sum(word_count(F.col("content"))).alias("token_count"),
     )
+    zero = {"document_count": 0, "avg_score": 0.0, "score_sum": 0.0, "token_count": 0}
+    return questions.select(*keys).join(found, keys, "left").fillna(zero)
 
 
 def retriever_aggregates(details: DataFrame) -> DataFrame:
@@ -56,7 +61,7 @@ def retriever_aggregates(details: DataFrame) -> DataFrame:
     )
 
 
-def cap_details(details: DataFrame, order: list[str], limit: int = 50) -> DataFrame:
+def cap_details(details: DataFrame, order: list[str], limit: int) -> DataFrame:
     """The first ``limit`` detail rows of each retriever and whether some were left out."""
     place = F.row_number().over(W.partitionBy("retriever_type").orderBy(*order))
     first = details.withColumn("place", place).filter(F.col("place") <= limit)
@@ -72,7 +77,8 @@ def relevance_by_query(
     ``hits(keys.., doc_id, rank)``, ``qrels(query_id, doc_id)``; ``keys`` name a run and a query and
     include ``query_id``. With ``dedupe`` a repeated document counts once at its first rank; without,
     each repeat counts as a hit. A query without hits or without relevant documents is skipped, or
-    scored 0 with ``on_empty="zero"``.
+    scored 0 with ``on_empty="zero"``: then every run that has a hit at all is scored on every query that
+    it or the judgements name.
     """
     keys = keys or ["query_id"]
     ranked = hits.select(*keys, "doc_id", "rank")
@@ -88,9 +94,16 @@ def relevance_by_query(
         F.coalesce(1.0 / F.min(F.when(F.col("rel") == 1, F.col("rank"))), F.lit(0.0)).alias("mrr"),
         F.coalesce(F.sum(F.col("rel") / F.log2(F.col("rank") + 1)), F.lit(0.0)).alias("dcg"),
     )
-    scored = facts.join(wanted, "query_id", "inner" if on_empty == "skip" else "left")
-    if on_empty == "zero" and keys == ["query_id"]:
+    if on_empty == "skip":
+        scored = facts.join(wanted, "query_id")
+    elif keys == ["query_id"]:
         scored = facts.join(wanted, "query_id", "full")
+    else:
+        run = [key for key in keys if key != "query_id"]
+        # One row per judged query and run: the size of the result, not of the hits.
+        runs = facts.select(*run).distinct().agg(F.collect_set(F.struct(*run)).alias("runs"))
+        grid = wanted.withColumn("run", F.explode(runs.scalar())).select("query_id", "n_relevant", "run.*")
+        scored = facts.join(grid, keys, "full")
     n_relevant = F.coalesce("n_relevant", F.lit(0))
     n_retrieved = F.coalesce("n_retrieved", F.lit(0))
     precision = F.coalesce(F.col("n_hits") / F.nullif(n_retrieved, F.lit(0)), F.lit(0.0))
@@ -153,7 +166,8 @@ def context_efficiency(hits: DataFrame, qrels: DataFrame) -> DataFrame:
 def term_coverage(texts: DataFrame, terms: DataFrame, by: list[str]) -> DataFrame:
     """Share of a term list each group of texts mentions: ``texts(by.., tokens)``, ``terms(category, term)``.
 
-    An equi-join on the word; partial distinct sets are merged per group, never the texts themselves.
+    An equi-join on the word; partial distinct sets are merged per group, never the texts themselves. Every group has
+    a row for every category, 0 where it mentions none of its terms.
     """
     terms = materialise(terms.select("category", "term").distinct(), "term-list")  # known size: broadcast if small
     sizes = terms.groupBy("category").agg(F.count(F.lit(1)).alias("n_terms"))
@@ -165,7 +179,10 @@ def term_coverage(texts: DataFrame, terms: DataFrame, by: list[str]) -> DataFram
         .groupBy(*by, "category")
         .agg(F.count(F.lit(1)).alias("n_mentioned"))
     )
-    return mentioned.join(sizes, "category").withColumn("coverage", F.col("n_mentioned") / F.col("n_terms"))
+    every = sizes.agg(F.collect_list(F.struct("category", "n_terms")).alias("all")).scalar()
+    grid = texts.select(*by).distinct().withColumn("c", F.explode(every)).select(*by, "c.category", "c.n_terms")
+    counted = grid.join(mentioned, [*by, "category"], "left").fillna(0, ["n_mentioned"])
+    return counted.withColumn("coverage", F.col("n_mentioned") / F.col("n_terms"))
 
 
 def attribute_failures(per_query: DataFrame, verdicts: DataFrame) -> DataFrame:
@@ -187,11 +204,17 @@ def attribute_failures(per_query: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def metric_delta(baseline: DataFrame, current: DataFrame, keys: list[str] | None = None, digits: int = 4) -> DataFrame:
-    """Change of each metric between two tall runs ``(keys.., metric, value)``."""
+    """Change of each metric between two tall runs ``(keys.., metric, value)``.
+
+    A metric of one run only stays, with a NULL delta and the other run's name in ``missing_in``.
+    """
     on = [*(keys or []), "metric"]
-    old = baseline.select(*on, F.col("value").alias("baseline"))
-    new = current.select(*on, F.col("value").alias("current"))
-    return old.join(new, on).withColumn("delta", F.round(F.col("current") - F.col("baseline"), digits))
+    old = baseline.select(*on, F.col("value").alias("baseline"), F.lit(True).alias("in_old"))
+    new = current.select(*on, F.col("value").alias("current"), F.lit(True).alias("in_new"))
+    missing = F.when(F.col("in_old").isNull(), "baseline").when(F.col("in_new").isNull(), "current")
+    return old.join(new, on, "full").withColumns(
+        {"delta": F.round(F.col("current") - F.col("baseline"), digits), "missing_in": missing}
+    ).drop("in_old", "in_new")
 
 
 def regressions(deltas: DataFrame, directions: Column, threshold: float) -> DataFrame:

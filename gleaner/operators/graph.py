@@ -8,6 +8,7 @@ executor costs one round.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,14 +76,15 @@ def structure(nodes: DataFrame) -> DataFrame:
     return sample.select(F.inline(F.concat(fields, properties, summary)))
 
 
-def embedding_paths(rows: DataFrame, word: str = "embedding", max_depth: int = 20) -> DataFrame:
+def embedding_paths(rows: DataFrame, word: str = "embedding") -> DataFrame:
     """Paths of the property keys that contain ``word``, with their row counts.
 
-    Nested JSON objects are entered to any depth, lists by their first item only. One pass per level.
+    Nested JSON objects are entered to any depth, lists by their first item only. One pass per level, until a level
+    is empty.
     """
     level = rows.select(F.explode("properties").alias("key", "value")).withColumn("path", F.concat(F.lit("properties."), "key"))
     found = []
-    for _ in range(max_depth):
+    while True:
         named = level.filter(F.contains(F.lower("key"), F.lit(word)))
         found.append(named.groupBy("path").agg(F.count(F.lit(1)).alias("n")))
         opened = F.ltrim("value")
@@ -103,13 +105,13 @@ def embedding_paths(rows: DataFrame, word: str = "embedding", max_depth: int = 2
     return reduce(DataFrame.unionByName, found).groupBy("path").agg(F.sum("n").alias("n"))
 
 
-def simple_edges(relationships: DataFrame, ordinal: str, limit: int = 50) -> DataFrame:
+def simple_edges(relationships: DataFrame, ordinal: str, limit: int | None = None) -> DataFrame:
     """Undirected simple edges ``(src, dst, attributes)``.
 
     Parallel edges merge key by key: the relationship with the highest ``ordinal`` that has the key
-    wins. Values are cut to ``limit`` characters; the type (``unknown`` if missing) is kept whole.
+    wins. With ``limit`` values are cut to so many characters; the type (``unknown`` if missing) is kept whole.
     """
-    named = F.map_from_arrays(
+    named = F.col("properties") if limit is None else F.map_from_arrays(
         F.map_keys("properties"), F.transform(F.map_values("properties"), lambda v: F.substring(v, 1, limit))
     )
     with_type = F.map_concat(
@@ -195,21 +197,20 @@ def component_summary(components: DataFrame) -> DataFrame:
     return sizes.agg(F.count(F.lit(1)).alias("n_components"), F.max("size").alias("largest"))
 
 
-def betweenness(
-    vertices: DataFrame, edges: DataFrame, pivots: DataFrame, max_rounds: int = 1000
-) -> DataFrame:
+def betweenness(vertices: DataFrame, edges: DataFrame, pivots: DataFrame) -> DataFrame:
     """Betweenness from the shortest paths that start in ``pivots(id)``, scaled up to all vertices.
 
     A breadth-first wave per pivot counts shortest paths outward; the dependencies are then summed back
-    from the farthest level. One join per level; state is one row per (pivot, vertex).
+    from the farthest level. One join per level, until a wave is empty; a wave of an undirected graph can
+    only meet the two before it, so only these are compared. State is one row per (pivot, vertex).
     """
     links = materialise(both_ways(edges).filter("src <> dst").distinct(), "links")
     wave = materialise(
         pivots.select(F.col("id").alias("pivot"), "id", F.lit(0).alias("level"), F.lit(1.0).alias("paths")), "wave"
     )
     levels = [wave]
-    seen = wave.select("pivot", "id")
-    for level in range(1, max_rounds + 1):
+    for level in count(1):
+        seen = reduce(DataFrame.unionByName, [w.select("pivot", "id") for w in levels[-2:]])
         reached = (
             wave.select("pivot", F.col("id").alias("src"), "paths")
             .join(links, "src")
@@ -221,7 +222,6 @@ def betweenness(
         if wave.isEmpty():
             break
         levels.append(wave)
-        seen = seen.unionByName(wave.select("pivot", "id"))
     share = levels[-1].select("pivot", "id", "paths", F.lit(0.0).alias("dependency"))
     done = []
     for upper in reversed(levels[:-1]):
@@ -259,18 +259,26 @@ def induced(edges: DataFrame, kept: DataFrame) -> DataFrame:
     )
 
 
-def view_subgraph(vertices: DataFrame, edges: DataFrame, limit: int = 50) -> tuple[DataFrame, DataFrame]:
-    """Vertices and edges of a view: of a graph above ``limit``, the largest component's top by degree."""
-    if len(vertices.limit(limit + 1).take(limit + 1)) <= limit:
-        return vertices, edges
+def largest_component(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The component with the most vertices (on ties the one with the smallest id) and its edges."""
     components = connected_components(vertices, edges)
     sizes = components.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.orderBy(F.desc("size"), F.asc("component")).limit(1)
     members = components.join(largest, "component", "left_semi").select("id")
-    chosen = top_degrees(members, induced(edges, members), limit).select("id")
+    return members, induced(edges, members)
+
+
+def top_subgraph(vertices: DataFrame, edges: DataFrame, top: int) -> tuple[DataFrame, DataFrame]:
+    """The ``top`` vertices by degree and the edges among them."""
+    chosen = top_degrees(vertices, edges, top).select("id")
     return chosen, induced(edges, chosen)
 
 
+def view_subgraph(vertices: DataFrame, edges: DataFrame, top: int) -> tuple[DataFrame, DataFrame]:
+    """A view of a graph of any size: the largest component's ``top`` vertices by degree, with their edges."""
+    return top_subgraph(*largest_component(vertices, edges), top)
+
+
 def filter_types(
     nodes: DataFrame, relationships: DataFrame, include: list[str] | None = None, exclude: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -341,14 +349,24 @@ def clustering(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def communities(vertices: DataFrame, edges: DataFrame, rounds: int = 5) -> DataFrame:
-    """Label propagation: each vertex takes the most frequent label around it, the smallest on ties.
+def communities(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """Label propagation until nothing changes: ``(id, community, converged)``.
 
-    All vertices move at once for a fixed number of rounds; isolated vertices keep their own label.
+    Each vertex takes the most frequent label among its neighbours and itself, the smallest on ties. All vertices move
+    at once; their own vote keeps most pairs from swapping labels for ever. If a state comes back all the same, the
+    first state of that cycle is returned with ``converged`` false. Isolated vertices keep their own label.
     """
-    links = materialise(both_ways(edges).filter("src <> dst").distinct(), "links")
+    links = both_ways(edges).filter("src <> dst").distinct()
+    links = links.unionByName(vertices.select(F.col("id").alias("src"), F.col("id").alias("dst")))
+    links = materialise(links, "links")
     labels = materialise(vertices.select("id", F.col("id").alias("community")), "community")
-    for _ in range(rounds):
+    states: dict[tuple, DataFrame] = {}
+    while True:
+        digest = labels.agg(F.sum(F.xxhash64("id", "community").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("community", "id"))).first()
+        if tuple(digest) in states:
+            still = tuple(digest) == list(states)[-1]
+            return states[tuple(digest)].withColumn("converged", F.lit(still))
+        states[tuple(digest)] = labels
         votes = (
             links.join(labels.select(F.col("id").alias("src"), "community"), "src")
             .groupBy(F.col("dst").alias("id"), "community")
@@ -356,8 +374,4 @@ def communities(vertices: DataFrame, edges: DataFrame, rounds: int = 5) -> DataF
         )
         # The smallest (-votes, label) pair: partial aggregation, no ranking of a hub's labels.
         winner = votes.groupBy("id").agg(F.min(F.struct(-F.col("votes"), F.col("community"))).alias("best"))
-        labels = materialise(
-            labels.join(winner, "id", "left").select("id", F.coalesce("best.community", "community").alias("community")),
-            "community",
-        )
-    return labels
+        labels = materialise(winner.select("id", F.col("best.community").alias("community")), "community")

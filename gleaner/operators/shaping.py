@@ -189,7 +189,7 @@ def test_set_table(rows: DataFrame) -> DataFrame:
     return rows.withColumn("source_documents", previews)
 
 
-def shape_hits(hits: DataFrame, top_k: int = 5) -> DataFrame:
+def shape_hits(hits: DataFrame, top_k: int) -> DataFrame:
     """Hit records from raw results ``(query_id, retriever_type, position, page_content, metadata)``.
 
     ``position`` counts from 0. The id is the metadata id or a hash of the content; the score is the

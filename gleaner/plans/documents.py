@@ -87,10 +87,23 @@ def testset_json(t: Tables) -> DataFrame:
     )
     path = t.scratch("testset")
     rows.write.json(path)
-    mapped = readers.map_test_set(readers.read_test_set(t.spark, path))
+    mapped = readers.map_test_set(readers.read_test_lines(t.spark, path))
     return mark_outcome(mapped).select("question_id", "question", "answer", F.size("context").alias("n_context"), "status")
 
 
+@query("testset_wrapped", """SELECT (row_number() OVER (PARTITION BY conv_id // 20 ORDER BY conv_id, turn) - 1)::VARCHAR AS question_id, text AS question, role AS answer,
+conv_id // 20 AS part FROM conversations""")
+def testset_wrapped(t: Tables) -> DataFrame:
+    """Pretty-printed test sets, twenty conversations to a file, read with the positions as ids."""
+    part = F.floor(F.col("conv_id") / 20).cast("bigint")
+    row = F.struct("conv_id", "turn", F.col("text").alias("question"), F.col("role").alias("reference"), F.array(part.cast("string")).alias("context"))
+    files = t.conversations.groupBy(part.alias("part")).agg(F.array_sort(F.collect_list(row)).alias("examples"))
+    path = t.scratch("wrapped")
+    files.select("part", F.to_json(F.struct("examples"), {"pretty": "true"}).alias("value")).write.partitionBy("part").text(path)
+    mapped = readers.map_test_set(readers.read_test_set(t.spark, f"{path}/*"))
+    return mapped.select("question_id", "question", "answer", F.col("context")[0].cast("bigint").alias("part"))
+
+
 @query("split_choice", "SELECT conv_id, turn, text FROM conversations WHERE role = (SELECT min(role) FROM conversations)")
 def split_choice(t: Tables) -> DataFrame:
     path = t.scratch("splits")

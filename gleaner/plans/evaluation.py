@@ -103,6 +103,20 @@ def sweep_relevance(t: Tables) -> DataFrame:
     return rounded(evaluation.macro_means(per, ["precision", "recall"], ["retriever_type"]), 4)
 
 
+@query("run_relevance_zero_filled", f"""WITH {sql.bm25('l', 10)}, {sql.dense('v', 10)}, rel AS ({sql.QRELS}),
+both_ AS (SELECT 'bm25' AS retriever_type, * FROM lhits UNION ALL SELECT 'dense', * FROM vhits WHERE query_id % 3 <> 0),
+nr AS (SELECT query_id, count(*) AS n FROM rel GROUP BY query_id),
+f AS (SELECT retriever_type, query_id, count(*) AS c, count(r.doc_id) AS h FROM both_ LEFT JOIN rel r USING (query_id, doc_id) GROUP BY ALL),
+grid AS (SELECT retriever_type, query_id FROM f UNION SELECT retriever_type, query_id FROM (SELECT DISTINCT retriever_type FROM f), nr)
+SELECT retriever_type, query_id, coalesce(c, 0) AS n_retrieved, coalesce(h, 0) AS n_hits, round(coalesce(h / n, 0), 6) AS recall
+FROM grid LEFT JOIN f USING (retriever_type, query_id) LEFT JOIN nr USING (query_id)""")
+def run_relevance_zero_filled(t: Tables) -> DataFrame:
+    """Two runs, one without hits for every third question: each run is scored on every question."""
+    lists = two_lists(t).filter("retriever_type = 'bm25' OR query_id % 3 <> 0")
+    per = evaluation.relevance_by_query(lists, qrels(t), ["retriever_type", "query_id"], on_empty="zero")
+    return rounded(per.select("retriever_type", "query_id", "n_retrieved", "n_hits", "recall"))
+
+
 @query("context_precision", f"""WITH {sql.bm25('', 10)}, rel AS ({sql.QRELS}),
 j AS (SELECT query_id, rank, (r.doc_id IS NOT NULL)::INTEGER AS rel FROM hits LEFT JOIN rel r USING (query_id, doc_id)),
 w AS (SELECT *, avg(rel) OVER (PARTITION BY query_id ORDER BY rank) AS pa FROM j)
@@ -124,14 +138,16 @@ TERMS_SQL = f"SELECT DISTINCT left(w, 1) AS category, w AS term FROM (SELECT unn
 
 
 @query("term_coverage", f"""WITH terms AS ({TERMS_SQL}), n AS (SELECT category, count(*) AS n_terms FROM terms GROUP BY category),
-seen AS (SELECT DISTINCT lang, term FROM (SELECT lang, unnest({sql.words('text')}) AS term FROM documents))
-SELECT category, lang, count(*) AS n_mentioned, max(n_terms) AS n_terms, round(count(*) / max(n_terms), 6) AS coverage
-FROM seen JOIN terms USING (term) JOIN n USING (category) GROUP BY ALL""")
+seen AS (SELECT DISTINCT source, lang, term FROM (SELECT source, lang, unnest({sql.words('text')}) AS term FROM documents)),
+m AS (SELECT category, source, lang, count(*) AS k FROM seen JOIN terms USING (term) GROUP BY ALL),
+grid AS (SELECT * FROM (SELECT DISTINCT source, lang FROM documents), n)
+SELECT category, source, lang, coalesce(k, 0) AS n_mentioned, n_terms, round(coalesce(k, 0) / n_terms, 6) AS coverage
+FROM grid LEFT JOIN m USING (category, source, lang)""")
 def term_coverage(t: Tables) -> DataFrame:
     word = t.questions.select(F.explode(words(F.col("text"))).alias("term")).filter(F.length("term") >= 8)
     terms = word.select(F.substring("term", 1, 1).alias("category"), "term").distinct()
-    texts = t.spread("documents", "lang", "text").select("lang", words(F.col("text")).alias("tokens"))
-    return rounded(evaluation.term_coverage(texts, terms, ["lang"]))
+    texts = t.spread("documents", "source", "lang", "text").select("source", "lang", words(F.col("text")).alias("tokens"))
+    return rounded(evaluation.term_coverage(texts, terms, ["source", "lang"]))
 
 
 # The event log read as a retrieval log: one row per question, its payload number giving the volume.
@@ -177,12 +193,14 @@ def detail_cap(t: Tables) -> DataFrame:
     return capped.select("event_id", "retriever_type", "place", "truncated")
 
 
-@query("question_details", f"""WITH {sql.bm25('', 4)}
-SELECT query_id, count(*) AS document_count, round(avg(score), 4) AS avg_score, round(sum(score), 4) AS score_sum,
-sum(len({sql.words('text')}))::BIGINT AS token_count FROM hits JOIN documents USING (doc_id) GROUP BY query_id""")
+@query("question_details", f"""WITH {sql.bm25('', 4)},
+f AS (SELECT query_id, count(*) AS n, avg(score) AS a, sum(score) AS s, sum(len({sql.words('text')})) AS w FROM hits JOIN documents USING (doc_id) WHERE query_id % 7 <> 0 GROUP BY query_id)
+SELECT item_id AS query_id, coalesce(n, 0) AS document_count, round(coalesce(a, 0), 4) AS avg_score, round(coalesce(s, 0), 4) AS score_sum,
+coalesce(w, 0)::BIGINT AS token_count FROM benchmark LEFT JOIN f ON item_id = query_id""")
 def question_details(t: Tables) -> DataFrame:
-    hits = bm25_hits(t).join(t.corpus.withColumnRenamed("text", "content"), "doc_id")
-    details = evaluation.question_details(hits, ["query_id"])
+    """Every seventh question came back without hits."""
+    hits = bm25_hits(t).filter("query_id % 7 <> 0").join(t.corpus.withColumnRenamed("text", "content"), "doc_id")
+    details = evaluation.question_details(t.questions, hits, ["query_id"])
     return details.withColumns({"avg_score": F.round("avg_score", 4), "score_sum": F.round("score_sum", 4)})
 
 
@@ -269,11 +287,13 @@ def _period(t: Tables, condition: str) -> DataFrame:
 @query("metric_delta", AGG_SQL.replace("FROM log GROUP BY retriever_type", "FROM log GROUP BY retriever_type, late").replace(
     "agg AS (SELECT retriever_type", "agg AS (SELECT retriever_type, late").replace("SELECT event_id,", "SELECT event_id, ts >= TIMESTAMP '2024-01-16' AS late,")
     + ", tall AS (SELECT retriever_type, late, metric, value FROM agg UNPIVOT (value FOR metric IN (" + ", ".join(AGG_METRICS) + ")))"
-    + """ SELECT retriever_type, metric, a.value AS baseline, b.value AS current, round(b.value - a.value, 4) AS delta
-    FROM (SELECT * FROM tall WHERE NOT late) a JOIN (SELECT * FROM tall WHERE late) b USING (retriever_type, metric)""")
+    + """ SELECT retriever_type, metric, a.value AS baseline, b.value AS current, round(b.value - a.value, 4) AS delta,
+    CASE WHEN a.value IS NULL THEN 'baseline' WHEN b.value IS NULL THEN 'current' END AS missing_in
+    FROM (SELECT * FROM tall WHERE NOT late AND metric <> 'failed') a FULL JOIN (SELECT * FROM tall WHERE late AND metric <> 'success_rate') b USING (retriever_type, metric)""")
 def metric_delta(t: Tables) -> DataFrame:
-    """Change between the first and the second half of the month, per retriever and metric."""
+    """Change between the first and the second half of the month, per retriever and metric; each lacks one metric."""
     first, second = _period(t, "ts < '2024-01-16'"), _period(t, "ts >= '2024-01-16'")
+    first, second = first.filter("metric <> 'failed'"), second.filter("metric <> 'success_rate'")
     return evaluation.metric_delta(first, second, ["retriever_type"])
 
 
@@ -426,15 +446,18 @@ def failed_fill(t: Tables) -> DataFrame:
 
 
 @query("failure_attribution", f"""WITH {sql.bm25('', 4)}, {metrics_sql(join='FULL')},
-cl AS (SELECT query_id, {sql.sentences('text')}[1] AS claim FROM ({sql.QUESTIONS})),
-v AS (SELECT query_id, bool_or(contains(d.text, claim)) AS supported FROM cl JOIN hits USING (query_id) JOIN documents d USING (doc_id) GROUP BY query_id)
+cl AS (SELECT query_id, unnest({sql.sentences('text')}) AS claim, generate_subscripts({sql.sentences('text')}, 1) AS no FROM ({sql.QUESTIONS})),
+one AS (SELECT query_id, no, coalesce(bool_or(contains(d.text, claim)), false) AS s FROM cl LEFT JOIN hits USING (query_id) LEFT JOIN documents d USING (doc_id) GROUP BY ALL),
+v AS (SELECT query_id, bool_and(s) AS supported FROM one GROUP BY query_id)
 SELECT CASE WHEN n_hits > 0 AND supported THEN 'ok' WHEN n_hits > 0 THEN 'unused_context' WHEN supported THEN 'ungrounded_answer' ELSE 'retriever_miss' END AS cause,
 count(*) AS n_questions FROM per LEFT JOIN v USING (query_id) GROUP BY ALL""")
 def failure_attribution(t: Tables) -> DataFrame:
+    """The passage is the answer; it is supported if each of its sentences is found in some hit."""
     per = evaluation.relevance_by_query(bm25_hits(t), qrels(t), on_empty="zero")
-    first = t.questions.select("query_id", F.lit(0).alias("claim_no"), F.element_at(sentences(F.col("text")), 1).alias("claim"))
-    verdicts = judged.lexical_support(first, contexts(t), ["query_id"])
-    return evaluation.attribute_failures(per, verdicts.select("query_id", "supported"))
+    claims = t.questions.select("query_id", F.posexplode(sentences(F.col("text"))).alias("claim_no", "claim"))
+    judged_claims = judged.lexical_support(claims, contexts(t), ["query_id"])
+    verdicts = judged_claims.groupBy("query_id").agg(F.every("supported").alias("supported"))
+    return evaluation.attribute_failures(per, verdicts)
 
 
 @query("response_table", """SELECT u.conv_id || '-' || u.turn AS question_id, u.text AS question, coalesce(a.text, '') AS answer,

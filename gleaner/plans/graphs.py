@@ -199,7 +199,7 @@ SELECT least(a, b) AS src, greatest(a, b) AS dst FROM pe WHERE a IN (SELECT id F
 @query("view_subgraph", VIEW)
 def view_subgraph(t: Tables) -> DataFrame:
     vertices, edges = places(t)
-    return graph.view_subgraph(vertices, edges, limit=50)[1].select("src", "dst")
+    return graph.view_subgraph(vertices, edges, top=50)[1].select("src", "dst")
 
 
 @query("type_filter", KG + """, kept AS (SELECT id FROM nodes WHERE type IN ('customer', 'nation', 'region'))
@@ -233,14 +233,16 @@ def clustering(t: Tables) -> DataFrame:
 def _propagation(rounds: int) -> str:
     steps = [f"l0 AS (SELECT id, id AS community FROM d)"]
     for n in range(1, rounds + 1):
-        steps.append(f"""l{n} AS (SELECT l.id, coalesce(v.community, l.community) AS community FROM l{n - 1} l LEFT JOIN (SELECT id, community FROM (
+        steps.append(f"""l{n} AS MATERIALIZED (SELECT l.id, coalesce(v.community, l.community) AS community FROM l{n - 1} l LEFT JOIN (SELECT id, community FROM (
 SELECT b AS id, community, row_number() OVER (PARTITION BY b ORDER BY count(*) DESC, community) AS r FROM w JOIN l{n - 1} x ON x.id = w.a GROUP BY b, community) WHERE r = 1) v ON v.id = l.id)""")
-    return TRADE + ", w AS (SELECT src AS a, dst AS b FROM e UNION ALL SELECT dst, src FROM e), " + ", ".join(steps) + f" SELECT * FROM l{rounds}"
+    own = "SELECT src AS a, dst AS b FROM e UNION ALL SELECT dst, src FROM e UNION ALL SELECT id, id FROM d"
+    return TRADE + f", w AS ({own}), " + ", ".join(steps) + f" SELECT *, true AS converged FROM l{rounds}"
 
 
-@query("communities", _propagation(3))
+@query("communities", _propagation(24))
 def communities(t: Tables) -> DataFrame:
-    return graph.communities(*trade(t), rounds=3)
+    """Labels at the fixed point; the SQL takes more rounds than the graph needs."""
+    return graph.communities(*trade(t))
 
 
 @query("document_mentions", f"SELECT 'doc:' || doc_id AS source, 'entity:' || e AS target, 'mentions' AS type FROM ({MENTIONS})")

@@ -103,19 +103,23 @@ def summaries_by_id(dump: DataFrame, wanted: DataFrame, key: str) -> tuple[DataF
 
 
 def read_test_set(spark: SparkSession, path: str) -> DataFrame:
-    """Test-set rows of a JSON file, either ``{"examples": [...]}`` or one example per line.
+    """Test-set rows of JSON files ``{"examples": [...]}``, pretty-printed or not, one object per file.
 
-    ``position`` counts the examples of a wrapped file from 0 and is NULL for line files, which have
-    no order.
+    ``position`` counts the examples of a file from 0. Malformed files fail the job.
     """
-    row_type = schemas.TEST_SET_ROW
-    both = T.StructType([*row_type.fields, T.StructField("examples", T.ArrayType(row_type))])
-    raw = spark.read.schema(both).json(path)
-    wrapped = raw.filter(F.col("examples").isNotNull()).select(F.posexplode("examples").alias("position", "row"))
-    lines = raw.filter(F.col("examples").isNull()).select(
-        F.lit(None).cast("int").alias("position"), F.struct(*row_type.names).alias("row")
-    )
-    return wrapped.unionByName(lines).select("position", "row.*")
+    raw = spark.read.schema(schemas.TEST_SET_FILE).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return raw.select(F.posexplode("examples").alias("position", "row")).select("position", "row.*")
+
+
+def read_test_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Test-set rows of JSON-lines files, one example per line; splittable.
+
+    Lines have no order, so ``position`` is NULL and a missing id becomes a digest of the content. Malformed lines
+    fail the job.
+    """
+    rows = spark.read.schema(schemas.TEST_SET_ROW).option("mode", "FAILFAST").json(path)
+    content = F.sha2(F.to_json(F.struct(*[name for name in rows.columns if name != "id"])), 256)
+    return rows.withColumn("id", F.coalesce("id", content)).select(F.lit(None).cast("int").alias("position"), "*")
 
 
 def map_test_set(rows: DataFrame) -> DataFrame:

@@ -172,13 +172,23 @@ def test_wrapped_test_set(spark, tmp_path):
         {"user_input": "q1", "reference_contexts": ["c1"], "reference": "r1"},
         {"id": "x", "text": "t", "question": "ignored", "answers": {"text": ["first", "second"]}},
     ]
-    (tmp_path / "set.json").write_text(json.dumps({"examples": examples}))
+    (tmp_path / "set.json").write_text(json.dumps({"examples": examples}, indent=2))
     rows = readers.map_test_set(readers.read_test_set(spark, str(tmp_path / "set.json"))).orderBy("question").collect()
     assert [(r.question_id, r.question, r.context, r.answer) for r in rows] == [
         ("0", "q0", ["c"], "a"), ("1", "q1", ["c1"], "r1"), ("x", "t", [], "first"),
     ]
 
 
+def test_line_test_set(spark, tmp_path):
+    lines = [{"question": "q0", "answer": "a"}, {"question": "q1"}, {"id": "x", "text": "t"}]
+    (tmp_path / "set.jsonl").write_text("\n".join(map(json.dumps, lines)))
+    rows = readers.map_test_set(readers.read_test_lines(spark, str(tmp_path / "set.jsonl"))).orderBy("question").collect()
+    assert rows[2].question_id == "x" and len({r.question_id for r in rows}) == 3 and all(r.question_id for r in rows)
+    (tmp_path / "bad.json").write_text('{"examples": [')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_test_set(spark, str(tmp_path / "bad.json")).collect()
+
+
 def test_golden_set_checks_columns(spark):
     with pytest.raises(ValueError, match="reference"):
         readers.golden_set(spark.createDataFrame([("q",)], "user_input string"))

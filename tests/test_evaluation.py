@@ -117,3 +117,28 @@ def test_regressions_follow_direction(spark):
     deltas = spark.createDataFrame([("recall", -0.2), ("avg_latency_ms", 5.0), ("f1", 0.1)], "metric string, delta double")
     found = evaluation.regressions(deltas, reports.direction(F.col("metric")), 0.05)
     assert {r.metric for r in found.collect()} == {"recall", "avg_latency_ms"}
+
+
+def test_runs_are_scored_on_every_judged_query(spark):
+    rows = [("r1", "q1", "a", 1), ("r1", "q2", "b", 1), ("r2", "q1", "z", 1), ("r2", "q9", "z", 1)]
+    hits = spark.createDataFrame(rows, "run string, query_id string, doc_id string, rank int")
+    qrels = spark.createDataFrame([("q1", "a"), ("q2", "b"), ("q3", "c")], "query_id string, doc_id string")
+    found = evaluation.relevance_by_query(hits, qrels, ["run", "query_id"], on_empty="zero").collect()
+    assert {(r.run, r.query_id): r.recall for r in found} == {
+        ("r1", "q1"): 1.0, ("r1", "q2"): 1.0, ("r1", "q3"): 0.0, ("r2", "q1"): 0.0, ("r2", "q2"): 0.0, ("r2", "q3"): 0.0, ("r2", "q9"): 0.0,
+    }
+
+
+def test_empty_sides_stay(spark):
+    questions = spark.createDataFrame([("q",), ("none",)], "query_id string")
+    hits = spark.createDataFrame([("q", 0.5, "two words")], "query_id string, score double, content string")
+    rows = {r.query_id: r[1:] for r in evaluation.question_details(questions, hits, ["query_id"]).collect()}
+    assert rows == {"q": (1, 0.5, 0.5, 2), "none": (0, 0.0, 0.0, 0)}
+    old = spark.createDataFrame([("m", 1.0), ("gone", 2.0)], "metric string, value double")
+    new = spark.createDataFrame([("m", 1.5), ("new", 3.0)], "metric string, value double")
+    deltas = {r.metric: (r.delta, r.missing_in) for r in evaluation.metric_delta(old, new).collect()}
+    assert deltas == {"m": (0.5, None), "gone": (None, "current"), "new": (None, "baseline")}
+    texts = spark.createDataFrame([("en", ["aa"]), ("de", ["zz"])], "lang string, tokens array<string>")
+    terms = spark.createDataFrame([("x", "aa"), ("y", "bb")], "category string, term string")
+    cover = {(r.lang, r.category): r.coverage for r in evaluation.term_coverage(texts, terms, ["lang"]).collect()}
+    assert cover == {("en", "x"): 1.0, ("en", "y"): 0.0, ("de", "x"): 0.0, ("de", "y"): 0.0}

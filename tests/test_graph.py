@@ -99,10 +99,37 @@ def test_clustering(data, frames):
 def test_communities(data, frames):
     ids, pairs = data
     near, labels = neighbours(pairs), {v: v for v in ids}
-    for _ in range(4):
-        votes = {v: Counter(labels[w] for w in near[v]) for v in ids}
-        labels = {v: min(votes[v], key=lambda c: (-votes[v][c], c)) if votes[v] else labels[v] for v in ids}
-    assert {r.id: r.community for r in graph.communities(*frames, rounds=4).collect()} == labels
+    states = []
+    while labels not in states:
+        states.append(labels)
+        votes = {v: Counter(labels[w] for w in [*near[v], v]) for v in ids}
+        labels = {v: min(votes[v], key=lambda c: (-votes[v][c], c)) for v in ids}
+    rows = graph.communities(*frames).collect()
+    assert {r.id: r.community for r in rows} == labels
+    assert {r.converged for r in rows} == {labels == states[-1]}
+
+
+def test_communities_of_a_cycle_of_states(spark):
+    """A double star swaps its labels for ever: the first state of the cycle comes back, flagged."""
+    pairs = [(a, b) for a in ("a", "b") for b in ("x", "y", "z")]
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    vertices = spark.createDataFrame([(v,) for v in "abxyz"], "id string")
+    assert len({r.converged for r in graph.communities(vertices, edges).collect()}) == 1
+
+
+def test_long_paths_are_followed_to_the_end(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(12)], "src long, dst long")
+    vertices = spark.range(13).toDF("id")
+    found = {r.id: r.betweenness for r in graph.betweenness(vertices, edges, vertices).collect()}
+    assert found == pytest.approx({i: 2 * i * (12 - i) / (12 * 11) for i in range(13)})
+
+
+def test_embedding_paths_at_any_depth(spark):
+    text = '{"an_embedding":1}'
+    for _ in range(25):
+        text = '{"k":' + text + "}"
+    rows = spark.createDataFrame([({"top": text},)], "properties map<string,string>")
+    assert [r.path.count(".") for r in graph.embedding_paths(rows).collect()] == [27]
 
 
 def test_self_loop_counts_twice_and_endpoints_are_implicit(spark):
@@ -117,14 +144,19 @@ def test_parallel_edges_merge_key_by_key(spark):
     rels = spark.createDataFrame(rows, "source string, target string, type string, ordinal int, properties map<string,string>")
     edge = graph.simple_edges(rels, "ordinal").first()
     assert (edge.src, edge.dst) == ("a", "b")
-    assert edge.attributes == {"type": "unknown", "x": "1", "y": "n" * 50}
-
-
-def test_small_graph_is_viewed_whole(frames, spark):
-    vertices, edges = frames
-    assert graph.view_subgraph(vertices, edges, limit=50)[1].count() == edges.count()
-    chosen, kept = graph.view_subgraph(vertices, edges, limit=5)
-    assert chosen.count() == 5 and kept.count() >= 4
+    assert edge.attributes == {"type": "unknown", "x": "1", "y": "n" * 80}
+    cut = graph.simple_edges(rels, "ordinal", limit=50).first()
+    assert cut.attributes["y"] == "n" * 50
+
+
+def test_view_is_the_largest_component_by_degree(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (2, 4), (8, 9)], "src long, dst long")
+    vertices = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 8, 9, 10)], "id long")
+    members, inside = graph.largest_component(vertices, edges)
+    assert sorted(r.id for r in members.collect()) == [1, 2, 3, 4] and inside.count() == 3
+    chosen, kept = graph.view_subgraph(vertices, edges, top=2)
+    assert sorted(r.id for r in chosen.collect()) == [1, 2] and kept.count() == 1
+    assert graph.view_subgraph(vertices, edges, top=50)[1].count() == 3
 
 
 def test_neighbourhood_keeps_the_smallest_hop(spark):
