@@ -152,8 +152,8 @@ def mix(
     ]
     schema = ", ".join([*(f"{level} string" for level in levels), "leaf_budget bigint", "whole bigint", "part bigint"])
     table = spark.createDataFrame(plan, schema)
-    # One row per leaf: the planner broadcasts it by its size.
-    ordered = rows.join(table, list(levels)).withColumn(
+    # One row per leaf, all of which the driver holds already: broadcast, so that a hot leaf stays spread out.
+    ordered = rows.join(F.broadcast(table), list(levels)).withColumn(
         "place", F.xxhash64(F.lit(seed), F.col("whole"), F.col(key).cast("string"))
     )
     bits = max(0, (max(count, 1) // RANGE_ROWS).bit_length())
@@ -165,7 +165,7 @@ def mix(
     border = edge.join(table, list(levels)).filter("before < part AND upto >= part").select(
         *levels, F.col("range").alias("border"), "before"
     )
-    placed = materialise(cut.join(border, list(levels), "left"), "placed")
+    placed = materialise(cut.join(F.broadcast(border), list(levels), "left"), "placed")
     inside = W.Window.partitionBy(*levels).orderBy("place").rangeBetween(W.Window.unboundedPreceding, W.Window.currentRow)
     held = placed.filter("range = border")
     here = held.withColumn("earlier", F.col("before") + F.sum("n_tokens").over(inside) - _tied(levels)).withColumn(
