@@ -32,47 +32,82 @@ TILE_ROWS = 50_000
 
 @dataclass(frozen=True)
 class Scorer:
-    """How to score: ``prepare`` reads a query block, ``score`` gives a documents x queries matrix."""
+    """How to score: ``prepare`` reads a query block, ``score`` rates a batch of documents.
+
+    ``score`` gives a documents x queries matrix or, where most pairs share nothing, the pairs that do as three arrays
+    (document, query, score); pairs that are not named count as below ``floor``.
+    """
 
     prepare: Callable[[pa.Table], Any]
     query_ids: Callable[[Any], pd.Index]
-    score: Callable[[Any, pa.RecordBatch], np.ndarray]
+    score: Callable[[Any, pa.RecordBatch], np.ndarray | tuple[np.ndarray, np.ndarray, np.ndarray]]
     floor: float = -np.inf
 
 
-def _best(rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    ordered = rows.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
-    return ordered.groupby("query_id", sort=False).head(k)
+class _Best:
+    """The best ``k`` hits of each query so far.
 
+    Hits below a query's current k-th score are turned away; the others gather in a buffer that is cut back to ``k`` per
+    query whenever it has grown to twice what it has to hold.
+    """
 
-def _batch_candidates(scorer: Scorer, state: Any, batch: pa.RecordBatch, k: int) -> pd.DataFrame:
-    scores = np.round(scorer.score(state, batch), SCORE_DIGITS)
-    if scores.shape[0] > k:
-        edge = np.partition(scores, scores.shape[0] - k, axis=0)[scores.shape[0] - k]
-        wanted = (scores >= edge) & (scores > scorer.floor)
-    else:
+    def __init__(self, queries: int, k: int):
+        self.k, self.room = k, 2 * queries * k + 100_000
+        self.edge = np.full(queries, -np.inf)
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, query: np.ndarray, doc: np.ndarray, score: np.ndarray) -> None:
+        good = score >= self.edge[query]
+        if good.any():
+            self.parts.append((query[good], doc[good], score[good]))
+            self.size += int(good.sum())
+            if self.size > self.room:
+                self.cut()
+
+    def cut(self) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        if not self.parts:
+            return None
+        query, doc, score = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.lexsort((pd.factorize(doc, sort=True)[0], -score, query))
+        query = query[order]
+        first = np.searchsorted(query, query)
+        place = np.arange(len(query)) - first
+        kept = place < self.k
+        last = place == self.k - 1
+        self.edge[query[last]] = score[order][last]
+        self.parts = [(query[kept], doc[order][kept], score[order][kept])]
+        self.size = int(kept.sum())
+        return self.parts[0]
+
+
+def _batch_candidates(scorer: Scorer, state: Any, batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, document, score) of the pairs of a batch that can be among the best ``k``."""
+    found = scorer.score(state, batch)
+    if isinstance(found, tuple):
+        docs, queries, scores = found
+        scores = np.round(scores, SCORE_DIGITS)
         wanted = scores > scorer.floor
-    docs, queries = np.nonzero(wanted)
-    ids = batch.column("doc_id").to_pandas()
-    return pd.DataFrame(
-        {
-            "query_id": scorer.query_ids(state).to_numpy()[queries],
-            "doc_id": ids.to_numpy()[docs],
-            "score": scores[docs, queries],
-        }
-    )
+        docs, queries, scores = docs[wanted], queries[wanted], scores[wanted]
+    else:
+        matrix = np.round(found, SCORE_DIGITS)
+        wanted = matrix > scorer.floor
+        if len(matrix) > k:
+            wanted &= matrix >= np.partition(matrix, len(matrix) - k, axis=0)[len(matrix) - k]
+        docs, queries = np.nonzero(wanted)
+        scores = matrix[docs, queries]
+    return queries, batch.column("doc_id").to_pandas().to_numpy()[docs], scores
 
 
 def _task_topk(scorer: Scorer, state: Any, batches: Iterator[pa.RecordBatch], k: int) -> pd.DataFrame | None:
-    best: pd.DataFrame | None = None
-    width = max(1, len(scorer.query_ids(state)))
-    step = max(1, MATRIX_CELLS // width)
+    ids = scorer.query_ids(state).to_numpy()
+    best = _Best(len(ids), k)
+    step = max(1, MATRIX_CELLS // max(1, len(ids)))
     for batch in batches:
         for start in range(0, batch.num_rows, step):
-            found = _batch_candidates(scorer, state, batch.slice(start, step), k)
-            if len(found):
-                best = _best(found if best is None else pd.concat([best, found]), k)
-    return best
+            best.add(*_batch_candidates(scorer, state, batch.slice(start, step), k))
+    held = best.cut()
+    return held and pd.DataFrame({"query_id": ids[held[0]], "doc_id": held[1], "score": held[2]})
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:

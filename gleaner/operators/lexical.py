@@ -1,14 +1,15 @@
-"""BM25: term statistics in one corpus pass, then block scoring of the query set."""
+"""BM25: a stored index of term counts, then block scoring of the query set."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import words
@@ -24,7 +25,11 @@ EPSILON = 0.25
 
 @dataclass(frozen=True)
 class LexicalIndex:
-    """``docs(doc_id, tokens, dl)``, ``terms(term, df, idf)``, the corpus size and mean length."""
+    """``docs(doc_id, terms, counts, dl)``, ``terms(term, df, idf)``, the corpus size and mean length.
+
+    A document's different terms and their counts are two lists side by side, stored once: statistics and every search
+    read them, and no text is tokenised again.
+    """
 
     docs: DataFrame
     terms: DataFrame
@@ -32,41 +37,66 @@ class LexicalIndex:
     avgdl: float
 
     def postings(self) -> DataFrame:
-        """``(term, doc_id, tf)``. Each document is exploded in its own task before the shuffle."""
-        # A bare column here would be tokenised twice: the optimizer pushes a test of its size down.
-        tokens = F.filter("tokens", lambda term: term.isNotNull())
-        return (
-            self.docs.select("doc_id", F.explode(tokens).alias("term"))
-            .groupBy("term", "doc_id")
-            .agg(F.count(F.lit(1)).alias("tf"))
-        )
-
-
-def tokenised(corpus: DataFrame, text: str = "text") -> DataFrame:
-    tokens = words(F.col(text))
-    return corpus.select("doc_id", tokens.alias("tokens"), F.size(tokens).cast("bigint").alias("dl"))
+        """``(term, doc_id, tf)``, one row per document and different term."""
+        entries = F.arrays_zip(F.col("terms").alias("term"), F.col("counts").alias("tf"))
+        return self.docs.select("doc_id", F.inline(entries)).select("term", "doc_id", F.col("tf").cast("bigint").alias("tf"))
+
+    def save(self, path: str) -> None:
+        """Write the index below ``path``; :func:`load_index` reads it in any session."""
+        self.docs.write.parquet(f"{path}/docs")
+        self.terms.write.parquet(f"{path}/terms")
+        sizes = [(self.n_docs, self.avgdl)]
+        self.docs.sparkSession.createDataFrame(sizes, "n_docs bigint, avgdl double").coalesce(1).write.parquet(f"{path}/sizes")
+
+
+def load_index(spark: SparkSession, path: str) -> LexicalIndex:
+    sizes = spark.read.parquet(f"{path}/sizes").first()
+    return LexicalIndex(spark.read.parquet(f"{path}/docs"), spark.read.parquet(f"{path}/terms"), sizes.n_docs, sizes.avgdl)
+
+
+def counted(corpus: DataFrame, text: str = "text") -> DataFrame:
+    """``(doc_id, terms, counts, dl)``: the different words of each text, sorted, with their counts. No row moves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("tokens")
+            lengths = list_lengths(lists)
+            encoded = lists.flatten().dictionary_encode()
+            width = max(1, len(encoded.dictionary))
+            cells, counts = np.unique(
+                np.repeat(np.arange(batch.num_rows), lengths) * width + encoded.indices.to_numpy(), return_counts=True
+            )
+            ends = pa.array(np.searchsorted(cells // width, np.arange(batch.num_rows + 1)), pa.int32())
+            terms = pa.ListArray.from_arrays(ends, encoded.dictionary.take(pa.array(cells % width)))
+            tf = pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), terms, tf, pa.array(lengths, pa.int64())], ["doc_id", "terms", "counts", "dl"]
+            )
+
+    kind = corpus.schema["doc_id"].dataType.simpleString()
+    tokens = F.coalesce(words(F.col(text)), F.array().cast("array<string>"))
+    listed = corpus.select("doc_id", tokens.alias("tokens"))
+    return listed.mapInArrow(run, f"doc_id {kind}, terms array<string>, counts array<int>, dl bigint")
 
 
 def build_index(corpus: DataFrame, text: str = "text") -> LexicalIndex:
-    """Index ``corpus(doc_id, <text>)``.
+    """Index ``corpus(doc_id, <text>)``: tokenised and stored once, then statistics from what is stored.
 
-    One pass: every document gives its distinct words plus one NULL word that carries its length, so
-    the same map-side combined aggregation yields document frequencies, corpus size and mean length.
+    Every document gives its different words plus one NULL word that carries its length, so the same map-side combined
+    aggregation yields document frequencies, corpus size and mean length.
     """
-    docs = tokenised(corpus, text)
-    marked = docs.select(
-        "dl", F.explode(F.concat(F.array_distinct("tokens"), F.array(F.lit(None).cast("string")))).alias("term")
-    )
-    counted = materialise(
+    docs = materialise(counted(corpus, text), "lexical-docs")
+    marked = docs.select("dl", F.explode(F.concat("terms", F.array(F.lit(None).cast("string")))).alias("term"))
+    tallied = materialise(
         marked.groupBy("term").agg(
             F.count(F.lit(1)).alias("df"),
             F.sum(F.when(F.col("term").isNull(), F.col("dl"))).alias("total_dl"),
         ),
         "terms",
     )
-    sizes = counted.filter(F.col("term").isNull()).select("df", "total_dl").first()
+    sizes = tallied.filter(F.col("term").isNull()).select("df", "total_dl").first()
     n_docs, avgdl = (sizes.df, sizes.total_dl / sizes.df) if sizes else (0, 1.0)
-    raw = counted.filter(F.col("term").isNotNull()).select(
+    raw = tallied.filter(F.col("term").isNotNull()).select(
         "term", "df", (F.log(F.lit(n_docs) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw_idf")
     )
     # Words in more than half of the documents get a small positive weight instead of a negative one.
@@ -107,23 +137,22 @@ def _prepare(block: pa.Table) -> dict:
 
 
 def _bm25_scores(k1: float, b: float):
-    def score(state: dict, batch: pa.RecordBatch) -> np.ndarray:
-        n_queries = len(state["ids"])
-        n_terms = max(1, len(state["vocabulary"]))
-        lists = batch.column("tokens")
+    def score(state: dict, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n_queries = max(1, len(state["ids"]))
+        lists = batch.column("terms")
         codes = pc.index_in(lists.flatten(), value_set=state["vocabulary"])
-        rows = np.repeat(np.arange(batch.num_rows), list_lengths(lists))
         known = codes.is_valid().to_numpy(zero_copy_only=False)
-        pairs = rows[known] * n_terms + codes.drop_null().to_numpy()
-        pairs, tf = np.unique(pairs, return_counts=True)
-        doc, term = pairs // n_terms, pairs % n_terms
+        doc = np.repeat(np.arange(batch.num_rows), list_lengths(lists))[known]
+        term = codes.drop_null().to_numpy().astype(np.int64)
+        tf = batch.column("counts").flatten().to_numpy(zero_copy_only=False)[known]
         dl = batch.column("dl").to_numpy()
         gain = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl[doc] / state["avgdl"]))
-        # Spread every (document, term) gain over the queries that ask for the term, in bounded pieces.
+        # Spread every (document, term) gain over the queries that ask for the term, in bounded pieces; only pairs that
+        # share a term are ever held.
         first = state["starts"][term]
         fan = state["starts"][term + 1] - first
         reach = np.cumsum(fan)
-        scores = np.zeros(batch.num_rows * n_queries)
+        pairs, totals = np.empty(0, np.int64), np.empty(0)
         start = 0
         while start < len(term):
             done = reach[start - 1] if start else 0
@@ -131,10 +160,12 @@ def _bm25_scores(k1: float, b: float):
             width = fan[start:stop]
             spread = np.repeat(np.arange(start, stop), width)
             slot = first[spread] + np.arange(len(spread)) - np.repeat(np.cumsum(width) - width, width)
-            cells = doc[spread] * n_queries + state["queries"][slot]
-            scores += np.bincount(cells, gain[spread] * state["weights"][slot], len(scores))
+            cells = np.concatenate([pairs, doc[spread] * n_queries + state["queries"][slot]])
+            values = np.concatenate([totals, gain[spread] * state["weights"][slot]])
+            pairs, place = np.unique(cells, return_inverse=True)
+            totals = np.bincount(place, values, len(pairs))
             start = stop
-        return scores.reshape(batch.num_rows, n_queries)
+        return pairs // n_queries, pairs % n_queries, totals
 
     return score
 

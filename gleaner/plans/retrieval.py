@@ -15,8 +15,10 @@ from gleaner.session import materialise
 
 
 def bm25_hits(t: Tables, k: int = 4, corpus: DataFrame | None = None, questions: DataFrame | None = None) -> DataFrame:
-    index = lexical.build_index(corpus if corpus is not None else t.corpus)
-    return lexical.bm25(index, questions if questions is not None else t.questions, k)
+    """Hits from an index that was saved and loaded again."""
+    path = t.scratch("lexical-index")
+    lexical.build_index(corpus if corpus is not None else t.corpus).save(path)
+    return lexical.bm25(lexical.load_index(t.spark, path), questions if questions is not None else t.questions, k)
 
 
 def vectors(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -56,7 +58,7 @@ def _rank_sql(scores: str, k: int) -> str:
 PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM ({scores})) WHERE rank <= {k}"""
 
 
-@query("lexical_index", f"WITH {sql.bm25('', 1)} SELECT term, df, round(idf, 9) AS idf FROM idf")
+@query("lexical_index", f"WITH {sql.idf('')} SELECT term, df, round(idf, 9) AS idf FROM idf")
 def lexical_index(t: Tables) -> DataFrame:
     return lexical.build_index(t.corpus).terms.select("term", "df", F.round("idf", 9).alias("idf"))
 

@@ -19,16 +19,21 @@ def sentences(text: str) -> str:
     return f"list_filter(list_transform({parts}, lambda s: {strip('s')}), lambda s: s <> '')"
 
 
-def bm25(p: str, k: int, corpus: str = CORPUS, queries: str = QUESTIONS) -> str:
-    """CTEs ending in ``{p}hits(query_id, doc_id, score, rank)``."""
+def idf(p: str, corpus: str = CORPUS) -> str:
+    """CTEs ending in ``{p}idf(term, df, idf)``."""
     return f"""
-{p}c AS ({corpus}), {p}q AS ({queries}),
+{p}c AS ({corpus}),
 {p}tok AS (SELECT doc_id, unnest({words('text')}) AS term FROM {p}c),
 {p}dl AS (SELECT doc_id, len({words('text')}) AS dl FROM {p}c),
 {p}st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM {p}dl),
 {p}df AS (SELECT term, count(DISTINCT doc_id) AS df FROM {p}tok GROUP BY term),
 {p}raw AS (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS w FROM {p}df, {p}st),
-{p}idf AS (SELECT term, df, CASE WHEN w < 0 THEN 0.25 * (SELECT avg(w) FROM {p}raw) ELSE w END AS idf FROM {p}raw),
+{p}idf AS (SELECT term, df, CASE WHEN w < 0 THEN 0.25 * (SELECT avg(w) FROM {p}raw) ELSE w END AS idf FROM {p}raw)"""
+
+
+def bm25(p: str, k: int, corpus: str = CORPUS, queries: str = QUESTIONS) -> str:
+    """CTEs ending in ``{p}hits(query_id, doc_id, score, rank)``."""
+    return f"""{idf(p, corpus)}, {p}q AS ({queries}),
 {p}qt AS (SELECT query_id, term, count(*) AS qtf FROM (SELECT query_id, unnest({words('text')}) AS term FROM {p}q) GROUP BY ALL),
 {p}tf AS (SELECT doc_id, term, count(*) AS tf FROM {p}tok WHERE term IN (SELECT term FROM {p}qt) GROUP BY ALL),
 {p}sc AS (SELECT query_id, doc_id, round(sum(qtf * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 6) AS score

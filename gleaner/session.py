@@ -31,21 +31,34 @@ def build_session(app_name: str = "gleaner", master: str | None = None, **conf:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or the checkpoint folder that the program set itself.
 
-    Where the setting is missing (tests, a laptop) a temporary folder is made and remembered in the
-    session, so a cluster never falls back to a machine-local path once the setting is there.
+    Without either nothing can be shared between executors, so it fails.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None)
+    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="gleaner-")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch root; never reused, so a rerun cannot read old data."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+#: The scratch paths handed out, by application.
+_scratch: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all scratch data of this application, once its results are written elsewhere; the number of paths."""
+    paths = _scratch.pop(spark.sparkContext.applicationId, [])
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    return len(paths)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

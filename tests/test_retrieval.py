@@ -75,6 +75,54 @@ def test_bm25_is_the_same_in_tiles(frames, monkeypatch):
     assert as_rows(lexical.bm25(index, queries, k=4, max_query_rows=7)) == whole
 
 
+def test_saved_index_gives_the_same_hits(frames, spark, tmp_path):
+    corpus, queries = frames
+    index = lexical.build_index(corpus)
+    index.save(str(tmp_path / "index"))
+    loaded = lexical.load_index(spark, str(tmp_path / "index"))
+    assert as_rows(lexical.bm25(loaded, queries, k=4)) == as_rows(lexical.bm25(index, queries, k=4))
+    assert sorted(map(tuple, loaded.postings().collect())) == sorted(map(tuple, index.postings().collect()))
+
+
+def test_best_keeps_the_head_of_every_query():
+    rng = np.random.default_rng(5)
+    query, doc, score = rng.integers(0, 20, 5000), rng.permutation(5000), rng.integers(0, 30, 5000).astype(float)
+    best = blocks._Best(20, 6)
+    best.room = 200
+    for part in np.array_split(np.arange(5000), 40):
+        best.add(query[part], doc[part], score[part])
+    got = sorted(zip(*best.cut(), strict=True))
+    want = []
+    for q in range(20):
+        rows = sorted((-s, d) for x, d, s in zip(query, doc, score, strict=True) if x == q)[:6]
+        want += [(q, d, -s) for s, d in rows]
+    assert got == sorted(want)
+
+
+def test_scratch_needs_a_shared_folder(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from gleaner import session
+
+    bare = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="checkpoint"):
+        session.scratch_root(bare)
+    bare.sparkContext.getCheckpointDir = lambda: "shared://x/"
+    assert session.scratch_root(bare) == "shared://x"
+
+
+def test_release_deletes_what_was_handed_out(spark, monkeypatch):
+    from pathlib import Path
+
+    from gleaner import session
+
+    monkeypatch.setattr(session, "_scratch", {})
+    kept = session.materialise(spark.range(3), "kept")
+    assert kept.count() == 3
+    folder = Path(session._scratch[spark.sparkContext.applicationId][0].removeprefix("file:"))
+    assert folder.exists() and session.release(spark) == 1 and not folder.exists()
+
+
 def unit(rng, n, dims):
     v = rng.normal(size=(n, dims))
     return v / np.linalg.norm(v, axis=1, keepdims=True)
