@@ -28,7 +28,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE = 400_000
+from gleaner.llm.common import map_batches
+
+CACHE = 100_000
 UNKNOWN = "<unk>"
 
 
@@ -219,7 +221,7 @@ def _mapped(rows: DataFrame, path: str, pattern: str, new: list, without: list[s
                 old = [part.column(f.name) for f in kept]
                 yield pa.RecordBatch.from_arrays([*old, *convert(codec, part)], names)
 
-    return rows.mapInArrow(run, T.StructType([*kept, *new]))
+    return map_batches(rows, run, T.StructType([*kept, *new]))
 
 
 def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:

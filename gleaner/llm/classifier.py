@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.llm.common import map_batches
 from gleaner.session import materialise
 
 FEATURES = [
@@ -81,7 +82,7 @@ def statistics(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), stats], ["doc_id", "stats"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, stats array<float>")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, stats array<float>")
 
 
 @dataclass
@@ -181,7 +182,7 @@ def scored(stats: DataFrame, forest: Forest) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.score(table))], ["doc_id", "score"])
 
     kind = stats.schema["doc_id"].dataType.simpleString()
-    return stats.select("doc_id", "stats").mapInArrow(run, f"doc_id {kind}, score double")
+    return map_batches(stats.select("doc_id", "stats"), run, f"doc_id {kind}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

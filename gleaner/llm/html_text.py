@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from gleaner.llm.common import map_batches
+
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL
@@ -275,4 +277,4 @@ def extract(pages: DataFrame, source: str = "html") -> DataFrame:
             texts = pa.array([main_text(p.as_py()) for p in batch.column(source)], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), texts], [*(f.name for f in kept), "text"])
 
-    return pages.drop("text").mapInArrow(run, T.StructType([*kept, T.StructField("text", T.StringType())]))
+    return map_batches(pages.drop("text"), run, T.StructType([*kept, T.StructField("text", T.StringType())]))

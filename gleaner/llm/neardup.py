@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import by_ids
+from gleaner.llm.common import by_ids, map_batches
 from gleaner.session import materialise
 
 SHINGLE = 5
@@ -126,7 +126,7 @@ def sketch(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_shingles bigint, digest binary, signature binary"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(offsets, values)], ["doc_id", "shingles"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, shingles array<bigint>")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, shingles array<bigint>")
 
 
 def bucket_members(sketches: DataFrame) -> DataFrame:
@@ -184,7 +184,7 @@ def similar_signatures(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
         F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILARITY
     )
     kind = pairs.schema["a"].dataType.simpleString()
-    return both.select("a", "b", "s_a", "s_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return map_batches(both.select("a", "b", "s_a", "s_b"), run, f"a {kind}, b {kind}")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from gleaner.llm.common import map_batches
 from gleaner.session import materialise
 
 BLOCK_BYTES = 16 << 20
@@ -93,7 +94,7 @@ def _pass(candidates: DataFrame, block, size: int, k: int) -> DataFrame:
                 best.merge(scores, places, scores_of_own)
         yield from best.rows(ids)
 
-    return candidates.mapInArrow(run, "query_id bigint, id bigint, score bigint")
+    return map_batches(candidates, run, "query_id bigint, id bigint, score bigint")
 
 
 def postings(matrix: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
