@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import deque
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -47,7 +49,7 @@ def split_recursive(text: str, size: int, overlap: int, separators: list[str]) -
     finer = separators[separators.index(separator) + 1 :] if present else []
     pieces = [p for p in (text.split(separator) if separator else list(text)) if p]
     chunks: list[str] = []
-    window: list[str] = []
+    window: deque[str] = deque()
     width = 0
 
     def flush() -> None:
@@ -59,14 +61,14 @@ def split_recursive(text: str, size: int, overlap: int, separators: list[str]) -
         if len(piece) >= size and finer:
             if window:
                 flush()
-                window, width = [], 0
+                window, width = deque(), 0
             chunks.extend(split_recursive(piece, size, overlap, finer))
             continue
         gap = len(separator) if window else 0
         if window and width + gap + len(piece) > size:
             flush()
             while window and (width > overlap or width + len(separator) + len(piece) > size):
-                width -= len(window.pop(0)) + (len(separator) if window else 0)
+                width -= len(window.popleft()) + (len(separator) if window else 0)
         width += len(piece) + (len(separator) if window else 0)
         window.append(piece)
     if window:

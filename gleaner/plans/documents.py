@@ -63,7 +63,7 @@ def csv_documents(t: Tables) -> DataFrame:
     path = t.scratch("reviews")
     rows.write.partitionBy("volume").options(header=True, quote='"', escape='"', emptyValue="").csv(path)
     paths = [f"{path}/volume={n}" for n in range(1, 6)]  # the fifth does not exist and is skipped
-    docs = readers.read_csv_documents(t.spark, paths, REVIEW_SCHEMA, path_pattern=".*volume=([0-9]+)/.*", title="Volume $1")
+    docs = readers.read_csv_documents(t.spark, paths, REVIEW_SCHEMA, path_pattern=".*volume=([0-9]+)/.*", title="Volume $1", quoted_newlines=True)
     docs = readers.shifted_access(docs, F.lit("2024-02-01").cast("timestamp"), parts=4)
     return docs.select(F.md5("page_content").alias("content_print"), "Review_Title", "Author", "Rating", "bad_rating", "Movie_Title", "last_accessed_at")
 
@@ -144,15 +144,48 @@ def new_items(t: Tables) -> DataFrame:
     return readers.new_items(t.documents.select("doc_id", "lang"), t.labels, "doc_id")
 
 
-@query("file_listing")
+def passages(t: Tables, name: str) -> str:
+    """The passages written as one text file each."""
+    path = t.scratch(name)
+    t.benchmark.select("item_id", "text").write.partitionBy("item_id").text(path)
+    return path
+
+
+def _item(path: str):
+    return F.regexp_extract(path, "item_id=([0-9]+)/", 1).cast("bigint").alias("item_id")
+
+
+@query("file_listing", "SELECT item_id, strlen(text) + 1 AS length FROM benchmark")
 def file_listing(t: Tables) -> DataFrame:
-    """The table files themselves: size and change time, contents not read."""
-    return readers.list_binary(t.spark, t.folder, "*.parquet")
+    """Listing of the passages' files: sizes only, contents not read."""
+    return readers.list_binary(t.spark, passages(t, "listing"), "*.txt").select(_item("path"), "length")
+
+
+@query("text_directory", "SELECT item_id, md5(text || chr(10)) AS text_print FROM benchmark")
+def text_directory(t: Tables) -> DataFrame:
+    """The passages' files read back, one row per file."""
+    read = readers.read_text_files(t.spark, f"{passages(t, 'texts')}/*")
+    return read.select(_item("source"), F.md5("page_content").alias("text_print"))
+
 
+ROW_PRINT = "md5(coalesce('=' || doc_id, '-') || chr(1) || coalesce('=' || text, '-') || chr(1) || coalesce('=' || lang, '-'))"
 
-@query("folder_fingerprint")
+
+@query("folder_fingerprint", f"""SELECT source, count(*) AS n_rows, (sum(('0x' || substr({ROW_PRINT}, 1, 12))::BIGINT) % 4611686018427387904)::BIGINT AS digest_a,
+(sum(('0x' || substr({ROW_PRINT}, 13, 12))::BIGINT) % 4611686018427387904)::BIGINT AS digest_b FROM documents GROUP BY source""")
 def folder_fingerprint(t: Tables) -> DataFrame:
-    return readers.folder_fingerprint(readers.list_binary(t.spark, t.folder, "*.parquet"))
+    """Fingerprint of the content of each source of the documents."""
+    return readers.content_fingerprint(t.documents, ["source"], ["doc_id", "text", "lang"])
+
+
+@query("changed_keys", """SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'added' WHEN doc_id % 7 = 0 THEN 'removed' ELSE 'changed' END AS change
+FROM documents WHERE (doc_id % 11 = 0 OR doc_id % 7 = 0 OR doc_id % 5 = 0) AND NOT (doc_id % 11 = 0 AND doc_id % 7 = 0)""")
+def changed_keys(t: Tables) -> DataFrame:
+    """Two loads of the documents: some are new, some gone, some have another text."""
+    old = t.documents.filter("doc_id % 11 <> 0")
+    edited = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    new = t.documents.filter("doc_id % 7 <> 0").withColumn("text", edited)
+    return readers.changed_keys(old, new, "doc_id", ["text"])
 
 
 # --- sinks ---------------------------------------------------------------------------------------
@@ -356,6 +389,20 @@ def recursive_chunks(t: Tables) -> DataFrame:
     return chunks.select("doc_id", "chunk_id", F.length("chunk_text").alias("n_chars"), F.md5("chunk_text").alias("chunk_print"))
 
 
+@query("recursive_chunk_checks", "SELECT doc_id, true AS short, true AS inside, true AS whole FROM documents WHERE trim(text) <> ''")
+def recursive_chunk_checks(t: Tables) -> DataFrame:
+    """What holds for the chunks of every text: none is longer than the size, each lies in the text, and the first and
+    the last hold its two ends."""
+    chunks = chunking.recursive_chunks(t.corpus, 500, 50).join(t.corpus, "doc_id")
+    inside = F.contains("text", F.col("chunk_text"))
+    first, last = F.min_by("chunk_text", "chunk_id"), F.max_by("chunk_text", "chunk_id")
+    text = F.trim(F.first("text"))
+    ends = F.startswith(text, F.trim(first)) & F.endswith(text, F.trim(last))
+    return chunks.groupBy("doc_id").agg(
+        (F.max(F.length("chunk_text")) <= 500).alias("short"), F.every(inside).alias("inside"), ends.alias("whole")
+    )
+
+
 @query("child_chunks", """SELECT doc_id || '#' || i AS doc_id, doc_id AS parent_id, i::INTEGER AS chunk_id, md5(substr(text, (200 * i + 1)::BIGINT, 200)) AS chunk_print
 FROM (SELECT doc_id, text, unnest(range(0, greatest((length(text) + 199) // 200, 1))) AS i FROM documents)""")
 def child_chunks(t: Tables) -> DataFrame:

@@ -358,12 +358,13 @@ MENTIONS = ENTITY_SQL.format(words=sql.words("text"), source="documents")
 
 @query("graph_neighbourhood", f"""WITH {sql.bm25('', 4)}, m AS ({MENTIONS}),
 n0 AS (SELECT query_id, 'doc:' || doc_id AS id, 0 AS hop FROM hits),
-n1 AS (SELECT DISTINCT query_id, 'entity:' || e AS id, 1 AS hop FROM hits JOIN m USING (doc_id))
-SELECT * FROM n0 UNION ALL SELECT * FROM n1""")
+n1 AS (SELECT DISTINCT query_id, 'entity:' || e AS id, 1 AS hop FROM hits JOIN m USING (doc_id)),
+n2 AS (SELECT DISTINCT query_id, 'doc:' || m.doc_id AS id, 2 AS hop FROM n1 JOIN m ON n1.id = 'entity:' || m.e)
+SELECT * FROM n0 UNION ALL SELECT * FROM n1 UNION ALL SELECT n2.* FROM n2 ANTI JOIN n0 USING (query_id, id)""")
 def graph_neighbourhood(t: Tables) -> DataFrame:
     seeds = bm25_hits(t).select("query_id", F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("id"))
     edges = testset.mentions(t.corpus).select(F.col("source").alias("src"), F.col("target").alias("dst"))
-    return neighbourhood(seeds, edges, hops=1)
+    return neighbourhood(seeds, edges, hops=2)
 
 
 @query("compressed_context", f"""WITH {sql.bm25('', 4)},
@@ -385,7 +386,20 @@ def compressed_context(t: Tables) -> DataFrame:
     )
 
 
-@query("mmr_topk")
+def _greedy_sql(k: int) -> str:
+    """The greedy choice, one step per rank, over ``hits`` (the fetch) and ``dvec`` (the documents' vectors)."""
+    steps = ["""sim AS (SELECT x.query_id, x.doc_id AS a, y.doc_id AS b, coalesce(sum(u.x * v.x), 0) AS s FROM hits x JOIN hits y USING (query_id)
+LEFT JOIN dvec u ON u.doc_id = x.doc_id LEFT JOIN dvec v ON v.doc_id = y.doc_id AND v.b = u.b GROUP BY ALL),
+p0 AS (SELECT query_id, doc_id, score, 0 AS rank FROM hits WHERE false)"""]
+    for n in range(1, k + 1):
+        steps.append(f"""p{n} AS (SELECT * FROM p{n - 1} UNION ALL SELECT query_id, doc_id, score, {n} FROM (
+SELECT h.query_id, h.doc_id, h.score, row_number() OVER (PARTITION BY h.query_id ORDER BY round(0.5 * h.score - 0.5 * coalesce(c.closest, 0), 9) DESC, h.score DESC, h.doc_id) AS r
+FROM hits h LEFT JOIN (SELECT sim.query_id, sim.a, max(s) AS closest FROM sim JOIN p{n - 1} q ON q.query_id = sim.query_id AND q.doc_id = sim.b GROUP BY ALL) c
+ON c.query_id = h.query_id AND c.a = h.doc_id WHERE NOT EXISTS (SELECT 1 FROM p{n - 1} q WHERE q.query_id = h.query_id AND q.doc_id = h.doc_id)) WHERE r = 1)""")
+    return ", ".join(steps)
+
+
+@query("mmr_topk", f"WITH {sql.dense('', 15)}, {_greedy_sql(5)} SELECT query_id, doc_id, score, rank::INTEGER AS rank FROM p5")
 def mmr_topk(t: Tables) -> DataFrame:
     corpus = vectors(t.corpus, "doc_id")
     fetched = dense.dense(corpus, vectors(t.questions, "query_id"), 15).drop("rank")

@@ -21,18 +21,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def read_csv_documents(
     spark: SparkSession, paths: list[str], schema: T.StructType, metadata: list[str] | None = None,
-    path_pattern: str = "([^/]*)$", title: str = "$1",
+    path_pattern: str = "([^/]*)$", title: str = "$1", quoted_newlines: bool = False,
 ) -> DataFrame:
     """CSV files to documents: named columns become metadata, the rest ``name: value`` content lines.
 
     Missing paths are skipped. ``title`` is made from the file path by ``path_pattern``, and ``part``
-    is the pattern's number in it. A rating that is not a number is quarantined in ``bad_rating``.
+    is the pattern's number in it. A rating that is not a number is quarantined in ``bad_rating``. Files are split
+    between tasks unless ``quoted_newlines`` says that a quoted value may hold a line feed.
     """
     named = metadata or schemas.REVIEW_METADATA
     present = [path for path in paths if _exists(spark, path)]
     raw = (
         spark.read.schema(schema)
-        .options(header=True, multiLine=True, quote='"', escape='"')
+        .options(header=True, multiLine=quoted_newlines, quote='"', escape='"')
         .csv(present)
         .withColumn("path", F.col("_metadata.file_path"))
     )
@@ -65,6 +66,7 @@ def list_binary(spark: SparkSession, path: str, glob: str = "*.pdf", fingerprint
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length"),
         F.col("modificationTime").alias("modified"),
+        F.col("path"),
     ]
     if fingerprint:
         columns.append(F.sha2("content", 256).alias("sha256"))
@@ -78,9 +80,40 @@ def files_without_content(files: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def folder_fingerprint(files: DataFrame) -> DataFrame:
-    """One digest per folder state, independent of order and combined without collecting the names."""
-    digest = F.xxhash64("file_name", "length", "modified")
-    return files.agg(F.count(F.lit(1)).alias("n_files"), F.bit_xor(digest).alias("digest"))
+    """One digest per folder state, independent of order and combined without collecting the names.
+
+    Two sums of hashes of the whole path, size and change time: files that swap places or cancel out in one of them
+    show in the other.
+    """
+    facts = [F.col("path"), F.col("length"), F.col("modified")]
+    add = lambda h: F.sum(h.cast("decimal(38,0)"))
+    return files.agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"),
+        F.sha2(F.concat_ws("|", add(F.xxhash64(*facts)), add(F.xxhash64(F.lit(1), *facts))), 256).alias("digest"),
+    )
+
+
+def row_digest(columns: list[str]) -> Column:
+    """The md5 of a row's columns; NULL differs from every text."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.md5(F.concat_ws("\u0001", *parts))
+
+
+def content_fingerprint(rows: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """Row count and order-independent digest of the content of each group of rows."""
+    def half(start: int) -> Column:
+        number = F.conv(F.substring(row_digest(columns), start, 12), 16, 10).cast("decimal(38,0)")
+        return (F.sum(number) % F.lit(1 << 62)).cast("bigint")
+
+    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), half(1).alias("digest_a"), half(13).alias("digest_b"))
+
+
+def changed_keys(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``(key, change)`` of the keys that were added, removed or changed between two loads."""
+    before = old.select(key, row_digest(columns).alias("before"))
+    after = new.select(key, row_digest(columns).alias("after"))
+    change = F.when(F.col("before").isNull(), "added").when(F.col("after").isNull(), "removed").otherwise("changed")
+    return before.join(after, key, "full").filter(~F.col("before").eqNullSafe(F.col("after"))).select(key, change.alias("change"))
 
 
 def read_text_files(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
@@ -200,12 +233,25 @@ def read_graph_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFram
 def read_json_folder(
     spark: SparkSession, path: str, schema: T.StructType, glob: str = "*.json", processed: DataFrame | None = None
 ) -> DataFrame:
-    """JSON rows of a folder with their file, leaving out files named in ``processed(file_path)``."""
-    rows = (
-        spark.read.schema(schema).option("pathGlobFilter", glob).option("recursiveFileLookup", True).json(path)
-        .select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
+    """JSON rows of a folder with their file. Files named in ``processed(file_path)`` are left out before the read."""
+    reader = spark.read.schema(schema).option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    paths: str | list[str] = path
+    if processed is not None:
+        listed = list_binary(spark, path, glob).select(_plain_path("path").alias("file_path"))
+        fresh = listed.join(processed.select(_plain_path("file_path").alias("file_path")), "file_path", "left_anti")
+        # Names only, as the reader's own listing holds them.
+        paths = [row.file_path for row in fresh.collect()]
+    rows = reader.json(paths) if paths else spark.createDataFrame([], schema).withColumns(
+        {"file_path": F.lit(None).cast("string"), "file_size": F.lit(None).cast("bigint")}
     )
-    return rows.join(processed, "file_path", "left_anti") if processed is not None else rows
+    if not paths:
+        return rows
+    return rows.select("*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
+
+
+def _plain_path(column: str) -> Column:
+    """A file path with one slash after its scheme where it names no host."""
+    return F.regexp_replace(column, "^(\\w+):///", "$1:/")
 
 
 def new_items(items: DataFrame, existing: DataFrame, key: str) -> DataFrame:

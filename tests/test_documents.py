@@ -6,6 +6,7 @@ import json
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner.functions.text import html_text, html_title, mask, redact, sentences, truncate
 from gleaner.operators import chunking, shaping
@@ -141,7 +142,7 @@ def test_review_csv(spark, tmp_path):
     (tmp_path / "jw1.csv").write_text(f'{header}\n2020,T,u,A,8,"line one\nsays ""hi""",en\n2020,T2,u,A,,x,en\n')
     (tmp_path / "jw3.csv").write_text(f"{header}\n2021,T3,u,B,bad,y,de\n")
     paths = [str(tmp_path / f"jw{n}.csv") for n in (1, 2, 3)]
-    docs = readers.read_csv_documents(spark, paths, REVIEW_SCHEMA, path_pattern=".*/jw([0-9])[.]csv", title="Volume $1")
+    docs = readers.read_csv_documents(spark, paths, REVIEW_SCHEMA, path_pattern=".*/jw([0-9])[.]csv", title="Volume $1", quoted_newlines=True)
     docs = readers.shifted_access(docs, F.lit("2024-02-01").cast("timestamp"), 4)
     rows = {r.Review_Title: r for r in docs.collect()}
     assert rows["T"].page_content == 'text: line one\nsays "hi"\nlang: en' and rows["T"].Rating == 8
@@ -166,6 +167,30 @@ def test_text_and_binary_files(spark, tmp_path):
     assert (before.n_files, after.n_files) == (2, 3) and before.digest != after.digest
 
 
+def test_fingerprints_of_folders_and_content(spark, tmp_path):
+    for name in ("x", "y"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "same.pdf").write_bytes(b"1")
+    both = readers.folder_fingerprint(readers.list_binary(spark, str(tmp_path))).first()
+    one = readers.folder_fingerprint(readers.list_binary(spark, str(tmp_path / "x"))).first()
+    assert both.n_files == 2 and both.digest != one.digest
+    old = spark.createDataFrame([(1, "a"), (2, None), (3, "c"), (4, "")], "k int, t string")
+    new = spark.createDataFrame([(1, "a"), (2, ""), (4, ""), (5, "e")], "k int, t string")
+    found = {r.k: r.change for r in readers.changed_keys(old, new, "k", ["t"]).collect()}
+    assert found == {2: "changed", 3: "removed", 5: "added"}
+
+
+def test_processed_json_files_are_not_read(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"v": 1}')
+    (tmp_path / "b.json").write_text('{"v": 2}')
+    schema = T.StructType().add("v", T.IntegerType())
+    rows = readers.read_json_folder(spark, str(tmp_path), schema)
+    done = rows.filter("v = 1").select("file_path")
+    rest = readers.read_json_folder(spark, str(tmp_path), schema, processed=done)
+    assert [r.v for r in rest.collect()] == [2] and all(f.endswith("b.json") for f in rest.inputFiles())
+    assert readers.read_json_folder(spark, str(tmp_path), schema, processed=rows.select("file_path")).count() == 0
+
+
 def test_wrapped_test_set(spark, tmp_path):
     examples = [
         {"question": "q0", "context": ["c"], "answer": "a"},
