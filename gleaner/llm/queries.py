@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm import bpe, chat, classifier, html_text, licences, mixing, neardup, pii, quality_rules, topk
@@ -158,25 +158,27 @@ def exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter("id % 100 = 0"), 10).withColumnRenamed("id", "vec_id")
 
 
-#: A document whose crc32 leaves this remainder is held out: its label is never learnt.
-HELD_OUT = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
 ACCEPTED = 0.7
 
 
+def held_out() -> Column:
+    """A document whose crc32 leaves this remainder is held out: its label is never learnt."""
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
 def quality_scores(spark: SparkSession, folder: str, docs: DataFrame) -> DataFrame:
-    labels = table(spark, folder, "labels").filter(~HELD_OUT).select("doc_id", F.col("quality").alias("label"))
+    labels = table(spark, folder, "labels").filter(~held_out()).select("doc_id", F.col("quality").alias("label"))
     return classifier.classify(docs, labels)
 
 
 @query("op6_quality_trees")
 def quality_trees(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(spark, folder, table(spark, folder, "documents")).select(
-        "doc_id", HELD_OUT.alias("held_out"), "score", (F.col("score") >= ACCEPTED).cast("int").alias("predicted")
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= ACCEPTED).cast("int").alias("predicted")
     )
 
 
 #: The mixture of the registered query: sources in four domains, English twice as heavy, one source five times.
-DOMAIN = F.concat(F.lit("domain"), F.coalesce(F.regexp_extract("source", "([0-9]+)$", 1).cast("int"), F.lit(0)) % 4)
 MIX_WEIGHTS = {("domain0",): 4.0, ("domain1",): 3.0, ("domain2",): 2.0, ("domain0", "en"): 2.0, ("domain1", "en"): 2.0,
                ("domain0", "en", "src0"): 5.0}
 MIX_FRACTION = 0.6
@@ -184,9 +186,15 @@ MIX_EPOCHS = 2
 MIX_SEED = 17
 
 
+def domain() -> Column:
+    """The domain of a source: the remainder of its number; sources without a number are in the first."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]{1,9})$", 1).try_cast("int")
+    return F.concat(F.lit("domain"), F.coalesce(number, F.lit(0)) % 4)
+
+
 def mixture(docs: DataFrame, **options) -> DataFrame:
     options = {"fraction": MIX_FRACTION, "epochs": MIX_EPOCHS, "seed": MIX_SEED} | options
-    return mixing.mix(docs.withColumn("domain", DOMAIN), mixing.word_tokens(F.col("text")), MIX_WEIGHTS, **options)
+    return mixing.mix(docs.withColumn("domain", domain()), mixing.word_tokens(F.col("text")), MIX_WEIGHTS, **options)
 
 
 @query("op9_mixture")
