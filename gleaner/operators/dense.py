@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.functions.text import words
 from gleaner.functions.vectors import as_double, dequantise, hashed_embedding, normalise, quantise, shorten
 from gleaner.operators.blocks import TILE_ROWS, Scorer, topk, topk_by_key
-from gleaner.session import materialise
+from gleaner.session import materialise, scratch_path
 
 BROADCAST_VALUES = 8_000_000  # 64 MB of doubles
 
@@ -75,27 +75,49 @@ def nearest_cells(vectors: DataFrame, key: str, centroids: DataFrame, probes: in
     return cells.select(F.col("query_id").alias(key), F.col("doc_id").alias("cell"))
 
 
+def train_cells(vectors: DataFrame, n_cells: int, rounds: int = 12, sample: int = 50_000, seed: int = 3) -> DataFrame:
+    """``(cell, vector)``: centroids of a spherical k-means over at most ``sample`` vectors, taken by a hash of the id.
+
+    Only the sample is fitted; every vector is assigned afterwards. Fewer vectors than cells give as many cells.
+    """
+    taken = vectors.select("doc_id", "vector").orderBy(F.xxhash64(F.lit(seed), F.col("doc_id")), "doc_id").limit(sample).toArrow()
+    points = _matrix(taken.column("vector"), taken.num_rows)
+    chosen = np.random.default_rng(seed).permutation(len(points))[:n_cells]
+    centres = points[np.sort(chosen)]
+    for _ in range(rounds if len(points) else 0):
+        nearest = np.argmax(points @ centres.T, axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, nearest, points)
+        lengths = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(lengths > 0, sums / np.where(lengths > 0, lengths, 1), centres)
+    rows = [(cell, centre.tolist()) for cell, centre in enumerate(centres)] if len(points) else []
+    return vectors.sparkSession.createDataFrame(rows, "cell bigint, vector array<double>")
+
+
 def assign_cells(vectors: DataFrame, key: str, centroids: DataFrame) -> DataFrame:
-    """Index build: each vector stored with its nearest cell, fit for ``write.partitionBy("cell")``.
+    """Index build: each vector with its nearest cell (the smallest on ties), stored in one folder per cell.
 
-    The roles are swapped against ``nearest_cells``: the centroid set (counted first) is the query
-    side, so the corpus is scanned in place.
+    The roles are swapped against ``nearest_cells``: the centroid set, whose size in bytes is checked first, is the
+    query side, so the corpus is scanned in place.
     """
     centroids = materialise(centroids.select("cell", "vector"), "centroids")
-    if centroids.count() > TILE_ROWS:
-        return vectors.join(nearest_cells(vectors, key, centroids, 1), key)
-    found = centroids.toArrow()
-    cells = found.column("cell").to_numpy()
-    matrix = vectors.sparkSession.sparkContext.broadcast(_matrix(found.column("vector"), found.num_rows))
+    values = centroids.agg(F.sum(F.size("vector"))).first()[0] or 0
+    if values > BROADCAST_VALUES:
+        assigned = vectors.join(nearest_cells(vectors, key, centroids, 1), key)
+    else:
+        found = centroids.orderBy("cell").toArrow()
+        cells = found.column("cell").to_numpy()
+        matrix = vectors.sparkSession.sparkContext.broadcast(_matrix(found.column("vector"), found.num_rows))
 
-    @F.arrow_udf("bigint")
-    def nearest(batch: pa.Array) -> pa.Array:
-        scores = np.round(_matrix(batch, len(batch)) @ matrix.value.T, 6)
-        best = scores.max(axis=1, keepdims=True)
-        ids = np.where(scores == best, cells[None, :].astype(np.float64), np.inf).min(axis=1)
-        return pa.array(ids.astype(np.int64))
+        @F.arrow_udf("bigint")
+        def nearest(batch: pa.Array) -> pa.Array:
+            scores = np.round(_matrix(batch, len(batch)) @ matrix.value.T, 6)
+            return pa.array(cells[scores.argmax(axis=1)])
 
-    return materialise(vectors.withColumn("cell", nearest("vector")), "cells")
+        assigned = vectors.withColumn("cell", nearest("vector"))
+    path = scratch_path(vectors.sparkSession, "cells")
+    assigned.write.partitionBy("cell").parquet(path)
+    return vectors.sparkSession.read.schema(assigned.schema).parquet(path)
 
 
 def cell_search(
@@ -103,11 +125,15 @@ def cell_search(
 ) -> DataFrame:
     """Approximate top-k over a cell index: a query meets only the documents of its nearest cells.
 
-    Cells are tiled by their own size, so one that holds a third of the corpus is scored by many tasks.
+    Only the folders of probed cells are read. Cells are tiled by their own size, so one that holds a third of the
+    corpus is scored by many tasks.
     """
-    asked = queries.join(nearest_cells(queries, "query_id", centroids, probes), "query_id")
+    near = materialise(nearest_cells(queries, "query_id", centroids, probes), "probes")
+    probed = [row.cell for row in near.select("cell").distinct().collect()]
+    asked = queries.join(near, "query_id")
     return topk_by_key(
-        indexed.select("cell", "doc_id", "vector"), asked.select("cell", "query_id", "vector"), "cell", DOT, k
+        indexed.filter(F.col("cell").isin(probed)).select("cell", "doc_id", "vector"),
+        asked.select("cell", "query_id", "vector"), "cell", DOT, k,
     )
 
 

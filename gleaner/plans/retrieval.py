@@ -10,7 +10,7 @@ from gleaner.functions.vectors import as_double, dequantise, normalise, quantise
 from gleaner.operators import catalog, chunking, dense, fusion, lexical, shaping, testset
 from gleaner.operators.graph import neighbourhood
 from gleaner.plans import sql
-from gleaner.plans.registry import Tables, query
+from gleaner.plans.registry import ORACLES, Tables, query
 from gleaner.session import materialise
 
 
@@ -122,6 +122,14 @@ def cell_topk(t: Tables) -> DataFrame:
     return dense.cell_search(indexed, questions, cells, k=10, probes=2)
 
 
+@query("trained_cell_topk", ORACLES["vector_topk"])
+def trained_cell_topk(t: Tables) -> DataFrame:
+    """Search over trained cells with all of them probed, which is the exact search."""
+    stored = materialise(stored_vectors(t), "vectors")
+    cells = dense.train_cells(stored, 16)
+    return dense.cell_search(dense.assign_cells(stored, "doc_id", cells), label_queries(t), cells, k=10, probes=16)
+
+
 @query("hashed_embedding", f"""WITH {sql.buckets('', 'doc_id', sql.CORPUS)}
 SELECT doc_id, b::INTEGER AS dim, round(x, 6) AS x FROM vec""")
 def hashed_embedding(t: Tables) -> DataFrame:

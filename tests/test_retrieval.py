@@ -160,6 +160,28 @@ def test_cell_search_with_all_cells_is_exact(vector_frames, spark):
     assert sorted((r.query_id, r.doc_id, r["rank"]) for r in found.collect()) == brute_dense(docs, queries, 5)
 
 
+def test_trained_cells_reach_recall_and_prune_folders(spark):
+    rng = np.random.default_rng(4)
+    docs = unit(rng, 2000, 8)
+    corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(docs)], "doc_id long, vector array<double>")
+    asked = spark.createDataFrame([(i, docs[i * 50].tolist()) for i in range(40)], "query_id long, vector array<double>")
+    cells = dense.train_cells(corpus, 24)
+    indexed = dense.assign_cells(corpus, "doc_id", cells)
+    found = {(r.query_id, r.doc_id) for r in dense.cell_search(indexed, asked, cells, k=5, probes=8).collect()}
+    exact = {(r.query_id, r.doc_id) for r in dense.dense(corpus, asked, 5, 8).collect()}
+    assert indexed.count() == 2000 and len(found & exact) >= 0.9 * len(exact)
+    plan = indexed.filter("cell IN (1, 2)")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [cell" in plan
+    assert dense.train_cells(corpus.limit(0), 3).count() == 0
+
+
+def test_large_cell_ids_stay_whole(spark):
+    big = (1 << 60) + 1
+    cells = spark.createDataFrame([(big, [1.0, 0.0]), (big + 2, [1.0, 0.0])], "cell long, vector array<double>")
+    corpus = spark.createDataFrame([(1, [1.0, 0.0])], "doc_id long, vector array<double>")
+    assert dense.assign_cells(corpus, "doc_id", cells).first().cell == big
+
+
 def test_hot_cell_is_tiled(vector_frames, spark, monkeypatch):
     docs, queries, corpus, asked = vector_frames
     monkeypatch.setattr(blocks, "TILE_ROWS", 10)
