@@ -102,11 +102,16 @@ def canonical(text: Column) -> Column:
     """The canonical form of a text."""
     lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
     plain = F.trim(F.regexp_replace(lower, "[^\\p{L}\\p{N}]+", " "))
-    same = plain
-    for left, right in SPELLINGS.items():
-        same = F.regexp_replace(same, f"\\b{left}\\b", right)
-    # One search first: few texts hold any of these words.
-    return F.when(plain.rlike("\\b(?:" + "|".join(SPELLINGS) + ")\\b"), same).otherwise(plain)
+
+    def respelled(form: Column) -> Column:
+        same = form
+        for left, right in SPELLINGS.items():
+            same = F.regexp_replace(same, f"\\b{left}\\b", right)
+        # One search first: few texts hold any of these words.
+        return F.when(form.rlike("\\b(?:" + "|".join(SPELLINGS) + ")\\b"), same).otherwise(form)
+
+    # A list of one: the plain form is worked out once, not once for every place that names it.
+    return F.get(F.transform(F.array(plain), respelled), F.lit(0))
 
 
 def digest(text: Column) -> Column:
