@@ -2,28 +2,29 @@
 
 Every document gets counts that simple rules judge, and the mean log-likelihood ratio of its hashed token n-grams
 between two multinomials: one over the trusted target documents, one over the whole corpus. Both are counted over
-all documents; each document is then kept or not by one fixed threshold, so the verdict on a text depends on the
-corpus and the text alone.
+all documents; each document is then kept or not by one threshold, that many spreads below the median of the documents
+that pass the base rules, so the verdict on a text depends on the corpus and the text alone.
 
 * ``n_repeat_words``: words inside windows of eight words that occur at least twice in the text. Windows are
   compared by a 64-bit hash within one document.
 * A document fails the base rules with fewer than 20 words, or with more than 30 % repeated words.
 * Tokens are runs of letters and digits, and runs of other visible characters; n-grams are tokens and pairs of
-  neighbours, hashed into ``BUCKETS`` cells with add-one smoothing.
+  neighbours, each counted by its 64-bit hash, with add-one smoothing over the distinct ones. The table of counts grows
+  with the corpus.
 
 Defined results: null and empty texts have no words, fail the base rules and score 0; repeated rows are judged
-alike; an empty table gives no row; other columns are ignored. A document is one row from scan to verdict; only
-the cell counts (at most ``BUCKETS`` rows, combined before the shuffle) and trusted ids move.
+alike; an empty table gives no row; other columns are ignored. Texts stay where they are; what moves are the counted
+n-grams, the n-grams of texts that are not among the frequent ones (with the hash of their text), the counts of each
+document and trusted ids.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import by_ids
+from gleaner.session import materialise
 
 BLANKS = " \t\n\x0b\x0c\r"
 WORD_BREAK = "[ \\t-\\r]+"
@@ -32,11 +33,14 @@ TOKEN = "[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]+"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30
-BUCKETS = 1 << 14
+#: N-grams that are looked up without a join: the most frequent one of each slot. Changes no result.
+SLOTS = 1 << 16
 #: Weights are whole numbers of this fraction.
 UNIT = 1000
-#: Mean log-likelihood ratio per n-gram from which on a text is kept.
-THRESHOLD = -0.15
+#: A text is kept down to this many spreads (median distances from the median) below the median ratio.
+SPREADS = 2
+#: Least spread in units of 1 / ``UNIT``: a corpus of copies has none of its own.
+LEAST_SPREAD = 150
 
 
 def counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -76,9 +80,10 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return counted.withColumn("base_failed", failed)
 
 
-def cells(text: Column, buckets: int) -> Column:
-    """The cells of all tokens and of all pairs of neighbours of a text (an array column of tokens)."""
-    cell = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
+def cells(text: Column, buckets: int | None = None) -> Column:
+    """The hashes of all tokens and of all pairs of neighbours of a text (an array column of tokens)."""
+    whole = lambda *parts: F.xxhash64(*parts)
+    cell = whole if buckets is None else lambda *parts: F.pmod(whole(*parts), F.lit(buckets))
     pairs = F.transform(F.slice(text, F.lit(2), F.greatest(F.size(text) - 1, F.lit(0))), lambda t, i: cell(F.get(text, i), t))
     return F.concat(F.transform(text, lambda t: cell(t)), pairs)
 
@@ -87,39 +92,98 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
 
-def weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[int]:
-    """The log-likelihood ratio of each cell in units of 1 / ``UNIT``: target against raw corpus, over all documents.
+def found_cells(docs: DataFrame, buckets: int | None) -> DataFrame:
+    """``docs`` with the array ``_cells``."""
+    return docs.withColumn("_t", tokens(F.col("text"))).withColumn("_cells", cells(F.col("_t"), buckets)).drop("_t")
+
+
+def weights(docs: DataFrame, trusted: DataFrame, buckets: int | None = None) -> DataFrame:
+    """(cell, raw, weight): the log-likelihood ratio of each n-gram that occurs in units of 1 / ``UNIT``, target against raw corpus.
+
+    ``trusted(doc_id)`` names the target documents. Without ``buckets`` every n-gram has a row of its own.
+    """
+    rows = docs.select("doc_id", "text")
+    part = lambda how, target: found_cells(by_ids(rows, trusted, "doc_id", how), buckets).select(
+        # An inner explode would infer a filter that works the tokens out again for every token.
+        F.explode_outer("_cells").alias("cell"), F.lit(target).alias("target")
+    ).filter("cell IS NOT NULL")
+    tally = part("left_semi", 1).unionByName(part("left_anti", 0)).groupBy("cell").agg(
+        F.count("*").alias("raw"), F.sum("target").alias("target")
+    )
+    stored = materialise(tally, "ngrams")
+    total = stored.agg(F.count("*").alias("n"), F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
+    smooth = buckets or total["n"]
+    share = lambda name: F.log((F.col(name) + 1) / F.lit(float(total[name] + smooth)))
+    return stored.select("cell", "raw", F.rint(UNIT * (share("target") - share("raw"))).cast("int").alias("weight"))
+
+
+def score(docs: DataFrame, table: DataFrame, buckets: int | None = None) -> DataFrame:
+    """(key, llr): the mean weight of the n-grams of each text that has any, by ``text_key``; sums are of integers, so exact.
 
-    ``trusted(doc_id)`` names the target documents. The list has ``buckets`` numbers, whatever the corpus.
+    Copies of a text add to its sum and its count alike. The most frequent n-gram of each of ``SLOTS`` slots is looked
+    up where the text is; all other n-grams are joined to their weights, so neither part is hot and none is left out.
     """
-    def tally(part: DataFrame, name: str) -> DataFrame:
-        found = part.select(tokens(F.col("text")).alias("t")).select(F.explode(cells(F.col("t"), buckets)).alias("cell"))
-        return found.groupBy("cell").agg(F.count("*").alias(name))
+    slot = lambda c: F.pmod(c, F.lit(SLOTS)).cast("int")
+    top = table.groupBy(slot(F.col("cell")).alias("slot")).agg(F.max(F.struct("raw", "cell", "weight")).alias("top")).select("slot", "top.cell", "top.weight")
+    near = {row["slot"]: row for row in top.collect()}
+    listed = lambda name, kind: F.split(F.lit(",".join(str(near[i][name]) if i in near else "0" for i in range(SLOTS))), ",").cast(f"array<{kind}>")
+    names, values = listed("cell", "bigint"), listed("weight", "int")
+    is_near = lambda c: F.get(names, slot(c)) == c
+    found = found_cells(docs.select(text_key().alias("key"), "text"), buckets).drop("text")
+    split = found.select(
+        "key", F.size("_cells").alias("n"),
+        F.aggregate("_cells", F.lit(0).cast("long"), lambda a, c: a + F.when(is_near(c), F.get(values, slot(c))).otherwise(0)).alias("sum"),
+        F.filter("_cells", lambda c: ~is_near(c)).alias("_far"),
+    )
+    # The first row of a text carries what is settled already.
+    rest = split.select("key", "n", "sum", F.posexplode_outer("_far").alias("i", "cell"))
+    first = F.coalesce("i", F.lit(0)) == 0
+    rest = rest.select("key", "cell", F.when(first, F.col("n")).otherwise(0).alias("n"), F.when(first, F.col("sum")).otherwise(0).alias("sum"))
+    # Texts without such an n-gram are dealt by their own key.
+    at = rest.withColumn("at", F.coalesce("cell", "key"))
+    joined = at.join(table.select(F.col("cell").alias("at"), "weight"), "at", "left")
+    weight = F.when(F.col("cell").isNotNull(), F.col("weight")).otherwise(0)
+    total = joined.groupBy("key").agg(F.sum(F.col("sum") + weight).alias("sum"), F.sum("n").alias("n")).filter("n > 0")
+    return total.select("key", (F.col("sum") / (F.col("n") * float(UNIT))).alias("llr"))
+
+
+def text_key() -> Column:
+    return F.xxhash64(F.col("text"))
 
+
+def scores(docs: DataFrame, trusted: DataFrame, buckets: int | None = None) -> DataFrame:
+    """(doc_id, the counts, base_failed, llr) for every document; texts without n-grams have 0."""
     rows = docs.select("doc_id", "text")
-    both = tally(rows, "raw").join(tally(by_ids(rows, trusted, "doc_id", "left_semi"), "target"), "cell", "left")
-    found = {row["cell"]: (row["raw"], row["target"] or 0) for row in both.collect()}
-    raw_total = sum(raw for raw, _ in found.values()) + buckets
-    target_total = sum(target for _, target in found.values()) + buckets
+    found = score(rows, weights(rows, trusted, buckets), buckets)
+    counted = counts(rows).withColumn("key", text_key()).drop("text")
+    return counted.join(found, "key", "left").drop("key").withColumn("llr", F.coalesce("llr", F.lit(0.0)))
+
 
-    def weight(cell: int) -> int:
-        raw, target = found.get(cell, (0, 0))
-        return round(UNIT * (math.log((target + 1) / target_total) - math.log((raw + 1) / raw_total)))
+def cut(scored: DataFrame) -> float:
+    """``SPREADS`` spreads below the median ratio of the documents that pass the base rules.
 
-    return [weight(cell) for cell in range(buckets)]
+    The ratios are counted in whole units of 1 / ``UNIT``, so the driver gets as many rows as the range of a ratio has.
+    """
+    unit = F.rint(F.col("llr") * UNIT).cast("int").alias("unit")
+    found = [tuple(row) for row in scored.filter("NOT base_failed").groupBy(unit).count().collect()]
 
+    def median(rows: list[tuple[int, int]]) -> int:
+        left = sum(n for _, n in rows) // 2
+        for value, n in sorted(rows):
+            if left < n:
+                return value
+            left -= n
+        return 0
 
-def score(docs: DataFrame, table: list[int]) -> DataFrame:
-    """``docs`` with ``llr``: the mean weight of a text's n-grams (0 without any); sums are of integers, so exact."""
-    dense = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
-    found = docs.withColumn("_t", tokens(F.col("text"))).withColumn("_cells", cells(F.col("_t"), len(table)))
-    total = F.aggregate("_cells", F.lit(0).cast("long"), lambda a, c: a + F.get(dense, c))
-    mean = total / (F.size("_cells") * float(UNIT))
-    return found.withColumn("llr", F.when(F.size("_cells") == 0, 0.0).otherwise(mean)).drop("_t", "_cells")
+    middle = median(found)
+    spread = max(LEAST_SPREAD, median([(abs(value - middle), n) for value, n in found]))
+    return (middle - SPREADS * spread) / UNIT
 
 
-def judge(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
+def judge(docs: DataFrame, trusted: DataFrame, buckets: int | None = None, threshold: float | None = None) -> DataFrame:
     """(doc_id, the counts, base_failed, llr, kept) for every document."""
-    rows = docs.select("doc_id", "text")
-    scored = score(counts(rows), weights(rows, trusted, buckets))
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)).drop("text")
+    scored = scores(docs, trusted, buckets)
+    if threshold is None:
+        scored = materialise(scored, "llr")
+        threshold = cut(scored)
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))

@@ -64,6 +64,28 @@ def test_likelihood_ratio_equals_brute_force(spark):
         assert abs(found[i].llr - want) < 1e-12 and found[i].kept is False
 
 
+def test_weights_of_ngrams_do_not_run_together_as_the_corpus_grows(spark):
+    text = lambda name: " ".join(f"{name}x{k}" for k in range(400))
+    texts = [text(f"good{i % 60}") for i in range(600)] + [text(f"junk{i % 50}") for i in range(400)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    trusted = spark.range(300).withColumnRenamed("id", "doc_id")
+    # Each of 110 texts has 799 n-grams of its own: 87,890, five times what there once were cells.
+    assert quality_rules.weights(docs, trusted).count() == 110 * 799
+    found = {r.doc_id: r for r in quality_rules.judge(docs, trusted).collect()}
+    assert len(found) == len(texts)
+    assert all(found[i].kept for i in range(600)) and not any(found[i].kept for i in range(600, 1002))
+    assert {found[i].llr for i in range(600, 1000)} == {found[600].llr}
+
+
+def test_rare_ngrams_are_joined_as_frequent_ones_are_looked_up(spark, monkeypatch):
+    rows = [(0, "a b c a b"), (1, "a b c a b"), (2, "x y z " * 9), (3, "a"), (4, "!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    trusted = spark.createDataFrame([(0,)], "doc_id long")
+    near = {r.doc_id: r.llr for r in quality_rules.scores(docs, trusted).collect()}
+    monkeypatch.setattr(quality_rules, "SLOTS", 1)
+    assert near == {r.doc_id: r.llr for r in quality_rules.scores(docs, trusted).collect()} and near[0] == near[1] > near[2]
+
+
 def test_rules_on_an_empty_table_and_without_python(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     found = quality_rules.judge(docs, spark.createDataFrame([], "doc_id long"))
