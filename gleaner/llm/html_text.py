@@ -1,7 +1,8 @@
 """Main text of web pages by tree scoring.
 
 The page is cut into tags and texts and made into a tree. Parts that are never main text (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, comments of readers) are left out by tag, role, class or id. Each
+sidebars, notices, adverts, forms, scripts, styles, comments of readers) are left out by tag, role, class or id. A name
+or a form does not leave out what holds the only article or main part, or most of the prose; it halves its points. Each
 paragraph gives points for its length and its commas to its parent, half of them to the parent's parent; a container's
 points are discounted by the share of its text that lies in links. The best container is kept, together with those
 siblings that score well too or are paragraphs of prose; if it lies in an ``article`` or ``main`` part, that whole part
@@ -56,6 +57,11 @@ OUT_NAMES = re.compile(
     r"subscri[a-z]*|signup|login|social|shar(?:e|ing)|related|recommend[a-z]*|comments?|commentlist|respond|replies|disqus|pager|"
     r"pagination|toolbar|widget|skip-?link|disclaimer|paywall)(?![a-z])"
 )
+#: Parts of these names may hold most of the prose of a page and are still no main text.
+NEVER_MAIN = re.compile(
+    r"(?<![a-z])(?:ads?|advert[a-z]*|cookie[a-z]*|consent|gdpr|popup|modal|newsletter[a-z]*|comments?|commentlist|respond|replies|disqus|"
+    r"paywall|disclaimer)(?![a-z])"
+)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 KEPT_TAGS = frozenset("html body main article".split())
 SENTENCE = frozenset("p pre td blockquote li dd div section article main body".split())
@@ -70,27 +76,32 @@ def named_out(names: str) -> bool:
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "out", "score", "text", "linked", "commas")
+    __slots__ = ("tag", "parent", "children", "out", "named", "never", "score", "text", "linked", "commas")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, out: bool, named: bool = False, never: bool = False):
+        self.tag, self.parent, self.out, self.named, self.never = tag, parent, out, named, never
         self.children: list[Node | str] = []
         self.score, self.text, self.linked, self.commas = 0.0, 0, 0, 0
 
 
-def left_out(tag: str, attributes: str) -> bool:
-    """Is this element never main text?"""
-    if tag in OUT_TAGS:
-        return True
+def left_out(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """Is this element never main text? Is that by its name only (or as a form)? Is it by a name that no prose outweighs?"""
+    if tag in OUT_TAGS and tag != "form":
+        return True, False, False
+    named, never = tag == "form", False
     if not attributes or tag in KEPT_TAGS:
-        return False
+        return named, named, never
     for name, *values in ATTRIBUTE.findall(attributes):
         value, name = "".join(values), name.lower()
-        if name == "role" and value.lower() in OUT_ROLES or name in ("class", "id") and named_out(value):
-            return True
+        if name == "role" and value.lower() in OUT_ROLES:
+            return True, False, False
+        if name in ("class", "id") and named_out(value):
+            named, never = True, never or bool(NEVER_MAIN.search(CAMEL.sub("-", value).lower()))
         if name == "aria-hidden" and value.lower() == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:$|[\s=/])", ATTRIBUTE.sub(" ", attributes)))
+            return True, False, False
+    if re.search(r"(?:^|\s)hidden(?:$|[\s=/])", ATTRIBUTE.sub(" ", attributes)):
+        return True, False, False
+    return named, named, never
 
 
 def parse(page: str) -> Node:
@@ -121,7 +132,7 @@ def parse(page: str) -> Node:
             continue
         else:
             node = _make_room(node, name, opened)
-            child = Node(name, node, node.out or left_out(name, attributes))
+            child = Node(name, node, *left_out(name, attributes))
             node.children.append(child)
             if not attributes.endswith("/") or name in BLOCKS:
                 opened[name] = opened.get(name, 0) + 1
@@ -195,6 +206,53 @@ def measure(root: Node) -> None:
                 node.score += points
 
 
+def take_back(root: Node) -> None:
+    """Named parts around the only article or main part, or around most of the prose, are not left out."""
+    named: list[Node] = []
+    stack: list[tuple[Node, bool]] = [(root, True)]
+    order: list[tuple[Node, bool]] = []
+    while stack:
+        node, free = stack.pop()
+        free = free and not node.out
+        order.append((node, free))
+        if node.named:
+            named.append(node)
+        stack.extend((c, free) for c in reversed(node.children) if isinstance(c, Node) and (c.named or not c.out))
+    if not named:
+        return
+    # As if nothing were left out by a name.
+    for node in named:
+        node.out = False
+    measure(root)
+    points = {id(node): node.score for node, _ in order}
+    prose: dict[int, float] = {}
+    for node, _ in reversed(order):
+        prose[id(node)] = prose.get(id(node), 0.0) + points[id(node)]
+        if node.parent:
+            prose[id(node.parent)] = prose.get(id(node.parent), 0.0) + prose[id(node)]
+    for node, _ in order:
+        node.score, node.text, node.linked, node.commas = 0.0, 0, 0, 0
+    for node in named:
+        node.out = True
+    for tag in ("main", "article"):
+        if any(free and node.tag == tag for node, free in order):
+            break
+        held = [node for node, _ in order if node.tag == tag]
+        if held:
+            at = max(held, key=lambda node: prose[id(node)])
+            while at:
+                at.out = False
+                at = at.parent
+            break
+    for node in named:
+        if not node.never and 2 * prose[id(node)] > prose[id(root)]:
+            node.out = False
+
+
+def worth(node: Node) -> float:
+    return node.score * (1 - density(node)) * (0.5 if node.named else 1)
+
+
 def density(node: Node) -> float:
     return node.linked / node.text if node.text else 0.0
 
@@ -203,7 +261,7 @@ def main_parts(root: Node) -> list[Node]:
     """The best container and its good siblings, or the article or main part around it, in page order."""
     best, most = root, 0.0
     for node, start in walk(root):
-        if start and (points := node.score * (1 - density(node))) > most:
+        if start and (points := worth(node)) > most:
             best, most = node, points
     around, whole = best, {}
     while around:
@@ -218,7 +276,7 @@ def main_parts(root: Node) -> list[Node]:
     for node in best.parent.children:
         if isinstance(node, str) or node.out:
             continue
-        good = node is best or node.score * (1 - density(node)) >= max(2.0, 0.2 * most)
+        good = node is best or worth(node) >= max(2.0, 0.2 * most)
         prose = node.tag in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "table") and density(node) < 0.3 and node.text
         if good or prose:
             kept.append(node)
@@ -264,6 +322,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    take_back(root)
     measure(root)
     return "\n".join(blocks(main_parts(root)))
 

@@ -46,3 +46,19 @@ def test_pages(spark):
     found = sorted(html_text.extract(pages).select("page_id", "text").collect())
     assert [r.text for r in found] == ["", "", PROSE.strip(), PROSE.strip()]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_a_name_does_not_empty_a_wrapper():
+    want = PROSE.strip()
+    for wrapper in ("div class='content-sidebar-wrap'", "div class='page-sidebar-right'", "div id='main-header-layout'", "form action='/'"):
+        end = "</" + wrapper.split()[0] + ">"
+        side = f"<div class=sidebar><p>Side, bar</p></div><div id=comments><article><p>{PROSE * 3}</p></article></div>"
+        assert main_text(page(f"<{wrapper}><main><p>{PROSE}</p></main>{side}{end}")) == want, wrapper
+        assert main_text(page(f"<{wrapper}><article><p>{PROSE}</p></article><div class=sidebar><p>Side, bar</p></div>{end}")) == want, wrapper
+        assert main_text(page(f"<{wrapper}><div><p>{PROSE}</p><p>{PROSE}</p></div><div class=sidebar><p>Side, bar</p></div>{end}")) == f"{want}\n{want}", wrapper
+
+
+def test_named_parts_beside_the_main_part_stay_out():
+    assert main_text(page(f"<article><p>{PROSE}</p></article><div id=comments><article><p>Nice, post</p></article></div>")) == PROSE.strip()
+    assert main_text(page(f"<div><p>{PROSE}</p></div><div class=cookie-consent><p>{PROSE * 9}</p></div>")) == PROSE.strip()
+    assert main_text("<div class=sidebar>" * 20000 + "deep") == ""
