@@ -4,9 +4,9 @@ The page is cut into tags and texts and made into a tree. Parts that are never m
 sidebars, notices, adverts, forms, scripts, styles, comments of readers) are left out by tag, role, class or id. A name
 or a form does not leave out what holds the only article or main part, or most of the prose; it halves its points. Each
 paragraph gives points for its length and its commas to its parent, half of them to the parent's parent; a container's
-points are discounted by the share of its text that lies in links. The best container is kept, together with those
-siblings that score well too or are paragraphs of prose; if it lies in an ``article`` or ``main`` part, that whole part
-is kept. A page without any paragraph gives the blocks of its body.
+points are discounted by the share of its text that lies in links. If the best container lies in an ``article`` or
+``main`` part, that whole part is kept, link lists included. Otherwise it is kept with all that stands beside it or beside
+its parents and is not mostly links. A page without any paragraph gives the blocks of its body.
 
 A block is the text between the borders of block elements. White space in it, line breaks included, becomes one space;
 character references are decoded; blocks are joined in page order by a line feed.
@@ -272,19 +272,55 @@ def main_parts(root: Node) -> list[Node]:
             return [whole[tag]]
     if best.parent is None or most == 0:
         return [best if most else root]
-    kept = []
-    for node in best.parent.children:
-        if isinstance(node, str) or node.out:
-            continue
-        good = node is best or worth(node) >= max(2.0, 0.2 * most)
-        prose = node.tag in ("p", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "table") and density(node) < 0.3 and node.text
-        if good or prose:
+    # Up to the highest parent that has prose beside the best container.
+    path, node = {id(best)}, best
+    top = best
+    while node.parent:
+        if any(beside(child) for child in node.parent.children if child is not node):
+            top = node.parent
+        node = node.parent
+        path.add(id(node))
+    kept: list[Node] = []
+    stack: list[Node | str] = [top]
+    while stack:
+        node = stack.pop()
+        if isinstance(node, Node) and node is not best and id(node) in path:
+            stack.extend(reversed(together(node, path)))
+        elif node is best or beside(node) or worth(node) >= max(2.0, 0.2 * most):
             kept.append(node)
     return kept
 
 
+def beside(node: Node | str) -> bool:
+    """Is this prose that belongs to what stands beside it?"""
+    if isinstance(node, str):
+        return bool(node.strip())
+    return not node.out and node.text > 0 and density(node) < 0.3
+
+
+def together(node: Node, path: set[int]) -> list[Node]:
+    """The children of a node that are not left out; runs of texts and inline elements off the path are one each."""
+    found: list[Node] = []
+    run = None
+    for child in node.children:
+        inline = isinstance(child, str) or child.tag not in BLOCKS and id(child) not in path
+        if isinstance(child, Node) and child.out:
+            run = None
+        elif not inline:
+            found.append(child)
+            run = None
+        else:
+            if run is None:
+                run = Node("span", node, False)
+                found.append(run)
+            run.children.append(child)
+            run.text += len(child) - child.count(" ") if isinstance(child, str) else child.text
+            run.linked += 0 if isinstance(child, str) else child.linked
+    return found
+
+
 def blocks(parts: list[Node]) -> list[str]:
-    """The blocks of text of these parts; lists of nothing but links are menus and stay out."""
+    """The blocks of text of these parts; outside an article or main part, lists of nothing but links are menus and stay out."""
     found: list[str] = []
     current: list[str] = []
 
@@ -295,6 +331,7 @@ def blocks(parts: list[Node]) -> list[str]:
             found.append(text)
 
     for part in parts:
+        menus = part.tag not in ("article", "main")
         stack: list[Node | str | None] = [part]
         end()
         while stack:
@@ -305,7 +342,7 @@ def blocks(parts: list[Node]) -> list[str]:
                 current.append(item)
             elif item.tag == "br":
                 current.append(" ")
-            elif item.out or item.tag in ("ul", "ol") and item.text and density(item) > 0.9:
+            elif item.out or menus and item.tag in ("ul", "ol") and item.text and density(item) > 0.9:
                 end()
             elif item.tag in BLOCKS:
                 end()

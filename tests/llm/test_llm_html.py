@@ -62,3 +62,23 @@ def test_named_parts_beside_the_main_part_stay_out():
     assert main_text(page(f"<article><p>{PROSE}</p></article><div id=comments><article><p>Nice, post</p></article></div>")) == PROSE.strip()
     assert main_text(page(f"<div><p>{PROSE}</p></div><div class=cookie-consent><p>{PROSE * 9}</p></div>")) == PROSE.strip()
     assert main_text("<div class=sidebar>" * 20000 + "deep") == ""
+
+
+def test_short_sections_and_texts_beside_the_longest_one_stay():
+    section = lambda n: f"<section>{f'<p>{PROSE}</p>' * n}</section>"
+    want = PROSE.strip()
+    text = main_text(page(
+        f"<div class=menu><a href=1>Menu</a></div><div id=c>{section(20)}<div>{section(3)}</div>bare <b>words</b> <a href=2>link</a> here"
+        f"<dl><dt>Term</dt><dd>Meaning</dd></dl><div><a href=3>{PROSE}</a></div><section><p>Short end.</p></section></div><div><p>{PROSE}</p></div>"
+    ))
+    assert text == "\n".join([want] * 23 + ["bare words link here", "Term", "Meaning", "Short end.", want])
+
+
+def test_lists_of_sources_in_the_article_stay():
+    sources = "<h2>Sources</h2><ul><li><a href=1>First source</a></li><li><a href=2>Second source</a></li></ul>"
+    for tag in ("article", "main"):
+        assert main_text(page(f"<{tag}><p>{PROSE}</p>{sources}</{tag}>")) == f"{PROSE.strip()}\nSources\nFirst source\nSecond source"
+
+
+def test_best_container_inside_an_inline_element():
+    assert main_text(page(f"<div><a href=1>{PROSE}</a> x <span><p>{PROSE}</p></span></div><div><p>End.</p></div>")).endswith(f"{PROSE.strip()}\nEnd.")
