@@ -2,7 +2,7 @@
 
 A text is brought to a canonical form and its SHA-256 digest is joined to the digests of known licence texts, so
 a text is found when the whole of it says the same as a known one. The canonical form, line by line: lower case,
-copyright lines dropped, punctuation and white space as one space, equivalent spellings as one. A unit of text is
+copyright notices dropped, punctuation and white space as one space, equivalent spellings as one. A unit of text is
 whatever row is handed in: a whole document, or a line of it for one-line notices.
 
 Defined results: null and empty texts have the digest of the empty text, which is never a known one; repeated rows
@@ -17,6 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COPYRIGHT_LINE = "(?m)^[ \\t]*(?:copyright\\b|\\(c\\)|©|all rights reserved)[^\\n]*$"
+#: Lines that are copyright notices: the word with a sign or a year (or a blank for one), a sign, or all rights reserved alone.
+#: A line of a licence's own words that happens to begin with ``copyright`` is none. ``COPYRIGHT_LINE`` is the wider pattern
+#: of the SQL counterpart.
+NOTICE_LINE = (
+    "(?m)^[ \\t]*(?:copyright[ \\t:]*(?:\\(c\\)|©|[<\\[{(]?(?:(?:19|20)[0-9]{2}|year|yyyy)\\b)[^\\n]*|(?:\\(c\\)|©)[^\\n]*|all rights reserved[ \\t.\\r]*)$"
+)
 #: Spellings that licence matching treats as one (left becomes right).
 SPELLINGS = {
     "acknowledgement": "acknowledgment", "analogue": "analog", "analyse": "analyze", "artefact": "artifact",
@@ -100,7 +106,7 @@ VERBS = ["licensed under", "released under", "distributed under", "available und
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
-    lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "")
+    lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE_LINE, "")
     plain = F.trim(F.regexp_replace(lower, "[^\\p{L}\\p{N}]+", " "))
 
     def respelled(form: Column) -> Column:

@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -106,6 +107,19 @@ def test_canonical_forms(spark):
     assert got == ["MIT"] * 5 + [None] * 4 + ["0BSD", "ISC", "MIT"]
 
 
+def test_known_texts_at_any_width(spark):
+    wrapped = [
+        (name, "Copyright (c) 2024 Somebody\nCopyright 2019-2021 X\nCopyright © Y\nCopyright [yyyy] [name]\n\n"
+         + "\n".join(textwrap.fill(line, width, break_on_hyphens=False) for line in text.split("\n")))
+        for name, text in licences.TEXTS.items() for width in range(20, 121)
+    ]
+    # Some of these widths put the word at the start of a line.
+    assert sum("\ncopyright" in text or "\nCOPYRIGHT" in text for _, text in wrapped) > 10
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(wrapped)], "doc_id long, text string")
+    found = {r.doc_id: r.licence_id for r in licences.scan_documents(docs, licences.known_texts(spark), licences.known_notices(spark)).collect()}
+    assert [found[i] for i in range(len(wrapped))] == [name for name, _ in wrapped]
+
+
 def test_notices_by_line(spark):
     texts = ["text\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0", "released UNDER the  mit licence", "not released under the MIT License", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
