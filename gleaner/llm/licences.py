@@ -13,6 +13,8 @@ broadcast by its size, a large one takes a join whose skewed partitions Spark sp
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,6 +83,42 @@ TEXTS = {
         "0. You just DO WHAT THE FUCK YOU WANT TO."
     ),
 }
+BSD_GRANT = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met:\n{}Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer.\n{}Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution.\n"
+)
+BSD_NAMES = (
+    "{}Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission.\n"
+)
+BSD_WARRANTY = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, '
+    "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+    "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+#: How short licences are headed; each is also known without a title.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "Modified BSD License"],
+}
+WTFPL = (
+    "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\nVersion 2, December 2004\n\nEveryone is permitted to copy and distribute verbatim or "
+    "modified copies of this license document, and changing it is allowed as long as the name is changed.\n\nDO WHAT THE FUCK YOU WANT "
+    "TO PUBLIC LICENSE\nTERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION\n\n0. You just DO WHAT THE FUCK YOU WANT TO."
+)
+#: Whole texts of long licences, one file each, named by the licence.
+FOLDER = Path(__file__).parent / "texts"
+#: Long texts are also known up to here, without the part on how to apply them.
+LAST_LINE = "END OF TERMS AND CONDITIONS"
 #: How licences are named in one-line notices.
 NAMES = {
     "MIT": ["MIT License", "the MIT License"],
@@ -125,8 +163,26 @@ def digest(text: Column) -> Column:
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
-    """(licence_id, text): the licence texts of ``TEXTS``."""
-    return spark.createDataFrame(list(TEXTS.items()), "licence_id string, text string")
+    """(licence_id, text): the licence texts of ``TEXTS``, of ``FOLDER`` and the BSD ones, in all their forms."""
+    return spark.createDataFrame(known_forms(), "licence_id string, text string")
+
+
+def known_forms() -> list[tuple[str, str]]:
+    """(licence id, text): the texts with each title and without one, and long ones with and without their appendix."""
+    found = [*TEXTS.items(), ("WTFPL", WTFPL)]
+    bodies = {name: text.split("\n", 1)[1] for name, text in TEXTS.items() if name in TITLES}
+    untitled = [*bodies.items()]
+    for marks in (("1. ", "2. ", "3. "), ("* ", "* ", "* ")):
+        grant = BSD_GRANT.format(*marks[:2])
+        untitled += [("BSD-2-Clause", grant + BSD_WARRANTY), ("BSD-3-Clause", grant + BSD_NAMES.format(marks[2]) + BSD_WARRANTY)]
+    found += untitled + [(name, f"{title}\n{body}") for name, body in untitled for title in TITLES[name]]
+    for path in sorted(FOLDER.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        found.append((path.stem, text))
+        if LAST_LINE in text:
+            terms = text[: text.index(LAST_LINE)]
+            found += [(path.stem, terms), (path.stem, terms + LAST_LINE)]
+    return found
 
 
 def known_notices(spark: SparkSession) -> DataFrame:

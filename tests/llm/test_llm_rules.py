@@ -120,6 +120,21 @@ def test_known_texts_at_any_width(spark):
     assert [found[i] for i in range(len(wrapped))] == [name for name, _ in wrapped]
 
 
+def test_whole_texts_with_and_without_titles(spark):
+    body = licences.TEXTS["MIT"].split("\n", 1)[1]
+    grant = licences.BSD_GRANT.format("1. ", "2. ")
+    apache, gpl = ((licences.FOLDER / f"{name}.txt").read_text() for name in ("Apache-2.0", "GPL-3.0"))
+    rows = [
+        ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + body), ("MIT", "Copyright (c) 2020 X\n\n" + body),
+        ("BSD-2-Clause", "Copyright (c) 2020, X\nAll rights reserved.\n\n" + grant + licences.BSD_WARRANTY), ("WTFPL", licences.WTFPL),
+        ("Apache-2.0", apache), ("Apache-2.0", apache[: apache.index("APPENDIX")]), ("GPL-3.0", gpl), (None, gpl[:2000]), (None, grant),
+        *((name, (licences.FOLDER / f"{name}.txt").read_text().upper()) for name in ("GPL-2.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0")),
+    ]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: r.licence_id for r in licences.scan_documents(docs, licences.known_texts(spark), licences.known_notices(spark)).collect()}
+    assert [found[i] for i in range(len(rows))] == [name for name, _ in rows]
+
+
 def test_notices_by_line(spark):
     texts = ["text\nReleased under the MIT License.\nLicensed under CC BY-NC 4.0", "released UNDER the  mit licence", "not released under the MIT License", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
