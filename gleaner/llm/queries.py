@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, classifier, html_text, licences, mixing, neardup, pii, quality_rules, topk
+from gleaner.llm import bpe, chat, classifier, filter_audit, html_text, licences, mixing, neardup, phrases, pii, quality_rules, secrets, topk
 from gleaner.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,3 +224,104 @@ def bilstm_crf_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"),
         F.size("added").cast("long").alias("n_added"),
     )
+
+
+@query("op11_randomness_secrets")
+def randomness_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find(table(spark, folder, "documents").select("doc_id", "text"))
+    order = F.array(*map(F.lit, secrets.KINDS))
+    keyed = lambda spans: F.transform(spans, lambda s: F.struct(
+        s["start"].alias("start"), F.array_position(order, s["kind"]).alias("i"),
+        F.concat_ws(":", s["kind"], s["start"], s["end"]).alias("span"),
+    ))
+    joined = lambda spans: F.array_join(F.transform(F.array_sort(keyed(spans)), lambda s: s["span"]), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *(count(kind).alias(f"n_{kind}") for kind in secrets.KINDS[: secrets.RANDOM]),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
+def _phrase_sql(least: int, top: int) -> str:
+    longest = phrases.LONGEST
+    grams = "\nUNION ALL ".join(
+        f"SELECT lang, {k} AS k, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))) AS phrase FROM pieces WHERE len(w) >= {k}"
+        for k in range(1, longest + 1)
+    )
+    cuts = "\nUNION ALL ".join(
+        f"SELECT lang, phrase, w, a, k, {cut} AS cut, array_to_string(w[1:{cut}], ' ') AS head, array_to_string(w[{cut + 1}:], ' ') AS tail FROM candidates WHERE k > {cut}"
+        for cut in range(1, longest)
+    )
+    return f"""
+WITH folded AS (
+  SELECT coalesce(lang, '{phrases.UNKNOWN}') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM folded)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+grams AS ({grams}),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= {least}),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cuts AS ({cuts}),
+scores AS (
+  SELECT c.lang, c.phrase, c.a, cut, h.a AS l, t.a AS r,
+    ({phrases.SCALE}::HUGEINT * c.a // (h.a::HUGEINT + t.a::HUGEINT))::BIGINT AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = head JOIN f t ON t.lang = c.lang AND t.phrase = tail),
+worst AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_parts AS (
+  SELECT lang, a, k, unnest(list_distinct(flatten(list_transform(range(2, k), lambda m:
+    list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' ')))))) AS phrase
+  FROM candidates WHERE k >= 3),
+covered AS (SELECT lang, phrase, max(a) AS cover FROM inner_parts GROUP BY lang, phrase),
+kept AS (SELECT w.* FROM worst w LEFT JOIN covered c USING (lang, phrase) WHERE c.cover IS NULL OR 100 * c.cover < {phrases.COVERED} * w.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {top}
+"""
+
+
+TOP_PHRASES = 2000
+
+
+@query("op12_toivonen_phrases", _phrase_sql(phrases.MIN_COUNT, TOP_PHRASES))
+def toivonen_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"), TOP_PHRASES)
+
+
+AUDIT_SQL = """
+WITH rows AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+marks AS (
+  SELECT doc_id, part, [
+    len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+    100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text),
+    regexp_matches(text, '[#$%&*|]'), coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false)] AS fails
+  FROM rows),
+known AS (SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY doc_id),
+combos AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM marks LEFT JOIN known USING (doc_id) GROUP BY part, fails),
+letters AS (SELECT unnest(string_split('ABCDE', '')) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, unnest(range(1, 6))::INTEGER AS step FROM orders),
+judged AS (
+  SELECT part, filter_order, step, n, good, toxic,
+    fails[ascii(filter_order[step]) - 64] AS own,
+    len(list_filter(range(1, step), lambda i: fails[ascii(filter_order[i]) - 64])) > 0 AS gone,
+    len(list_filter(fails, lambda x: x)) AS s
+  FROM combos, steps)
+SELECT part, filter_order, step,
+  coalesce(sum(n) FILTER (NOT own AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (own AND NOT gone), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (own AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (own AND s = 1), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (own AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (own AND NOT gone), 0)::BIGINT AS toxic_lost,
+  coalesce(sum(n * 120 // nullif(s, 0)) FILTER (own), 0)::BIGINT AS shapley
+FROM judged GROUP BY part, filter_order, step
+"""
+
+
+@query("op13_filter_audit", AUDIT_SQL)
+def filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.combinations(table(spark, folder, "documents"), table(spark, folder, "labels")))
