@@ -1,15 +1,17 @@
 """Phrase collocations by sampling and an exact pass over everything (Toivonen's method).
 
 Phrases are runs of two to four words inside one piece of a text, counted for each language. A sample of the documents
-proposes phrases that may be frequent. One pass over all texts then counts these exactly together with their negative
-border: the phrases that are not proposed themselves, but whose first and last part (all but one word) both are. What
-turns out frequent outside the proposal is a border failure: longer phrases through it have not been counted yet. Each
-such failure joins the proposal and another pass counts what it adds, until no failure is left. As every part of a
-frequent phrase is frequent, no phrase can be missed, whatever the sample was; it only decides how much a pass counts.
+proposes phrases that may be frequent. One pass over all texts then counts these together with their negative border: the
+phrases that are not proposed themselves, but whose first and last part (all but one word) both are. What turns out
+frequent outside the proposal is a border failure: longer phrases through it have not been counted yet. Each such failure
+joins the proposal and another pass counts what it adds, until no failure is left. As every part of a frequent phrase is
+frequent, no phrase can be missed, whatever the sample was; it only decides how much a pass counts.
 
-The proposal travels as a bit map of hashed phrases whose size follows the number of proposals up to ``MAX_BITS``. A
-collision lets a phrase be counted that need not be; counts themselves are of words, so they are exact at any size of
-the map. Texts are read where they are; each task sends every phrase with its count once per chunk of text.
+Most of the border is rare, so these passes count 64-bit hashes of phrases. Phrases that share a hash share a count, which
+is never too low; a last pass counts the words themselves of all phrases whose hash was frequent, so counts are exact.
+
+The proposal travels as a bit map of hashes whose size follows the number of proposals up to ``MAX_BITS``. A collision
+lets a phrase be counted that need not be. Texts are read where they are; each task sends a phrase once per chunk of text.
 
 The score of a phrase is that of its weakest cut: ``floor(SCALE * a / (l + r))`` for the counts of the phrase, of its
 first words and of the rest.
@@ -23,7 +25,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ LONGEST = 4
 SAMPLE = 8
 #: Occurrences in the sample from which on a phrase is proposed (a lowered bound: 30 / 8 would be 3.75).
 SAMPLE_COUNT = 2
-#: Bits per proposed phrase, and the least and greatest size of the map (32 MB).
-BITS, MIN_BITS, MAX_BITS = 16, 1 << 20, 1 << 28
+#: Bits per hash in a map, and the least and greatest size of the map (32 MB).
+BITS, MIN_BITS, MAX_BITS = 32, 1 << 20, 1 << 28
 #: Bytes of text that are counted at once in a task.
 CHUNK = 4 << 20
 SCALE = 2_000_000
@@ -52,8 +53,6 @@ COVERED = 80
 UNKNOWN = "und"
 #: Parts that hold more than one in this many of the looked-up rows are broadcast: there are fewer than this many.
 HEAVY = 256
-#: Phrases that a task ranks on average before the best of all parts of a language are merged.
-RANKED = 200_000
 #: Bits of a block of the map, and rows that a task sends at once.
 BLOCK = 1 << 19
 ROWS = 100_000
@@ -61,14 +60,15 @@ ROWS = 100_000
 #: What a text is cut at, and how its bytes are folded: capitals to small letters, cuts to a line feed, tabs to spaces.
 _CUTS = b".,;:!?\n\x0b\x0c\r"
 _FOLD = bytes(10 if c in _CUTS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+# The mixing constants of splitmix64.
+_MIX, _STIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 def _join(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The hash of a phrase from that of its first words and of its last word."""
     h = left * _MIX + right
     h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h *= _STIR
     return h ^ (h >> np.uint64(32))
 
 
@@ -104,121 +104,152 @@ def _chunks(texts: list[bytes]) -> Iterator[bytes]:
         yield b"\n".join(held)
 
 
-def _count(
+def _tokens(chunk: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of a chunk, and for each word in turn its number and that of its piece."""
+    data = np.frombuffer(chunk, np.uint8)
+    cuts = data == 10
+    space = cuts | (data == 32)
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    # The words without the space between them, as one array that is numbered as a whole.
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])]
+    coded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.cumsum(cuts, dtype=np.int32)[starts]
+
+
+def _hashed(words: pa.Array, ids: np.ndarray, piece: np.ndarray, seed: np.uint64, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, hashes, inside) for phrases of k words from each word on; ``inside`` marks those of one piece."""
+    each = _word_hashes(words.to_pylist())[ids]
+    hashes = _join(np.full(len(ids), seed, np.uint64), each)
+    for k in range(1, min(longest, len(ids)) + 1):
+        yield k, hashes, piece[k - 1 :] == piece[: len(piece) - k + 1]
+        hashes = _join(hashes[:-1], each[k:])
+
+
+def _tally(
     chunk: bytes, seed: np.uint64, wanted: np.ndarray | None, counted: np.ndarray | None, longest: int
-) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(words of the phrase, phrases, counts) of a chunk; all its words together come as one phrase of no words.
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, hashes, counts) of a chunk.
 
     With ``wanted`` a longer phrase is taken if both its parts are in this map and its first part was taken. With
     ``counted`` those that this older map took are left out, and so are words.
     """
-    number: defaultdict[bytes, int] = defaultdict(count().__next__)
-    cut, nothing = number[b"\n"], number[b""]
-    ids = np.fromiter(map(number.__getitem__, chunk.replace(b"\n", b" \n ").split(b" ")), np.int64)
-    ids = ids[ids != nothing]
-    words = list(number)
-    names = pa.array(words, pa.binary()).cast(pa.string())
-    whole = ids != cut
-    if counted is None:
-        yield 0, pa.array([""]), np.array([whole.sum()])
-        found, n = np.unique(ids[whole], return_counts=True)
-        yield 1, names.take(pa.array(found)), n
-    hashed = _word_hashes(words)[ids]
-    shorter = _join(np.full(len(ids), seed, np.uint64), hashed)
-    codes, table, taken, done = ids, names, whole, whole
-    for k in range(2, min(longest, len(ids)) + 1):
-        taken = taken[:-1] & whole[k - 1 :]
-        if wanted is not None:
-            inner = _inside(wanted, shorter)
-            taken &= inner[:-1] & inner[1:]
-        at = np.flatnonzero(taken)
-        # A phrase is the code of its first words and its last word.
-        pairs, inverse, n = np.unique(codes[at] * len(words) + ids[at + k - 1], return_inverse=True, return_counts=True)
-        table = pc.binary_join_element_wise(table.take(pa.array(pairs // len(words))), names.take(pa.array(pairs % len(words))), " ")
-        if counted is None:
-            yield k, table, n
+    taken = done = wanted_parts = counted_parts = None
+    for k, hashes, inside in _hashed(*_tokens(chunk), seed, longest):
+        if k == 1:
+            taken = done = inside
         else:
-            inner = _inside(counted, shorter)
-            done = done[:-1] & whole[k - 1 :] & inner[:-1] & inner[1:]
-            fresh = np.bincount(inverse[~done[at]], minlength=len(pairs))
-            keep = np.flatnonzero(fresh)
-            yield k, table.take(pa.array(keep)), fresh[keep]
-        codes = np.zeros(len(taken), np.int64)
-        codes[at] = inverse
-        shorter = _join(shorter[:-1], hashed[k - 1 :])
-
-
-def count_phrases(docs: DataFrame, wanted: Broadcast | None = None, counted: Broadcast | None = None, longest: int = LONGEST) -> DataFrame:
-    """(lang, k, phrase, n): exact counts of phrases of ``docs(lang, text)``; k = 0 counts all words of a language."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = (wanted.value if wanted else None, counted.value if counted else None)
-        for batch in batches:
+            taken = taken[:-1] & inside & (wanted is None or wanted_parts[:-1] & wanted_parts[1:])
+            done = done[:-1] & inside & (counted is not None and counted_parts[:-1] & counted_parts[1:])
+        fresh = taken if counted is None else taken & ~done
+        found, n = np.unique(hashes[fresh], return_counts=True)
+        yield k, found, n
+        if wanted is not None and k < longest:
+            wanted_parts = _inside(wanted, hashes)
+        if counted is not None and k < longest:
+            counted_parts = _inside(counted, hashes)
+
+
+def _spelled(chunk: bytes, seed: np.uint64, wanted: np.ndarray) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(k, phrases, counts) of the phrases of a chunk that are in the map; all its words together come as k = 0."""
+    words, ids, piece = _tokens(chunk)
+    names = words.cast(pa.string())
+    yield 0, pa.array([""]), np.array([len(ids)])
+    taken = None
+    for k, hashes, inside in _hashed(words, ids, piece, seed, LONGEST):
+        # A part of a frequent phrase is frequent, so it is in the map as well.
+        taken = inside & _inside(wanted, hashes) & (True if taken is None else taken[:-1])
+        at = np.flatnonzero(taken)
+        table, codes, n = names, *np.unique(ids[at], return_counts=True)
+        if k == 1:
+            yield k, names.take(pa.array(codes)), n
+            continue
+        codes = ids[at]
+        for i in range(1, k):
+            # A phrase is the code of its first words and its last word.
+            pairs, codes, n = np.unique(codes * len(words) + ids[at + i], return_inverse=True, return_counts=True)
+            table = pc.binary_join_element_wise(table.take(pa.array(pairs // len(words))), names.take(pa.array(pairs % len(words))), " ")
+        yield k, table, n
+
+
+def _over_chunks(docs: DataFrame, run, schema: str) -> DataFrame:
+    """``run(chunk, lang)`` over the chunks of ``docs(lang, text)``; it yields record batches."""
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
             texts = defaultdict(list)
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 texts[lang].append(text)
             for lang, own in texts.items():
                 for chunk in _chunks(own):
-                    for k, phrases, n in _count(chunk, _seed(lang), *maps, longest):
-                        for i in range(0, len(phrases), ROWS):
-                            some = phrases.slice(i, ROWS)
-                            yield pa.RecordBatch.from_pydict({
-                                "lang": pa.repeat(pa.scalar(lang, pa.string()), len(some)), "k": pa.repeat(pa.scalar(k, pa.int32()), len(some)),
-                                "phrase": some, "n": pa.array(n[i : i + ROWS], pa.int64()),
-                            })
-
-    found = map_batches(docs.select("lang", "text"), run, "lang string, k int, phrase string, n long")
-    return found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
-
-
-def _hashes(batch: pa.RecordBatch) -> np.ndarray:
-    """The hashes of (lang, phrase) rows."""
-    out = np.empty(batch.num_rows, np.uint64)
-    rows = [phrase.split(b" ") for phrase in batch.column("phrase").cast(pa.binary()).to_pylist()]
-    seeds = {lang: _seed(lang) for lang in set(batch.column("lang").to_pylist())}
-    begun = np.fromiter((seeds[lang] for lang in batch.column("lang").to_pylist()), np.uint64, batch.num_rows)
-    lengths = np.fromiter(map(len, rows), np.int64, batch.num_rows)
-    for k in np.unique(lengths):
-        at = np.flatnonzero(lengths == k)
-        h = begun[at]
-        for i in range(k):
-            h = _join(h, _word_hashes([rows[j][i] for j in at]))
-        out[at] = h
-    return out
+                    yield from run(chunk, lang)
 
+    return map_batches(docs.select("lang", "text"), batches, schema)
 
-def bit_map(phrases: DataFrame, size: int) -> np.ndarray:
-    """The map of ``size`` bits (a power of two) of ``phrases(lang, phrase)``.
+
+def count_hashes(docs: DataFrame, wanted: Broadcast | None = None, counted: Broadcast | None = None, longest: int = LONGEST) -> DataFrame:
+    """(k, h, n): counts of hashed phrases of ``docs(lang, text)``; see ``_tally``."""
+
+    def run(chunk: bytes, lang: str) -> Iterator[pa.RecordBatch]:
+        maps = (wanted.value if wanted else None, counted.value if counted else None)
+        for k, found, n in _tally(chunk, _seed(lang), *maps, longest):
+            for i in range(0, len(found), ROWS):
+                some = found[i : i + ROWS].view(np.int64)
+                yield pa.RecordBatch.from_pydict({"k": pa.array(np.full(len(some), k, np.int32)), "h": pa.array(some), "n": pa.array(n[i : i + ROWS], pa.int64())})
+
+    return _over_chunks(docs, run, "k int, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n"))
+
+
+def spell(docs: DataFrame, wanted: Broadcast) -> DataFrame:
+    """(lang, k, phrase, n): exact counts of the phrases of ``docs(lang, text)`` that are in the map; k = 0 counts all words."""
+
+    def run(chunk: bytes, lang: str) -> Iterator[pa.RecordBatch]:
+        for k, phrases, n in _spelled(chunk, _seed(lang), wanted.value):
+            for i in range(0, len(phrases), ROWS):
+                some = phrases.slice(i, ROWS)
+                yield pa.RecordBatch.from_pydict({
+                    "lang": pa.repeat(pa.scalar(lang, pa.string()), len(some)), "k": pa.repeat(pa.scalar(k, pa.int32()), len(some)),
+                    "phrase": some, "n": pa.array(n[i : i + ROWS], pa.int64()),
+                })
+
+    return _over_chunks(docs, run, "lang string, k int, phrase string, n long").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+
+
+def map_size(hashes: int) -> int:
+    """Bits of a map of that many hashes."""
+    return min(MAX_BITS, max(MIN_BITS, 1 << (BITS * hashes).bit_length()))
+
+
+def bit_map(hashes: DataFrame, size: int) -> np.ndarray:
+    """The map of ``size`` bits (a power of two) of ``hashes(h)``.
 
     Each block of the map is put together in a task of its own; the driver gets the map, at most ``MAX_BITS``.
     """
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = (_hashes(batch) & np.uint64(size - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_pydict({"block": pa.array(at // BLOCK, pa.int32()), "place": pa.array(at % BLOCK, pa.int32())})
-
     def set_bits(table: pa.Table) -> pa.Table:
         block = np.zeros(BLOCK, np.uint8)
         block[table.column("place").to_numpy()] = 1
         return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "bits": [np.packbits(block, bitorder="little").tobytes()]})
 
-    placed = map_batches(phrases.select("lang", "phrase"), places, "block int, place int").distinct()
+    at = F.col("h").bitwiseAND(F.lit(size - 1))
+    placed = hashes.select(F.floor(at / BLOCK).cast("int").alias("block"), (at % BLOCK).cast("int").alias("place")).distinct()
     out = np.zeros(size // 8, np.uint8)
     for row in placed.groupBy("block").applyInArrow(set_bits, "block int, bits binary").toLocalIterator():
-        at = row["block"] * BLOCK // 8
-        out[at : at + BLOCK // 8] = np.frombuffer(row["bits"], np.uint8)
+        first = row["block"] * BLOCK // 8
+        out[first : first + BLOCK // 8] = np.frombuffer(row["bits"], np.uint8)
     return out
 
 
-def outside(phrases: DataFrame, known: Broadcast) -> DataFrame:
-    """The rows of ``phrases(lang, phrase)`` that are not in the map."""
+def outside(hashes: DataFrame, known: Broadcast) -> DataFrame:
+    """The rows of ``hashes(h)`` that are not in the map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(~_inside(known.value, _hashes(batch))))
+            yield batch.filter(pa.array(~_inside(known.value, batch.column("h").to_numpy().view(np.uint64))))
 
-    return map_batches(phrases.select("lang", "phrase"), run, "lang string, phrase string")
+    return map_batches(hashes.select("h"), run, "h long")
 
 
 def frequent(docs: DataFrame, least: int = MIN_COUNT, sample: int = SAMPLE, sample_count: int = SAMPLE_COUNT) -> DataFrame:
@@ -226,23 +257,23 @@ def frequent(docs: DataFrame, least: int = MIN_COUNT, sample: int = SAMPLE, samp
 
     Rows with k = 0 hold the number of words of each language. One document in ``sample`` proposes phrases.
     """
-    spark = docs.sparkSession
+    ship = docs.sparkSession.sparkContext.broadcast
     rows = docs.select("doc_id", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    sampled = count_phrases(rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0), longest=LONGEST - 1)
-    proposed = materialise(sampled.filter((F.col("k") > 0) & (F.col("n") >= sample_count)).select("lang", "phrase"), "proposed")
-    size = min(MAX_BITS, max(MIN_BITS, 1 << (BITS * proposed.count()).bit_length()))
-    bits = bit_map(proposed, size)
-    counted, wanted = None, spark.sparkContext.broadcast(bits)
+    sampled = count_hashes(rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(sample)) == 0), longest=LONGEST - 1)
+    proposed = materialise(sampled.filter(F.col("n") >= sample_count).select("h"), "proposed")
+    bits = bit_map(proposed, map_size(proposed.count()))
+    counted, wanted = None, ship(bits)
     found = None
     while True:
-        tally = count_phrases(rows, wanted, counted)
-        exact = materialise(tally.filter((F.col("k") == 0) | (F.col("n") >= least)), "phrases")
-        found = exact if found is None else found.unionByName(exact)
-        failures = materialise(outside(exact.filter((F.col("k") > 0) & (F.col("k") < LONGEST)), wanted), "failures")
+        tally = materialise(count_hashes(rows, wanted, counted).filter(F.col("n") >= least), "hashes")
+        found = tally if found is None else found.unionByName(tally)
+        failures = materialise(outside(tally.filter(F.col("k") < LONGEST), wanted), "failures")
         if failures.isEmpty():
-            return found
-        bits = bits | bit_map(failures, size)
-        counted, wanted = wanted, spark.sparkContext.broadcast(bits)
+            break
+        bits = bits | bit_map(failures, len(bits) * 8)
+        counted, wanted = wanted, ship(bits)
+    last = ship(bit_map(found, map_size(found.count())))
+    return materialise(spell(rows, last).filter((F.col("k") == 0) | (F.col("n") >= least)), "phrases")
 
 
 def _counts_of(parts: DataFrame, found: DataFrame) -> DataFrame:
@@ -297,10 +328,11 @@ def scored(found: DataFrame) -> DataFrame:
 def collocations(docs: DataFrame, top: int, **options: int) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each language.
 
-    Each language is ranked in parts of about ``RANKED`` phrases first, so the last task gets ``top`` of each part.
+    Each language is ranked in parts first, of whose best the last task takes the best; parts are about as large as what
+    they leave for it.
     """
     rows = materialise(scored(frequent(docs, **options)), "scored")
-    parts = rows.count() // RANKED + 1
+    parts = 1 + int((rows.count() / top) ** 0.5)
     order = [F.col("score").desc(), F.col("a").desc(), "phrase"]
     rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
     best = rows.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
