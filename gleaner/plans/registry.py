@@ -8,10 +8,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.session import scratch_path, ship_package
+from gleaner.session import path_exists, scratch_path, ship_package
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Paths of what ``Tables.stored`` wrote, by application, folder and name.
+_stored: dict[tuple[str, str, str], str] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -50,6 +52,19 @@ class Tables:
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
+    def stored[T](self, name: str, build: Callable[[str], T], load: Callable[[str], T]) -> T:
+        """What ``build`` wrote for these tables earlier in this application, read by ``load``; built now if it is not there.
+
+        The note of it lasts as long as the scratch folder does: after ``release`` it is built again.
+        """
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key in _stored and path_exists(self.spark, _stored[key]):
+            return load(_stored[key])
+        path = self.scratch(name)
+        found = build(path)
+        _stored[key] = path
+        return found
+
     @cached_property
     def corpus(self) -> DataFrame:
         return self.spread("documents", "doc_id", "text")

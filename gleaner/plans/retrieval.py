@@ -7,18 +7,22 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import sentences, words
 from gleaner.functions.vectors import as_double, dequantise, normalise, quantise, shorten
-from gleaner.operators import catalog, chunking, dense, fusion, lexical, shaping, testset
+from gleaner.operators import catalog, chunking, dense, fusion, lexical, postings, shaping, testset
 from gleaner.operators.graph import neighbourhood
 from gleaner.plans import sql
 from gleaner.plans.registry import ORACLES, Tables, query
 from gleaner.session import materialise
 
 
+def posting_index(t: Tables) -> postings.PostingIndex:
+    """The stored index of the documents: built by the first query that asks for it, read by all others of the session."""
+    return t.stored("postings", lambda path: postings.build(t.corpus, path), lambda path: postings.load(t.spark, path))
+
+
 def bm25_hits(t: Tables, k: int = 4, corpus: DataFrame | None = None, questions: DataFrame | None = None) -> DataFrame:
-    """Hits from an index that was saved and loaded again."""
-    path = t.scratch("lexical-index")
-    lexical.build_index(corpus if corpus is not None else t.corpus).save(path)
-    return lexical.bm25(lexical.load_index(t.spark, path), questions if questions is not None else t.questions, k)
+    """Hits from the stored postings; another corpus than the documents gets an index of its own."""
+    index = posting_index(t) if corpus is None else postings.build(corpus, t.scratch("postings"))
+    return postings.search(index, questions if questions is not None else t.questions, k)
 
 
 def vectors(df: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -60,13 +64,13 @@ PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM ({score
 
 @query("lexical_index", f"WITH {sql.idf('')} SELECT term, df, round(idf, 9) AS idf FROM idf")
 def lexical_index(t: Tables) -> DataFrame:
-    return lexical.build_index(t.corpus).terms.select("term", "df", F.round("idf", 9).alias("idf"))
+    return posting_index(t).terms.select("term", "df", F.round("idf", 9).alias("idf"))
 
 
 @query("lexical_postings", f"WITH tok AS (SELECT doc_id, unnest({sql.words('text')}) AS term FROM documents) "
        "SELECT term, doc_id, count(*) AS tf FROM tok GROUP BY ALL")
 def lexical_postings(t: Tables) -> DataFrame:
-    return lexical.build_index(t.corpus).postings()
+    return postings.postings(posting_index(t))
 
 
 @query("bm25_topk", f"WITH {sql.bm25('', 4)} SELECT * FROM hits")

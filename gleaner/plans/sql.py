@@ -22,13 +22,14 @@ def sentences(text: str) -> str:
 def idf(p: str, corpus: str = CORPUS) -> str:
     """CTEs ending in ``{p}idf(term, df, idf)``."""
     return f"""
-{p}c AS ({corpus}),
-{p}tok AS (SELECT doc_id, unnest({words('text')}) AS term FROM {p}c),
-{p}dl AS (SELECT doc_id, len({words('text')}) AS dl FROM {p}c),
+{p}c AS MATERIALIZED (SELECT doc_id, {words('text')} AS w FROM ({corpus})),
+{p}tok AS (SELECT doc_id, unnest(w) AS term FROM {p}c),
+{p}dl AS (SELECT doc_id, len(w) AS dl FROM {p}c),
 {p}st AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM {p}dl),
 {p}df AS (SELECT term, count(DISTINCT doc_id) AS df FROM {p}tok GROUP BY term),
-{p}raw AS (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS w FROM {p}df, {p}st),
-{p}idf AS (SELECT term, df, CASE WHEN w < 0 THEN 0.25 * (SELECT avg(w) FROM {p}raw) ELSE w END AS idf FROM {p}raw)"""
+{p}raw AS MATERIALIZED (SELECT term, df, ln(n - df + 0.5) - ln(df + 0.5) AS w FROM {p}df, {p}st),
+{p}mean AS (SELECT avg(w) AS mean FROM {p}raw),
+{p}idf AS (SELECT term, df, CASE WHEN w < 0 THEN 0.25 * mean ELSE w END AS idf FROM {p}raw, {p}mean)"""
 
 
 def bm25(p: str, k: int, corpus: str = CORPUS, queries: str = QUESTIONS) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner import schemas
+from gleaner.session import path_exists
 
 
 def event_stream(
@@ -81,7 +82,7 @@ def rollup_available(
 
     _process(stream, add, f"{path}/state")
     schema = windowed(spark.createDataFrame([], stream.schema), width, slide).schema
-    if not _exists(spark, f"{path}/data"):
+    if not path_exists(spark, f"{path}/data"):
         return merged_windows(spark.createDataFrame([], schema), delay)
     return merged_windows(spark.read.schema(schema).parquet(f"{path}/data"), delay)
 
@@ -96,11 +97,6 @@ def _run_of(batch: DataFrame) -> str:
     return batch.sparkSession._jsparkSession.sparkContext().getLocalProperty("sql.streaming.queryId")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
-
-
 def run_available(stream: DataFrame, path: str) -> DataFrame:
     """Process what is there now in append mode, exactly once, and return the written table."""
     query = (
@@ -131,7 +127,7 @@ def ingest_changed(
         whole = F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order or [])), *columns)
         last = batch.groupBy(F.col(key).alias("the_key")).agg(F.max(whole).alias("row")).select("row.*").select(columns)
         fresh, version = last.withColumn("digest", digest), 0
-        if _exists(spark, target):
+        if path_exists(spark, target):
             others = spark.read.schema(schema).parquet(target).filter((F.col("run") != run) | (F.col("batch") != batch_id))
             version = (others.agg(F.max("version")).first()[0] or 0) + 1
             known = others.groupBy(key).agg(F.max_by("digest", "version").alias("known"))
