@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.functions.text import words
 from gleaner.functions.vectors import as_double, dequantise, hashed_embedding, normalise, quantise, shorten
 from gleaner.operators.blocks import TILE_ROWS, Scorer, topk, topk_by_key
+from gleaner.operators.sampling import first_by_hash
 from gleaner.session import materialise, scratch_path
 
 BROADCAST_VALUES = 8_000_000  # 64 MB of doubles
@@ -80,7 +81,7 @@ def train_cells(vectors: DataFrame, n_cells: int, rounds: int = 12, sample: int
 
     Only the sample is fitted; every vector is assigned afterwards. Fewer vectors than cells give as many cells.
     """
-    taken = vectors.select("doc_id", "vector").orderBy(F.xxhash64(F.lit(seed), F.col("doc_id")), "doc_id").limit(sample).toArrow()
+    taken = first_by_hash(vectors.select("doc_id", "vector"), sample, "doc_id", seed=seed).toArrow()
     points = _matrix(taken.column("vector"), taken.num_rows)
     chosen = np.random.default_rng(seed).permutation(len(points))[:n_cells]
     centres = points[np.sort(chosen)]
@@ -170,6 +171,29 @@ def quantised_search(corpus: DataFrame, queries: DataFrame, k: int, dims: int =
     return dense(coded, queries, k, dims)
 
 
+def _code_matrix(codes: pa.Array | pa.ChunkedArray, n: int) -> np.ndarray:
+    # Sums of products of 8-bit codes are whole numbers that a float holds exactly up to 2**24, a double beyond.
+    matrix = _matrix(codes, n)
+    return matrix.astype(np.float32 if matrix.shape[1] * 127**2 < 1 << 24 else np.float64)
+
+
+CODES = Scorer(
+    lambda block: {"ids": pd.Index(block.column("query_id").to_pandas()), "vectors": _code_matrix(block.column("codes"), block.num_rows)},
+    lambda state: state["ids"],
+    lambda state, batch: _code_matrix(batch.column("codes"), batch.num_rows) @ state["vectors"].T,
+)
+
+
+def code_search(corpus: DataFrame, queries: DataFrame, k: int, fetch: int, dims: int = 64) -> DataFrame:
+    """Search on 8-bit codes: products of whole numbers find ``fetch`` documents a query, exact scores rank them.
+
+    Both sides are quantised; the corpus' full vectors are read for the fetched documents only.
+    """
+    coded = lambda frame, key: frame.select(key, quantise(F.col("vector")).alias("codes"))
+    found = topk(coded(corpus, "doc_id"), coded(queries, "query_id"), CODES, fetch, max_query_rows=max(1, BROADCAST_VALUES // dims))
+    return rescore(found, corpus, queries, k)
+
+
 def blend(queries: DataFrame, texts: DataFrame, mode: str = "average") -> DataFrame:
     """Hypothetical-document search: replace each query vector by that of a supplied text, or average.
 

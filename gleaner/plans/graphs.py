@@ -279,6 +279,18 @@ def similarity_edges(t: Tables) -> DataFrame:
     return testset.similarity_edges(unit_vectors(t.embeddings.withColumnRenamed("vec_id", "doc_id"), "doc_id"), neighbours=3, minimum=0.2)
 
 
+@query("similarity_recall")
+def similarity_recall(t: Tables) -> DataFrame:
+    """The share of the exact similarity edges that the graph search finds, by kind of edge."""
+    stored = materialise(unit_vectors(t.embeddings.withColumnRenamed("vec_id", "doc_id"), "doc_id"), "vectors")
+    pair = lambda frame: frame.select("type", "source", "target").distinct()
+    exact = pair(testset.similarity_edges(stored, 3, 0.2, exact=True))
+    found = pair(testset.similarity_edges(stored, 3, 0.2)).withColumn("hit", F.lit(1))
+    joined = exact.join(found, ["type", "source", "target"], "left")
+    counted = joined.groupBy("type").agg(F.count(F.lit(1)).alias("n_exact"), F.count("hit").alias("n_found"))
+    return counted.withColumn("recall", F.col("n_found") / F.col("n_exact"))
+
+
 @query("scenarios", f"""WITH m AS (SELECT 'doc:' || doc_id AS source, 'entity:' || e AS target FROM ({MENTIONS})),
 a AS (SELECT source, row_number() OVER (ORDER BY md5('42|' || source), source) AS n FROM (SELECT DISTINCT 'doc:' || doc_id AS source FROM documents)),
 b AS (SELECT source, target, row_number() OVER (ORDER BY md5('42|' || source || '|' || target), source, target) AS n FROM m)

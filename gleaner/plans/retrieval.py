@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import sentences, words
 from gleaner.functions.vectors import as_double, dequantise, normalise, quantise, shorten
-from gleaner.operators import catalog, chunking, dense, fusion, lexical, postings, shaping, testset
+from gleaner.operators import catalog, chunking, dense, fusion, lexical, neighbours, postings, shaping, testset
 from gleaner.operators.graph import neighbourhood
 from gleaner.plans import sql
 from gleaner.plans.registry import ORACLES, Tables, query
@@ -134,6 +134,30 @@ def trained_cell_topk(t: Tables) -> DataFrame:
     return dense.cell_search(dense.assign_cells(stored, "doc_id", cells), label_queries(t), cells, k=10, probes=16)
 
 
+@query("code_topk", f"""WITH {LABEL_SQL},
+cu AS (SELECT doc_id, v, list_transform(v, lambda x: round(x * 127)) AS c FROM unit), cq AS (SELECT query_id, q, list_transform(q, lambda x: round(x * 127)) AS c FROM cent),
+coarse AS ({_rank_sql("SELECT query_id, doc_id, list_dot_product(cq.c, cu.c) AS score FROM cq, cu", 40)})
+{_rank_sql("SELECT c.query_id, c.doc_id, round(list_dot_product(q, v), 6) AS score FROM coarse c JOIN unit USING (doc_id) JOIN cent USING (query_id)", 10)}""")
+def code_topk(t: Tables) -> DataFrame:
+    return dense.code_search(stored_vectors(t), label_queries(t), 10, fetch=40)
+
+
+@query("approximate_recall")
+def approximate_recall(t: Tables) -> DataFrame:
+    """Recall of the graph, of trained cells and of codes at ten hits: every fiftieth vector searched among all of them."""
+    stored = materialise(stored_vectors(t), "vectors")
+    asked = materialise(stored.filter("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id"), "queries")
+    exact = materialise(dense.dense(stored, asked, 10), "exact")
+    cells = dense.train_cells(stored, 16)
+    found = {
+        "graph": neighbours.search(neighbours.build(stored, t.scratch("neighbours")), asked, 10),
+        "cells": dense.cell_search(dense.assign_cells(stored, "doc_id", cells), asked, cells, k=10, probes=12),
+        "codes": dense.code_search(stored, asked, 10, fetch=40),
+    }
+    rows = [neighbours.recall(hits, exact).withColumn("method", F.lit(name)) for name, hits in found.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query("hashed_embedding", f"""WITH {sql.buckets('', 'doc_id', sql.CORPUS)}
 SELECT doc_id, b::INTEGER AS dim, round(x, 6) AS x FROM vec""")
 def hashed_embedding(t: Tables) -> DataFrame:

@@ -54,3 +54,9 @@ def test_every_oracle_has_a_query():
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 1
+
+
+def test_measured_recall(spark):
+    rows = QUERIES["approximate_recall"](spark, str(FOLDER)).groupBy("method").avg("recall").collect()
+    assert len(rows) == 3 and all(r["avg(recall)"] >= 0.9 for r in rows)
+    assert all(r.recall >= 0.9 for r in QUERIES["similarity_recall"](spark, str(FOLDER)).collect())
