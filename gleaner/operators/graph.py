@@ -67,13 +67,17 @@ def entity_counts(nodes: DataFrame, top: int = 10) -> DataFrame:
 
 
 def structure(nodes: DataFrame) -> DataFrame:
-    """Structure of a sample node (the first by id): its fields, property keys and ``summary`` keys."""
-    sample = nodes.orderBy("id").limit(1)
-    fields = F.array(*[F.struct(F.lit("node").alias("level"), F.lit(name).alias("key")) for name in nodes.columns])
-    properties = F.transform(F.map_keys("properties"), lambda k: F.struct(F.lit("properties").alias("level"), k.alias("key")))
-    inner = F.coalesce(F.json_object_keys(F.try_element_at("properties", F.lit("summary"))), F.array().cast("array<string>"))
-    summary = F.transform(inner, lambda k: F.struct(F.lit("summary").alias("level"), k.alias("key")))
-    return sample.select(F.inline(F.concat(fields, properties, summary)))
+    """``(level, key, n)``: the fields, property keys and ``summary`` keys of all nodes and how many nodes have them.
+
+    A null field or property counts as absent. What is shuffled are the counts of each task.
+    """
+    level = lambda name, keys: F.transform(keys, lambda k: F.struct(F.lit(name).alias("level"), k.alias("key")))
+    fields = F.filter(F.array(*[F.when(F.col(name).isNotNull(), F.lit(name)) for name in nodes.columns]), lambda k: k.isNotNull())
+    held = F.map_keys(F.map_filter("properties", lambda _, v: v.isNotNull()))
+    inner = F.json_object_keys(F.try_element_at("properties", F.lit("summary")))
+    none = F.array().cast("array<string>")
+    keys = F.concat(level("node", fields), level("properties", F.coalesce(held, none)), level("summary", F.coalesce(inner, none)))
+    return nodes.select(F.inline(keys)).groupBy("level", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
 def embedding_paths(rows: DataFrame, word: str = "embedding") -> DataFrame:

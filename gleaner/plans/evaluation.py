@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +13,10 @@ from gleaner.operators import evaluation, judged, reports, shaping, stats, tests
 from gleaner.operators.matching import containment
 from gleaner.plans import sql
 from gleaner.plans.registry import Tables, query
+from gleaner.session import materialise
 from gleaner.plans.retrieval import (
-    CHILDREN, ENTITY_SQL, LABEL_SQL, _rank_sql, bm25_hits, child_hits, label_queries, stored_vectors, two_lists, vectors,
+    CHILDREN, ENTITY_SQL, LABEL_SQL, RETRIEVERS, SEVEN, _rank_sql, bm25_hits, child_hits, label_queries, seven_lists, stored_vectors,
+    two_lists, vectors,
 )
 
 
@@ -194,12 +198,11 @@ def detail_cap(t: Tables) -> DataFrame:
 
 
 @query("question_details", f"""WITH {sql.bm25('', 4)},
-f AS (SELECT query_id, count(*) AS n, avg(score) AS a, sum(score) AS s, sum(len({sql.words('text')})) AS w FROM hits JOIN documents USING (doc_id) WHERE query_id % 7 <> 0 GROUP BY query_id)
+f AS (SELECT query_id, count(*) AS n, avg(score) AS a, sum(score) AS s, sum(len({sql.words('text')})) AS w FROM hits JOIN documents USING (doc_id) GROUP BY query_id)
 SELECT item_id AS query_id, coalesce(n, 0) AS document_count, round(coalesce(a, 0), 4) AS avg_score, round(coalesce(s, 0), 4) AS score_sum,
 coalesce(w, 0)::BIGINT AS token_count FROM benchmark LEFT JOIN f ON item_id = query_id""")
 def question_details(t: Tables) -> DataFrame:
-    """Every seventh question came back without hits."""
-    hits = bm25_hits(t).filter("query_id % 7 <> 0").join(t.corpus.withColumnRenamed("text", "content"), "doc_id")
+    hits = bm25_hits(t).join(t.corpus.withColumnRenamed("text", "content"), "doc_id")
     details = evaluation.question_details(t.questions, hits, ["query_id"])
     return details.withColumns({"avg_score": F.round("avg_score", 4), "score_sum": F.round("score_sum", 4)})
 
@@ -222,15 +225,6 @@ def metrics_tall(t: Tables) -> DataFrame:
     return tall_metrics(t)
 
 
-@query("comparison_wide", AGG_SQL + """ SELECT retriever_type, success_rate, avg_latency_ms, 0.0::DOUBLE AS precision, 0.0::DOUBLE AS recall,
-0.0::DOUBLE AS f1, 0.0::DOUBLE AS mrr, 0.0::DOUBLE AS ndcg, avg_document_score AS judged_score FROM agg""")
-def comparison_wide(t: Tables) -> DataFrame:
-    renamed = tall_metrics(t).withColumn(
-        "metric", F.when(F.col("metric") == "avg_document_score", "judged_score").otherwise(F.col("metric"))
-    )
-    return reports.wide(renamed)
-
-
 @query("best_per_metric", TALL_SQL + """ SELECT metric, retriever_type, value FROM (SELECT *, row_number() OVER (PARTITION BY metric
 ORDER BY CASE WHEN metric = 'avg_latency_ms' THEN value ELSE -value END, retriever_type) AS r FROM tall) WHERE r = 1""")
 def best_per_metric(t: Tables) -> DataFrame:
@@ -248,21 +242,105 @@ def overall_directed(t: Tables) -> DataFrame:
     return rounded(reports.overall(tall_metrics(t), directed=True), 4)
 
 
-RUN_METRICS = f"""WITH {sql.bm25('l', 10)}, {sql.dense('v', 10)}, rel AS ({sql.QRELS}),
-both_ AS (SELECT 'bm25' AS retriever_type, * FROM lhits UNION ALL SELECT 'dense', * FROM vhits),
-nr AS (SELECT query_id, count(*) AS n FROM rel GROUP BY query_id),
-per0 AS (SELECT retriever_type, query_id, count(r.doc_id) / count(*) AS p, count(r.doc_id) / max(n) AS rc
-  FROM both_ LEFT JOIN rel r USING (query_id, doc_id) JOIN nr USING (query_id) GROUP BY ALL),
-mm AS (SELECT retriever_type, round(avg(p), 4) AS precision, round(avg(rc), 4) AS recall FROM per0 GROUP BY ALL)"""
+RUN_METRICS = SEVEN + f""", rel AS (SELECT DISTINCT * FROM ({sql.QRELS})), nr AS (SELECT query_id, count(*) AS n_relevant FROM rel GROUP BY query_id),
+facts AS (SELECT retriever_type, query_id, count(*) AS n, count(r.doc_id) AS h, coalesce(1.0 / min(CASE WHEN r.doc_id IS NOT NULL THEN rank END), 0) AS mrr,
+  coalesce(sum(CASE WHEN r.doc_id IS NOT NULL THEN 1 / log2(rank + 1) END), 0) AS dcg FROM seven LEFT JOIN rel r USING (query_id, doc_id) GROUP BY ALL),
+ratios AS (SELECT retriever_type, query_id, h / n AS precision, h / n_relevant AS recall, mrr,
+  dcg / list_sum(list_transform(range(1, least(n_relevant, n) + 1), lambda i: 1 / log2(i + 1))) AS ndcg FROM facts JOIN nr USING (query_id)),
+means AS (SELECT retriever_type, round(avg(precision), 4) AS precision, round(avg(recall), 4) AS recall,
+  round(avg(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END), 4) AS f1,
+  round(avg(mrr), 4) AS mrr, round(avg(ndcg), 4) AS ndcg FROM ratios GROUP BY retriever_type),
+runs AS (SELECT ['{"', '".join(RETRIEVERS)}'][event_id % {len(RETRIEVERS)} + 1] AS retriever_type, value AS latency_ms, (props::JSON->>'k')::INTEGER AS k FROM events),
+speed AS (SELECT retriever_type, round(100.0 * count(*) FILTER (k >= 10) / count(*), 4) AS success_rate,
+  round(avg(latency_ms) FILTER (k >= 10), 4) AS avg_latency_ms FROM runs GROUP BY retriever_type)"""
+
+
+def run_means(t: Tables) -> DataFrame:
+    """Relevance of each registered retriever over all questions, and the success and latency of its requests.
+
+    The event log stands in for the request log: requests are dealt to the retrievers in turn.
+    """
+    per = evaluation.relevance_by_query(seven_lists(t), qrels(t), ["retriever_type", "query_id"])
+    means = evaluation.macro_means(per, by=["retriever_type"]).drop("n_queries")
+    turn = F.get(F.array(*map(F.lit, RETRIEVERS)), (F.col("event_id") % len(RETRIEVERS)).cast("int"))
+    speed = evaluation.retriever_aggregates(request_log(t).withColumn("retriever_type", turn))
+    return rounded(means.join(speed.select("retriever_type", "success_rate", "avg_latency_ms"), "retriever_type", "full"), 4)
+
+
+JUDGED = ["context_recall", "faithfulness", "factual_correctness", "answer_relevancy", "entity_recall", "noise_sensitivity"]
+
+JUDGED_SQL = f""", rt AS (SELECT unnest(['{"', '".join(RETRIEVERS)}']) AS retriever_type),
+ctx AS (SELECT retriever_type, query_id, rank, text FROM seven JOIN documents USING (doc_id)),
+ask AS (SELECT retriever_type, query_id, text FROM ({sql.QUESTIONS}), rt),
+want AS (SELECT retriever_type, query_id, unnest({sql.sentences('text')}) AS claim, generate_subscripts({sql.sentences('text')}, 1) AS no FROM ask),
+said AS (SELECT retriever_type, query_id, unnest({sql.sentences('text')}) AS claim, generate_subscripts({sql.sentences('text')}, 1) AS no FROM ctx WHERE rank = 1),
+j1 AS (SELECT retriever_type, query_id, avg(ok::INTEGER) AS x FROM (SELECT w.retriever_type, w.query_id, no, bool_or(coalesce(contains(c.text, claim), false)) AS ok
+  FROM want w LEFT JOIN ctx c USING (retriever_type, query_id) GROUP BY ALL) GROUP BY ALL),
+verdict AS (SELECT s.retriever_type, s.query_id, no, bool_or(coalesce(contains(c.text, claim), false)) AS ok, bool_or(contains(a.text, claim)) AS correct
+  FROM said s LEFT JOIN (SELECT * FROM ctx WHERE rank > 1) c USING (retriever_type, query_id) JOIN ask a USING (retriever_type, query_id) GROUP BY ALL),
+j2 AS (SELECT retriever_type, query_id, avg(ok::INTEGER) AS x FROM verdict GROUP BY ALL),
+j3 AS (SELECT retriever_type, query_id, 2.0 * count(*) FILTER (a AND b) / (count(*) + count(*) FILTER (a AND b)) AS x FROM (
+  SELECT retriever_type, query_id, claim, bool_or(own) AS a, bool_or(NOT own) AS b FROM (
+    SELECT retriever_type, query_id, claim, true AS own FROM said UNION ALL SELECT retriever_type, query_id, claim, false FROM want) GROUP BY ALL) GROUP BY ALL),
+{sql.buckets('jq', 'query_id', sql.QUESTIONS)}, {sql.buckets('jr', 'id', "SELECT retriever_type || '|' || query_id AS id, text FROM ctx WHERE rank = 1")},
+j4 AS (SELECT retriever_type, c.query_id, coalesce(sum(q.x * r.x), 0) AS x FROM ctx c LEFT JOIN jqvec q USING (query_id)
+  LEFT JOIN jrvec r ON r.id = retriever_type || '|' || c.query_id AND r.b = q.b WHERE rank = 1 GROUP BY ALL),
+named AS ({ENTITY_SQL.format(words=sql.words('text'), source="(SELECT item_id AS doc_id, text FROM benchmark)")}),
+held AS ({ENTITY_SQL.format(words=sql.words('text'), source="(SELECT retriever_type || '|' || query_id AS doc_id, text FROM ctx)")}),
+j5 AS (SELECT retriever_type, n.doc_id AS query_id, count(h.e) / count(*) AS x FROM named n CROSS JOIN rt LEFT JOIN held h ON h.doc_id = retriever_type || '|' || n.doc_id AND h.e = n.e GROUP BY ALL),
+j6 AS (SELECT retriever_type, query_id, count(*) FILTER (ok AND NOT correct) / count(*) AS x FROM verdict GROUP BY ALL),
+judged AS (""" + " UNION ALL ".join(
+    f"SELECT retriever_type, '{name}' AS metric, round(avg(x), 4) AS value FROM j{i} GROUP BY retriever_type" for i, name in enumerate(JUDGED, 1)
+) + ")"
+
+
+def judged_by_retriever(t: Tables) -> DataFrame:
+    """``(retriever_type, metric, value)``: the six judged metrics of each retriever, its best hit taken as the response."""
+    keys = ["retriever_type", "query_id"]
+    every = F.explode(F.array(*map(F.lit, RETRIEVERS))).alias("retriever_type")
+    texts = materialise(seven_lists(t).join(t.corpus, "doc_id").select(*keys, "rank", "text"), "contexts")
+    asked = t.questions.select(every, "query_id", "text")
+    best, others = texts.filter("rank = 1"), texts.filter("rank > 1")
+    want, said = judged.claims_of(asked, keys, "text"), judged.claims_of(best, keys, "text")
+    support = lambda claims, contexts: judged.lexical_support(claims, contexts, keys, "text")
+    backed = materialise(support(said, others), "backed")
+    right = support(said, asked).withColumnRenamed("supported", "correct")
+    noisy = backed.withColumnRenamed("supported", "attributable").join(right, [*keys, "claim_no"])
+    embedded = lambda rows: dense_ops.embed(rows, hashing="md5").select(*keys, "vector")
+    held = texts.groupBy(*keys).agg(F.flatten(F.collect_set(testset.default_entities(F.col("text")))).alias("held"))
+    named = asked.select(*keys, testset.default_entities(F.col("text")).alias("named")).join(held, keys, "left")
+    named = named.withColumn("held", F.coalesce("held", F.array().cast("array<string>")))
+    scores = {
+        "context_recall": judged.supported_share(support(want, texts), keys, "context_recall"),
+        "faithfulness": judged.supported_share(backed, keys, "faithfulness"),
+        "factual_correctness": judged.factual_correctness(judged.claim_kinds(said, want, keys), keys),
+        "answer_relevancy": judged.response_relevancy(embedded(asked), embedded(best), keys),
+        "entity_recall": named.select(*keys, judged.entity_recall(named, "named", "held").alias("entity_recall")),
+        "noise_sensitivity": judged.noise_sensitivity(noisy, keys),
+    }
+    rows = [
+        reports.tall(rounded(judged.metric_means(frame, [name], ["retriever_type"]), 4), ["retriever_type"], ["judged_" + name])
+        for name, frame in scores.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query("comparison_wide", RUN_METRICS + JUDGED_SQL + """ SELECT retriever_type, success_rate, avg_latency_ms, precision, recall, f1, mrr, ndcg, """ + ", ".join(
+    f"coalesce(max(value) FILTER (metric = '{name}'), 0) AS judged_{name}" for name in JUDGED
+) + " FROM means JOIN speed USING (retriever_type) LEFT JOIN judged USING (retriever_type) GROUP BY ALL")
+def comparison_wide(t: Tables) -> DataFrame:
+    """All registered retrievers with request, relevance and judged metrics."""
+    measured = reports.tall(run_means(t), ["retriever_type"], reports.COMPARISON_METRICS)
+    return reports.wide(materialise(measured.unionByName(judged_by_retriever(t)), "measured"))
 
 
-@query("chart_series", RUN_METRICS + """, tall AS (SELECT * FROM mm UNPIVOT (value FOR metric IN (precision, recall)))
-SELECT 'relevance' AS chart, metric AS series, retriever_type AS x, value AS y FROM tall
-UNION ALL SELECT 'radar', retriever_type, metric, value FROM tall""")
+@query("chart_series", RUN_METRICS + """, tall AS (SELECT retriever_type, metric, value FROM means JOIN speed USING (retriever_type)
+  UNPIVOT (value FOR metric IN (precision, recall, f1, mrr, ndcg, avg_latency_ms)))
+SELECT 'relevance' AS chart, metric AS series, retriever_type AS x, value AS y FROM tall WHERE metric IN ('precision', 'recall', 'f1')
+UNION ALL SELECT 'latency', metric, retriever_type, value FROM tall WHERE metric = 'avg_latency_ms'
+UNION ALL SELECT 'radar', retriever_type, metric, value FROM tall WHERE metric <> 'avg_latency_ms'""")
 def chart_series(t: Tables) -> DataFrame:
-    per = evaluation.relevance_by_query(two_lists(t), qrels(t), ["retriever_type", "query_id"])
-    means = rounded(evaluation.macro_means(per, ["precision", "recall"], ["retriever_type"]), 4)
-    return reports.chart_series(reports.tall(means, ["retriever_type"], ["precision", "recall"]))
+    return reports.chart_series(reports.tall(run_means(t), ["retriever_type"], reports.COMPARISON_METRICS))
 
 
 @query("run_summary", f"""WITH {LOG_SQL} SELECT string_agg(DISTINCT retriever_type, ',' ORDER BY retriever_type) AS retrievers,
@@ -289,12 +367,10 @@ def _period(t: Tables, condition: str) -> DataFrame:
     + ", tall AS (SELECT retriever_type, late, metric, value FROM agg UNPIVOT (value FOR metric IN (" + ", ".join(AGG_METRICS) + ")))"
     + """ SELECT retriever_type, metric, a.value AS baseline, b.value AS current, round(b.value - a.value, 4) AS delta,
     CASE WHEN a.value IS NULL THEN 'baseline' WHEN b.value IS NULL THEN 'current' END AS missing_in
-    FROM (SELECT * FROM tall WHERE NOT late AND metric <> 'failed') a FULL JOIN (SELECT * FROM tall WHERE late AND metric <> 'success_rate') b USING (retriever_type, metric)""")
+    FROM (SELECT * FROM tall WHERE NOT late) a FULL JOIN (SELECT * FROM tall WHERE late) b USING (retriever_type, metric)""")
 def metric_delta(t: Tables) -> DataFrame:
-    """Change between the first and the second half of the month, per retriever and metric; each lacks one metric."""
-    first, second = _period(t, "ts < '2024-01-16'"), _period(t, "ts >= '2024-01-16'")
-    first, second = first.filter("metric <> 'failed'"), second.filter("metric <> 'success_rate'")
-    return evaluation.metric_delta(first, second, ["retriever_type"])
+    """Change between the first and the second half of the month, per retriever and metric."""
+    return evaluation.metric_delta(_period(t, "ts < '2024-01-16'"), _period(t, "ts >= '2024-01-16'"), ["retriever_type"])
 
 
 def samples(t: Tables) -> DataFrame:
@@ -412,16 +488,12 @@ def noise_sensitivity(t: Tables) -> DataFrame:
     return rounded(judged.noise_sensitivity(noisy.join(right, ["query_id", "claim_no"]), ["query_id"]))
 
 
-@query("judged_means", f"""WITH {sql.bm25('', 4)},
-cl AS (SELECT query_id, unnest({sql.sentences('text')}) AS claim, generate_subscripts({sql.sentences('text')}, 1) AS no FROM ({sql.QUESTIONS})),
-v AS (SELECT query_id, no, bool_or(coalesce(contains(d.text, claim), false)) AS ok FROM cl LEFT JOIN hits USING (query_id) LEFT JOIN documents d USING (doc_id) GROUP BY ALL),
-s AS (SELECT query_id, round(avg(ok::INTEGER), 6) AS x FROM v GROUP BY query_id)
-SELECT 'context_recall' AS metric, round(avg(x), 4) AS value FROM s""")
+@query("judged_means", SEVEN + JUDGED_SQL + " SELECT retriever_type, metric, value FROM judged")
 def judged_means(t: Tables) -> DataFrame:
-    means = judged.metric_means(context_recall(t), ["context_recall"])
-    flagged = means.withColumn("judged_available", F.lit(1.0))
-    rows = reports.tall(rounded(flagged, 4).withColumn("run", F.lit("r")), ["run"], ["judged_context_recall", "judged_available"])
-    return judged.summary_names(rows).select("metric", "value")
+    """The six judged metrics of each retriever under their own names; availability flags are left out."""
+    means = judged_by_retriever(t).drop("shown")
+    flags = means.select("retriever_type").distinct().select("retriever_type", F.lit("judged_available").alias("metric"), F.lit(1.0).alias("value"))
+    return judged.summary_names(means.unionByName(flags)).select("retriever_type", "metric", "value")
 
 
 @query("score_extraction", TALL_SQL + """, req(metric_class, metric) AS (VALUES ('Faithfulness', 'faithfulness'), ('avg_Latency_ms', 'avg_latency_ms'))

@@ -157,14 +157,6 @@ def degree_summary(t: Tables) -> DataFrame:
     return rounded(graph.degree_summary(*simple(t)))
 
 
-def places(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Customers and suppliers with their nations, no regions; parts stay isolated."""
-    edges = relationships(t).filter("type = 'in_nation'").select(
-        F.least("source", "target").alias("src"), F.greatest("source", "target").alias("dst")
-    )
-    return nodes(t).filter("properties['name'] IS NOT NULL").select("id"), edges
-
-
 def _component_sql(rounds: int) -> str:
     """The smallest id around each node, taken over and over; more rounds than the graph is wide."""
     steps = ["ends AS (SELECT DISTINCT source AS a, target AS b FROM rels UNION SELECT DISTINCT target, source FROM rels)",
@@ -199,7 +191,25 @@ def order_chains(t: Tables) -> DataFrame:
     return graph.connected_components(t.orders.select(F.col("o_orderkey").alias("id")), edges)
 
 
-@query("betweenness_top3")
+def _betweenness_sql(levels: int) -> str:
+    """Shortest paths from the pivots level by level, then the dependencies back; more levels than the graph is wide."""
+    steps = ["""links AS (SELECT src AS a, dst AS b FROM se UNION ALL SELECT dst, src FROM se),
+roots AS (SELECT id AS root FROM deg ORDER BY degree DESC, id LIMIT 5), w0 AS (SELECT root, root AS id, 1.0::DOUBLE AS paths FROM roots)"""]
+    for n in range(1, levels + 1):
+        seen = " UNION ALL ".join(f"SELECT root, id FROM w{i}" for i in range(max(0, n - 2), n))
+        steps.append(f"""w{n} AS MATERIALIZED (SELECT x.* FROM (SELECT root, b AS id, sum(paths) AS paths FROM w{n - 1} JOIN links ON a = id GROUP BY ALL) x
+ANTI JOIN ({seen}) USING (root, id))""")
+    steps.append(f"s{levels} AS (SELECT root, id, paths, 0.0::DOUBLE AS dep FROM w{levels})")
+    for n in range(levels - 1, -1, -1):
+        steps.append(f"""s{n} AS MATERIALIZED (SELECT w.root, w.id, w.paths, w.paths * coalesce(sum((1 + s.dep) / s.paths), 0) AS dep FROM w{n} w LEFT JOIN links ON a = w.id
+LEFT JOIN s{n + 1} s ON s.root = w.root AND s.id = b GROUP BY w.root, w.id, w.paths)""")
+    every = " UNION ALL ".join(f"SELECT root, id, dep FROM s{n}" for n in range(levels + 1))
+    return DEGREE + ", " + ", ".join(steps) + f""", sizes AS (SELECT count(*) AS n FROM deg),
+total AS (SELECT id, sum(dep) AS dep FROM ({every}) WHERE root <> id GROUP BY id)
+SELECT id, round(coalesce(dep, 0) * n / 5 / ((n - 1.0) * (n - 2)), 6) AS betweenness FROM deg LEFT JOIN total USING (id), sizes ORDER BY betweenness DESC, id LIMIT 3"""
+
+
+@query("betweenness_top3", _betweenness_sql(10))
 def betweenness_top3(t: Tables) -> DataFrame:
     vertices, edges = simple(t)
     pivots = graph.top_degrees(vertices, edges, 5).select("id")
@@ -207,18 +217,18 @@ def betweenness_top3(t: Tables) -> DataFrame:
     return scored.withColumn("betweenness", F.round("betweenness", 6)).orderBy(F.desc("betweenness"), "id").limit(3)
 
 
-VIEW = f"""WITH RECURSIVE {KG_NODES}, {KG_RELS}, pe AS (SELECT source AS a, target AS b FROM rels WHERE type = 'in_nation'),
-nat AS (SELECT b, count(*) AS n, least(min(a), b) AS component FROM pe GROUP BY b),
-big AS (SELECT b FROM nat ORDER BY n DESC, component LIMIT 1),
-mem AS (SELECT b AS id, (SELECT count(*) FROM pe JOIN big USING (b)) AS degree FROM big UNION ALL SELECT a, 1 FROM pe JOIN big USING (b)),
-top50 AS (SELECT id FROM mem ORDER BY degree DESC, id LIMIT 50)
-SELECT least(a, b) AS src, greatest(a, b) AS dst FROM pe WHERE a IN (SELECT id FROM top50) AND b IN (SELECT id FROM top50)"""
-
-
-@query("view_subgraph", VIEW)
+@query("view_subgraph", _component_sql(10) + f""", big AS (SELECT component FROM comp GROUP BY component ORDER BY count(*) DESC, component LIMIT 1),
+mem AS (SELECT id FROM comp JOIN big USING (component)),
+se AS (SELECT DISTINCT least(source, target) AS src, greatest(source, target) AS dst FROM rels),
+inside AS (SELECT src, dst FROM se WHERE src IN (SELECT id FROM mem) AND dst IN (SELECT id FROM mem)),
+top50 AS (SELECT id FROM (SELECT src AS id FROM inside UNION ALL SELECT dst FROM inside) GROUP BY id ORDER BY count(*) DESC, id LIMIT 50)
+SELECT 'edge' AS kind, src, dst FROM inside WHERE src IN (SELECT id FROM top50) AND dst IN (SELECT id FROM top50)
+UNION ALL SELECT 'vertex', id, NULL FROM top50""")
 def view_subgraph(t: Tables) -> DataFrame:
-    vertices, edges = places(t)
-    return graph.view_subgraph(vertices, edges, top=50)[1].select("src", "dst")
+    """The largest component of the whole graph: its 50 vertices of highest degree and the edges among them."""
+    vertices, edges = graph.view_subgraph(*simple(t), top=50)
+    shown = vertices.select(F.lit("vertex").alias("kind"), F.col("id").alias("src"), F.lit(None).cast("string").alias("dst"))
+    return shown.unionByName(edges.select(F.lit("edge").alias("kind"), "src", "dst"))
 
 
 @query("type_filter", KG + """, kept AS (SELECT id FROM nodes WHERE type IN ('customer', 'nation', 'region'))
@@ -325,9 +335,11 @@ def embedding_sizes(t: Tables) -> DataFrame:
     return shaping.embedding_report(shaping.drop_embeddings(rows), [])
 
 
-@query("node_structure", """SELECT 'node' AS level, unnest(['id', 'type', 'properties']) AS key UNION ALL
-SELECT 'properties', unnest(['name', 'type', 'entities', 'summary_embedding'])""")
+@query("node_structure", KG + """ SELECT 'node' AS level, key, n FROM (SELECT count(id) AS id, count(type) AS type, count(*) AS properties FROM nodes) UNPIVOT (n FOR key IN (id, type, properties))
+UNION ALL SELECT 'properties', key, n FROM (SELECT count(name) AS name, count(ptype) AS type, count(brand) AS brand, count(entities) AS entities, count(emb) AS summary_embedding FROM nodes)
+  UNPIVOT (n FOR key IN (name, type, brand, entities, summary_embedding)) WHERE n > 0""")
 def node_structure(t: Tables) -> DataFrame:
+    """The fields and property keys of all nodes, with the number of nodes that have them."""
     return graph.structure(nodes(t))
 
 

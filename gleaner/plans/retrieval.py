@@ -312,9 +312,65 @@ def member_table(t: Tables, bm25: str, dense_: str) -> DataFrame:
     )
 
 
-@query("rrf_ensemble", _fuse_sql("SELECT * FROM (VALUES ('bm25', 0.5::DOUBLE), ('dense', 0.5)) v(retriever_type, weight)", 10))
+#: The members of the ensemble, and all registered retrievers.
+MEMBERS = ["naive", "bm25", "contextual_compression", "multi_query", "parent_document"]
+RETRIEVERS = [*MEMBERS, "ensemble", "semantic"]
+
+
+def _union_sql(lists: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS retriever_type, query_id, doc_id, score, rank FROM {hits}" for name, hits in lists.items())
+
+
+MEMBER_SQL = {"naive": "vhits", "bm25": "lhits", "contextual_compression": "comp_hits", "multi_query": "multi_hits", "parent_document": "parent_hits"}
+
+SEVEN = f"""WITH {sql.bm25('l', 10)}, {sql.dense('v', 10)},
+comp_pairs AS (SELECT query_id, h.doc_id, list_distinct({sql.words('q.text')}) AS a, {sql.words('d.text')} AS w
+  FROM vhits h JOIN ({sql.QUESTIONS}) q USING (query_id) JOIN documents d USING (doc_id)),
+comp_hits AS ({_rank_sql("SELECT query_id, doc_id, round(len(list_intersect(a, w)) / len(a), 6) AS score FROM comp_pairs", 3)}),
+var AS ({HALVES}), {sql.bm25('m', 4, queries='SELECT query_id, text FROM var')},
+multi_hits AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY o, doc_id)::INTEGER AS rank FROM (
+  SELECT qid AS query_id, doc_id, min(v * 1000 + rank) AS o, max(score) AS score FROM mhits JOIN var USING (query_id) GROUP BY ALL)),
+ch AS ({CHILDREN}), {sql.dense('p', 10, 'SELECT doc_id, text FROM ch')},
+parent_hits AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY o, doc_id)::INTEGER AS rank FROM (
+  SELECT query_id, parent_id AS doc_id, min(rank) AS o, max(score) AS score FROM phits JOIN ch USING (doc_id) GROUP BY ALL)),
+{SEMANTIC}, {sql.dense('s', 10, "SELECT doc_id || '#' || chunk_id AS doc_id, chunk_text AS text FROM chunk")},
+sem_hits AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY o, doc_id)::INTEGER AS rank FROM (
+  SELECT query_id, split_part(doc_id, '#', 1)::BIGINT AS doc_id, min(rank) AS o, max(score) AS score FROM shits GROUP BY ALL)),
+members AS ({_union_sql(MEMBER_SQL)}),
+fused AS ({_rank_sql(f"SELECT query_id, doc_id, round(sum(1.0 / {len(MEMBERS)} / (rank + 60)), 9) AS score FROM members GROUP BY ALL", 10)}),
+seven AS MATERIALIZED (SELECT * FROM members UNION ALL {_union_sql({'ensemble': 'fused', 'semantic': 'sem_hits'})})"""
+
+
+def seven_lists(t: Tables) -> DataFrame:
+    """The hits of all registered retrievers over the questions, documents for chunks; searched once per session."""
+
+    def search(path: str) -> DataFrame:
+        fetched = materialise(dense_hits(t, 10), "naive")
+        variants = halves(t.questions)
+        by_variant = bm25_hits(t, 4, questions=variants.select(F.col("variant_id").alias("query_id"), "text"))
+        runs = {
+            "naive": fetched, "bm25": bm25_hits(t, 10),
+            "contextual_compression": dense.rerank(overlap_scores(fetched, t.corpus, t.questions), 3),
+            "multi_query": fusion.variant_union(by_variant, variants.select("variant_id", "query_id", "variant_no")),
+            "parent_document": fusion.parents_of(child_hits(t)),
+        }
+        members = materialise(catalog.sweep(runs), "members")
+        alive = t.documents.agg((F.count(F.lit(1)) > 0).alias("available")).select(
+            F.explode(F.array(*map(F.lit, MEMBERS))).alias("retriever_type"), "available"
+        )
+        rest = {"ensemble": fusion.fuse(members, fusion.equal_weights(alive), 10), "semantic": fusion.parents_of(semantic_topk(t))}
+        members.unionByName(catalog.sweep(rest)).write.parquet(path)
+        return read(path)
+
+    def read(path: str) -> DataFrame:
+        return t.spark.read.parquet(path)
+
+    return t.stored("seven-lists", search, read)
+
+
+@query("rrf_ensemble", SEVEN + " SELECT * FROM fused")
 def rrf_ensemble(t: Tables) -> DataFrame:
-    return fusion.fuse(two_lists(t), fusion.equal_weights(member_table(t, "n > 0", "n > 0")), 10)
+    return seven_lists(t).filter("retriever_type = 'ensemble'").drop("retriever_type")
 
 
 @query("degraded_ensemble", _fuse_sql("SELECT * FROM (VALUES ('bm25', 1.0::DOUBLE)) v(retriever_type, weight)", 10))
@@ -341,10 +397,11 @@ def multi_index(t: Tables) -> DataFrame:
     return fusion.concatenate(two_lists(t), quotas, 5)
 
 
-@query("retriever_sweep", TWO_LISTS + """ SELECT query_id, retriever_type, 5 AS top_k, 'spark-' || retriever_type || '-retriever' AS engine,
-count(*) AS document_count, string_agg(doc_id::VARCHAR, ',' ORDER BY rank) AS doc_ids FROM both_ WHERE rank <= 5 GROUP BY ALL""")
+@query("retriever_sweep", SEVEN + """ SELECT query_id, retriever_type, 5 AS top_k, 'spark-' || retriever_type || '-retriever' AS engine,
+count(*) AS document_count, string_agg(doc_id::VARCHAR, ',' ORDER BY rank) AS doc_ids FROM seven WHERE rank <= 5 GROUP BY ALL""")
 def retriever_sweep(t: Tables) -> DataFrame:
-    records = catalog.responses(two_lists(t), top_k=5)
+    """All seven retrievers over one question set."""
+    records = catalog.responses(seven_lists(t), top_k=5)
     ids = F.array_join(F.transform("documents", lambda d: d["doc_id"].cast("string")), ",")
     return records.withColumn("doc_ids", ids).drop("documents")
 

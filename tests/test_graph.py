@@ -182,3 +182,14 @@ def test_quotas_add_up():
 def test_questions_keep_inner_periods(spark):
     rows = spark.createDataFrame([("d", "1. What is v1.5?\n\n 2. Why?")], "doc_id string, text string")
     assert [r.question for r in testset.parse_questions(rows).orderBy("question_no").collect()] == ["What is v1.5?", "Why?"]
+
+
+def test_structure_counts_all_nodes(spark):
+    rows = [("a", "x", {"name": "1", "summary": '{"s":1,"t":2}'}), ("b", None, {"name": None, "other": "2"}), ("c", "x", None), ("d", "y", {"summary": "no json"})]
+    nodes = spark.createDataFrame(rows, "id string, type string, properties map<string,string>")
+    found = {(r.level, r.key): r.n for r in graph.structure(nodes).collect()}
+    assert found == {
+        ("node", "id"): 4, ("node", "type"): 3, ("node", "properties"): 3, ("properties", "name"): 1, ("properties", "summary"): 2,
+        ("properties", "other"): 1, ("summary", "s"): 1, ("summary", "t"): 1,
+    }
+    assert graph.structure(nodes.limit(0)).count() == 0
