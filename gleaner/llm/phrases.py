@@ -45,8 +45,8 @@ SAMPLE = 8
 SAMPLE_COUNT = 2
 #: Bits per hash in a map, and the least and greatest size of the map (32 MB).
 BITS, MIN_BITS, MAX_BITS = 32, 1 << 20, 1 << 28
-#: Bytes of text that are counted at once in a task.
-CHUNK = 4 << 20
+#: Bytes of text of a language that are counted at once in a task, and bytes of all languages that wait for that.
+CHUNK, HELD = 5 << 20, 20 << 20
 SCALE = 2_000_000
 #: A phrase inside a longer one with this share (per cent) of its occurrences is dropped.
 COVERED = 80
@@ -86,22 +86,35 @@ def _inside(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _chunks(texts: list[bytes]) -> Iterator[bytes]:
-    """Folded texts, joined by cuts, in chunks of about ``CHUNK`` bytes that end at a cut."""
-    held: list[bytes] = []
-    size = 0
-    for text in texts:
+class _Chunks:
+    """Folded texts of each language, joined by cuts, in chunks of about ``CHUNK`` bytes that end at a cut.
+
+    Texts are held across batches, ``HELD`` bytes at most, so that a phrase of a rarer language is not sent once per batch.
+    """
+
+    def __init__(self) -> None:
+        self.held: defaultdict[str, list[bytes]] = defaultdict(list)
+        self.size: defaultdict[str, int] = defaultdict(int)
+
+    def add(self, lang: str, text: bytes) -> Iterator[tuple[str, bytes]]:
         folded = text.translate(_FOLD)
         while len(folded) > CHUNK and (cut := folded.find(b"\n", CHUNK)) >= 0:
-            yield folded[:cut]
+            yield lang, folded[:cut]
             folded = folded[cut + 1 :]
-        held.append(folded)
-        size += len(folded)
-        if size >= CHUNK:
-            yield b"\n".join(held)
-            held, size = [], 0
-    if held:
-        yield b"\n".join(held)
+        self.held[lang].append(folded)
+        self.size[lang] += len(folded)
+        if self.size[lang] >= CHUNK:
+            yield self.take(lang)
+        if sum(self.size.values()) >= HELD:
+            yield from self.rest()
+
+    def take(self, lang: str) -> tuple[str, bytes]:
+        del self.size[lang]
+        return lang, b"\n".join(self.held.pop(lang))
+
+    def rest(self) -> Iterator[tuple[str, bytes]]:
+        for lang in list(self.held):
+            yield self.take(lang)
 
 
 def _tokens(chunk: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -178,13 +191,13 @@ def _over_chunks(docs: DataFrame, run, schema: str) -> DataFrame:
     """``run(chunk, lang)`` over the chunks of ``docs(lang, text)``; it yields record batches."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks = _Chunks()
         for batch in rows:
-            texts = defaultdict(list)
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                texts[lang].append(text)
-            for lang, own in texts.items():
-                for chunk in _chunks(own):
-                    yield from run(chunk, lang)
+                for own, chunk in chunks.add(lang, text):
+                    yield from run(chunk, own)
+        for own, chunk in chunks.rest():
+            yield from run(chunk, own)
 
     return map_batches(docs.select("lang", "text"), batches, schema)
 

@@ -115,13 +115,16 @@ def test_heavy_parts_and_parts_of_a_ranking_change_nothing(spark):
     assert len(looked) == parts.count() and all(r.f == known[r.lang, r.part] for r in looked)
 
 
-def test_long_texts_are_cut_at_pieces(monkeypatch):
+@pytest.mark.parametrize("held", [100, 10_000])
+def test_texts_are_cut_at_pieces(monkeypatch, held):
     monkeypatch.setattr(phrases, "CHUNK", 50)
-    texts = [b"a b c. " * 40, b"", b"x " * 60, b"y"]
-    chunks = list(phrases._chunks(texts))
-    assert max(map(len, chunks)) < 180 and len(chunks) > 4
-    words = lambda parts: [piece.split() for part in parts for piece in part.split(b"\n") if piece.split()]
-    assert words(chunks) == words([t.translate(phrases._FOLD) for t in texts])
+    monkeypatch.setattr(phrases, "HELD", held)
+    rows = [("en", b"a b c. " * 40), ("de", b""), ("en", b"x " * 60), ("fr", b"y"), ("de", b"z. z"), ("en", b"q")] * 3
+    chunks = phrases._Chunks()
+    found = [part for lang, text in rows for part in chunks.add(lang, text)] + list(chunks.rest())
+    assert max(len(chunk) for _, chunk in found) < 180 and len(found) > 20 and list(chunks.rest()) == []
+    words = lambda parts: sorted((lang, piece.split()) for lang, part in parts for piece in part.split(b"\n") if piece.split())
+    assert words(found) == words([(lang, text.translate(phrases._FOLD)) for lang, text in rows])
 
 
 def test_empty_table(spark):
