@@ -9,17 +9,22 @@ that pass the base rules, so the verdict on a text depends on the corpus and the
   compared by a 64-bit hash within one document.
 * A document fails the base rules with fewer than 20 words, or with more than 30 % repeated words.
 * Tokens are runs of letters and digits, and runs of other visible characters; n-grams are tokens and pairs of
-  neighbours, each counted by its 64-bit hash, with add-one smoothing over the distinct ones. The table of counts grows
-  with the corpus.
+  neighbours, counted by the cell their hash falls in, with add-one smoothing over the cells. The number of cells is a
+  power of two that follows the characters of the corpus (``CHARS_A_CELL``), so as many n-grams share a cell in a large
+  corpus as in a small one; ``buckets=None`` in the functions below counts each n-gram by its whole 64-bit hash.
+
+Texts stay where they are: what moves are counted cells, combined in each task first. Up to ``ARRAY_CELLS`` the weights
+are one array of whole numbers that is looked up where the text is; a larger table of weights is joined to the n-grams of
+the texts. Both ways give the same sums.
 
 Defined results: null and empty texts have no words, fail the base rules and score 0; repeated rows are judged
-alike; an empty table gives no row; other columns are ignored. Texts stay where they are; what moves are the counted
-n-grams, the n-grams of texts that are not among the frequent ones (with the hash of their text), the counts of each
-document and trusted ids.
+alike; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +38,14 @@ TOKEN = "[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]+"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30
+#: Characters of the corpus for each cell, and the least number of cells.
+CHARS_A_CELL = 128
+LEAST_CELLS = 1 << 16
+#: Cells of the largest array of weights (four bytes each); they are put together in pieces of ``PIECE``.
+ARRAY_CELLS = 1 << 24
+PIECE = 1 << 12
+#: More partitions than any table has.
+MANY = 1 << 30
 #: N-grams that are looked up without a join: the most frequent one of each slot. Changes no result.
 SLOTS = 1 << 16
 #: Weights are whole numbers of this fraction.
@@ -151,10 +164,41 @@ def text_key() -> Column:
     return F.xxhash64(F.col("text"))
 
 
+def cell_count(docs: DataFrame) -> int:
+    """The power of two nearest to the characters of all texts over ``CHARS_A_CELL``."""
+    chars = docs.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
+    return max(LEAST_CELLS, 1 << round(math.log2(max(chars / CHARS_A_CELL, 1))))
+
+
+def weight_array(table: DataFrame, buckets: int) -> DataFrame:
+    """One row with the weights of all cells in order, 0 for a cell without n-grams; at most ``ARRAY_CELLS``."""
+    every = table.sparkSession.range(buckets).select(F.col("id").alias("cell")).join(table.select("cell", "weight"), "cell", "left")
+    in_order = lambda key, value: F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda s: s[value])
+    pieces = every.select("cell", F.coalesce("weight", F.lit(0)).alias("weight")).groupBy(F.floor(F.col("cell") / PIECE).alias("piece")).agg(
+        in_order("cell", "weight").alias("weights")
+    )
+    return pieces.agg(F.flatten(in_order("piece", "weights")).alias("weights"))
+
+
+def scores_in_place(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame:
+    """(doc_id, the counts, base_failed, llr) with the weights looked up where the text is: nothing is shuffled."""
+    weighed = materialise(weight_array(table, buckets), "weights").scalar()
+    found = found_cells(counts(docs.select("doc_id", "text")), buckets).drop("text")
+    # No partition changes; above this the optimiser puts the subquery in the place of its only use, so that no row
+    # holds a copy of the array, and below it the cells are made once.
+    found = found.coalesce(MANY).withColumn("_weights", weighed)
+    total = F.aggregate("_cells", F.lit(0).cast("long"), lambda a, c: a + F.get("_weights", c.cast("int")))
+    llr = F.when(F.size("_cells") > 0, total / (F.size("_cells") * float(UNIT))).otherwise(0.0)
+    return found.withColumn("llr", llr).drop("_cells", "_weights")
+
+
 def scores(docs: DataFrame, trusted: DataFrame, buckets: int | None = None) -> DataFrame:
     """(doc_id, the counts, base_failed, llr) for every document; texts without n-grams have 0."""
     rows = docs.select("doc_id", "text")
-    found = score(rows, weights(rows, trusted, buckets), buckets)
+    table = weights(rows, trusted, buckets)
+    if buckets and buckets <= ARRAY_CELLS:
+        return scores_in_place(rows, table, buckets)
+    found = score(rows, table, buckets)
     counted = counts(rows).withColumn("key", text_key()).drop("text")
     return counted.join(found, "key", "left").drop("key").withColumn("llr", F.coalesce("llr", F.lit(0.0)))
 
@@ -181,7 +225,7 @@ def cut(scored: DataFrame) -> float:
 
 
 def judge(docs: DataFrame, trusted: DataFrame, buckets: int | None = None, threshold: float | None = None) -> DataFrame:
-    """(doc_id, the counts, base_failed, llr, kept) for every document."""
+    """(doc_id, the counts, base_failed, llr, kept) for every document; ``buckets`` as ``cell_count`` gives them, or None."""
     scored = scores(docs, trusted, buckets)
     if threshold is None:
         scored = materialise(scored, "llr")

@@ -76,7 +76,8 @@ def trusted_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_llr_quality_rules")
 def llr_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules.judge(table(spark, folder, "documents"), trusted_ids(spark, folder))
+    documents = table(spark, folder, "documents")
+    return quality_rules.judge(documents, trusted_ids(spark, folder), quality_rules.cell_count(documents))
 
 
 def _canonical_sql(text: str) -> str:

@@ -87,10 +87,61 @@ def test_rare_ngrams_are_joined_as_frequent_ones_are_looked_up(spark, monkeypatc
     assert near == {r.doc_id: r.llr for r in quality_rules.scores(docs, trusted).collect()} and near[0] == near[1] > near[2]
 
 
+def plain_verdicts(spark, texts, good, buckets):
+    """(ratio, kept) of each text as the registered query defines them."""
+    token = re.compile(r"\w+|[^\w\s]+")
+    grams = [(lambda t: [(x,) for x in t] + list(zip(t, t[1:], strict=False)))(token.findall(t or "")) for t in texts]
+    cell = {}
+    for size in (1, 2):
+        rows = sorted({g for gs in grams for g in gs if len(g) == size})
+        frame = spark.createDataFrame(rows, ", ".join(f"c{k} string" for k in range(size)))
+        hashed = frame.select(*frame.columns, F.pmod(F.xxhash64(*frame.columns), F.lit(buckets)).alias("cell"))
+        cell |= {tuple(r)[:-1]: r.cell for r in hashed.collect()}
+    raw, target = Counter(cell[g] for gs in grams for g in gs), Counter(cell[g] for i in good for g in grams[i])
+    share = lambda c, x: math.log((c[x] + 1) / (sum(c.values()) + buckets))
+    weight = {x: round(1000 * (share(target, x) - share(raw, x))) for x in raw}
+    ratio = [sum(weight[cell[g]] for g in gs) / (len(gs) * 1000) if gs else 0.0 for gs in grams]
+    passed = [not plain_counts(t)[5] for t in texts]
+    middle = lambda values: sorted(values)[len(values) // 2]
+    units = [round(1000 * r) for r, ok in zip(ratio, passed, strict=True) if ok]
+    spread = max(quality_rules.LEAST_SPREAD, middle([abs(u - middle(units)) for u in units]))
+    edge = (middle(units) - quality_rules.SPREADS * spread) / 1000
+    return [(r, ok and r >= edge) for r, ok in zip(ratio, passed, strict=True)]
+
+
+def test_the_registered_form_equals_brute_force(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    text = lambda seed, pool: " ".join(pool[(seed * 7 + k * k * (seed + 3)) % len(pool)] + ".!"[k % 2] * (k % 5 == 0) for k in range(25 + seed % 60))
+    texts = [text(i, words) for i in range(150)] + [text(i, [f"z{i}{w}%" for w in words]) for i in range(30)] + [None, "", "one", "a " * 40]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n int").repartition(4)
+    trusted = spark.range(60).withColumnRenamed("id", "doc_id")
+    monkeypatch.setattr(quality_rules, "LEAST_CELLS", 64)
+    buckets = quality_rules.cell_count(docs)
+    assert buckets == 512 and quality_rules.cell_count(docs.withColumn("text", F.repeat("text", F.lit(32)))) == 512 * 32
+    want = plain_verdicts(spark, texts, range(60), buckets)
+    assert 0 < sum(kept for _, kept in want) < 180
+    for limit in (1 << 24, 0):  # looked up in an array, or joined
+        monkeypatch.setattr(quality_rules, "ARRAY_CELLS", limit)
+        found = {r.doc_id: (r.llr, r.kept) for r in quality_rules.judge(docs, trusted, buckets).collect()}
+        assert [found[i][1] for i in range(len(texts))] == [kept for _, kept in want]
+        assert all(abs(found[i][0] - ratio) < 1e-9 for i, (ratio, _) in enumerate(want))
+
+
+def test_scores_in_place_move_no_text_and_hold_no_copy_of_the_weights(spark):
+    docs = spark.createDataFrame([(i, f"some words of text {i}") for i in range(50)], "doc_id long, text string")
+    table = quality_rules.weights(docs, docs.select("doc_id").limit(9), 1 << 16)
+    plan = quality_rules.scores_in_place(docs, table, 1 << 16)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "AS _weights" not in plan
+    cells = quality_rules.weight_array(table, 1 << 16).first()[0]
+    assert len(cells) == 1 << 16 and {(i, w) for i, w in enumerate(cells) if w} == {(r.cell, r.weight) for r in table.collect() if r.weight}
+
+
 def test_rules_on_an_empty_table_and_without_python(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     found = quality_rules.judge(docs, spark.createDataFrame([], "doc_id long"))
     assert found.count() == 0 and "Python" not in found._jdf.queryExecution().toString()
+    found = quality_rules.judge(docs, spark.createDataFrame([], "doc_id long"), quality_rules.cell_count(docs))
+    assert found.count() == 0 and "Python" not in found._jdf.queryExecution().toString()
 
 
 def test_canonical_forms(spark):
