@@ -9,9 +9,8 @@ that pass the base rules, so the verdict on a text depends on the corpus and the
   compared by a 64-bit hash within one document.
 * A document fails the base rules with fewer than 20 words, or with more than 30 % repeated words.
 * Tokens are runs of letters and digits, and runs of other visible characters; n-grams are tokens and pairs of
-  neighbours, counted by the cell their hash falls in, with add-one smoothing over the cells. The number of cells is a
-  power of two that follows the characters of the corpus (``CHARS_A_CELL``), so as many n-grams share a cell in a large
-  corpus as in a small one; ``buckets=None`` in the functions below counts each n-gram by its whole 64-bit hash.
+  neighbours, counted by the cell their hash falls in, with add-one smoothing over the cells. The number of cells follows
+  the characters of the corpus (``CHARS_A_CELL``), so no more n-grams share a cell in a large corpus than in a small one; ``buckets=None`` in the functions below counts each n-gram by its whole 64-bit hash.
 
 Texts stay where they are: what moves are counted cells, combined in each task first. Up to ``ARRAY_CELLS`` the weights
 are one array of whole numbers that is looked up where the text is; a larger table of weights is joined to the n-grams of
@@ -23,12 +22,10 @@ alike; an empty table gives no row; other columns are ignored.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import by_ids
+from gleaner.llm.common import BROADCAST_IDS
 from gleaner.session import materialise
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -39,7 +36,7 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30
 #: Characters of the corpus for each cell, and the least number of cells.
-CHARS_A_CELL = 128
+CHARS_A_CELL = 192
 LEAST_CELLS = 1 << 16
 #: Cells of the largest array of weights (four bytes each); they are put together in pieces of ``PIECE``.
 ARRAY_CELLS = 1 << 24
@@ -66,12 +63,13 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
         "_lines", lines
     )
     n = F.size("_words")
-    windows = F.when(n < WINDOW, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(n - (WINDOW - 1), F.lit(1))),
-                    lambda i: F.xxhash64(F.slice("_words", i, WINDOW)))
-    )
-    hashed = split.withColumn("_windows", windows)
-    ordered = F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    hashed = split.withColumn("_windows", F.transform("_words", lambda w: F.xxhash64(w)))
+    # The hash of a window is that of its two halves, three times over: no window is put together as words.
+    joined = lambda half: lambda h, i: F.xxhash64(h, F.get("_windows", i + half))
+    for half in (1, 2, 4):
+        starts = F.slice("_windows", F.lit(1), F.greatest(F.size("_windows") - half, F.lit(0)))
+        hashed = hashed.withColumn("_windows", F.transform(starts, joined(half)))
+    ordered = F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), (i + 1).alias("i"))))
     # Only documents in which some window occurs twice get their windows sorted.
     repeated = hashed.withColumn(
         "_sorted", F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), ordered)
@@ -115,14 +113,12 @@ def weights(docs: DataFrame, trusted: DataFrame, buckets: int | None = None) ->
 
     ``trusted(doc_id)`` names the target documents. Without ``buckets`` every n-gram has a row of its own.
     """
-    rows = docs.select("doc_id", "text")
-    part = lambda how, target: found_cells(by_ids(rows, trusted, "doc_id", how), buckets).select(
-        # An inner explode would infer a filter that works the tokens out again for every token.
-        F.explode_outer("_cells").alias("cell"), F.lit(target).alias("target")
-    ).filter("cell IS NOT NULL")
-    tally = part("left_semi", 1).unionByName(part("left_anti", 0)).groupBy("cell").agg(
-        F.count("*").alias("raw"), F.sum("target").alias("target")
-    )
+    ids = materialise(trusted.select("doc_id").distinct(), "ids").withColumn("target", F.lit(1))
+    # Texts stay where they are unless the ids outgrow a broadcast, as in ``by_ids``.
+    marked = docs.select("doc_id", "text").join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left")
+    # An inner explode would infer a filter that works the tokens out again for every token.
+    each = found_cells(marked, buckets).select(F.explode_outer("_cells").alias("cell"), F.coalesce("target", F.lit(0)).alias("target"))
+    tally = each.filter("cell IS NOT NULL").groupBy("cell").agg(F.count("*").alias("raw"), F.sum("target").alias("target"))
     stored = materialise(tally, "ngrams")
     total = stored.agg(F.count("*").alias("n"), F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
     smooth = buckets or total["n"]
@@ -165,9 +161,9 @@ def text_key() -> Column:
 
 
 def cell_count(docs: DataFrame) -> int:
-    """The power of two nearest to the characters of all texts over ``CHARS_A_CELL``."""
+    """One cell for every ``CHARS_A_CELL`` characters of all texts, ``LEAST_CELLS`` at least."""
     chars = docs.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
-    return max(LEAST_CELLS, 1 << round(math.log2(max(chars / CHARS_A_CELL, 1))))
+    return max(LEAST_CELLS, chars // CHARS_A_CELL)
 
 
 def weight_array(table: DataFrame, buckets: int) -> DataFrame:

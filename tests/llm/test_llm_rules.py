@@ -117,7 +117,8 @@ def test_the_registered_form_equals_brute_force(spark, monkeypatch):
     trusted = spark.range(60).withColumnRenamed("id", "doc_id")
     monkeypatch.setattr(quality_rules, "LEAST_CELLS", 64)
     buckets = quality_rules.cell_count(docs)
-    assert buckets == 512 and quality_rules.cell_count(docs.withColumn("text", F.repeat("text", F.lit(32)))) == 512 * 32
+    assert buckets == sum(len(t or "") for t in texts) // quality_rules.CHARS_A_CELL > 64
+    assert quality_rules.cell_count(docs.limit(1)) == 64
     want = plain_verdicts(spark, texts, range(60), buckets)
     assert 0 < sum(kept for _, kept in want) < 180
     for limit in (1 << 24, 0):  # looked up in an array, or joined
