@@ -1,11 +1,12 @@
 """Main text of web pages by tree scoring.
 
 The page is cut into tags and texts and made into a tree. Parts that are never main text (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, comments of readers) are left out by tag, role, class or id. A name
-or a form does not leave out what holds the only article or main part, or most of the prose; it halves its points. Each
+sidebars, notices, adverts, forms, scripts, styles, comments of readers) are left out by tag, role, or a class or id token that
+names one as a whole. A name or a form does not leave out what holds the only article or main part, or most of the prose; it
+halves its points. Each
 paragraph gives points for its length and its commas to its parent, half of them to the parent's parent; a container's
 points are discounted by the share of its text that lies in links. If the best container lies in an ``article`` or
-``main`` part, that whole part is kept, link lists included. Otherwise it is kept with all that stands beside it or beside
+``main`` part, that whole part is kept, link lists and the articles beside it included. Otherwise it is kept with all that stands beside it or beside
 its parents and is not mostly links. A page without any paragraph gives the blocks of its body.
 
 A block is the text between the borders of block elements. White space in it, line breaks included, becomes one space;
@@ -13,7 +14,8 @@ character references are decoded; blocks are joined in page order by a line feed
 
 Defined results: a null, empty or tagless-and-blank page has an empty text; broken, unclosed and truncated markup is
 read as browsers do in the main (a block element ends an open paragraph, an end tag without a start is skipped, a tag
-cut off at the end of the page is dropped); repeated rows give equal texts; an empty table gives no row; other columns
+cut off at the end of the page is dropped, a quote inside a bare attribute value is a character, a quoted value that never ends is
+read as a bare one); inline parts that are left out do not split a block; repeated rows give equal texts; an empty table gives no row; other columns
 stay. Pages are worked on one by one where they are; nesting of any depth is handled without recursion.
 """
 
@@ -29,11 +31,16 @@ from pyspark.sql import types as T
 
 from gleaner.llm.common import map_batches
 
+#: An attribute as the standard has it: a name, and maybe a value in quotes or bare. A quote inside a bare value is a character like
+#: any other, and a quoted value without its end is read as a bare one, so it never swallows the rest of the page.
+_PART = r"(?:\s+|/|[^\s/>=][^\s/>=]*(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))?|=)"
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({_PART}*+)(?:>|\Z)", re.DOTALL
 )
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+#: The slash of a bare value is part of it.
+SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/$")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not markup.
 RAW = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)|\Z", re.IGNORECASE) for name in "script style textarea title noscript xmp iframe noembed".split()}
@@ -51,28 +58,51 @@ OUT_TAGS = frozenset(
     " video dialog menu noembed applet map".split()
 )
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar status".split())
-OUT_NAMES = re.compile(
-    r"(?<![a-z])(?:ads?|adv|advert[a-z]*|adsense|adbox|sponsor[a-z]*|promo[a-z]*|banner|side-?bar[a-z]*|menu[a-z]*|nav|navbar|navigation|"
-    r"breadcrumbs?|header|masthead|footer[a-z]*|cookie[a-z]*|consent|gdpr|notice|notification|popup|modal|overlay|newsletter[a-z]*|"
-    r"subscri[a-z]*|signup|login|social|shar(?:e|ing)|related|recommend[a-z]*|comments?|commentlist|respond|replies|disqus|pager|"
-    r"pagination|toolbar|widget|skip-?link|disclaimer|paywall)(?![a-z])"
+#: Names of such parts, as whole class or id tokens. Words that take an ending of their own are in ``PLACES``.
+OUT_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising adsense adbox sponsor sponsored sponsors promo promos promotion banner"
+    " sidebar side-bar menu menus mainmenu nav navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr"
+    " notice notices notification notifications popup modal overlay newsletter subscribe subscription signup login social share sharing"
+    " related recommended recommendations comment comments commentlist respond reply replies disqus pager pagination toolbar widget widgets"
+    " skiplink skip-link disclaimer paywall".split()
+)
+#: What may stand before or after such a name in a token: where the part is or what it is made of.
+PLACES = frozenset(
+    "site page main top bottom left right global primary secondary mobile sticky fixed post article blog user list links link box bar area"
+    " container wrapper wrap inner outer block section panel unit slot form button buttons icons nav menu bar content posts articles"
+    " thread holder overlay message text".split()
 )
 #: Parts of these names may hold most of the prose of a page and are still no main text.
-NEVER_MAIN = re.compile(
-    r"(?<![a-z])(?:ads?|advert[a-z]*|cookie[a-z]*|consent|gdpr|popup|modal|newsletter[a-z]*|comments?|commentlist|respond|replies|disqus|"
-    r"paywall|disclaimer)(?![a-z])"
+NEVER_MAIN = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising cookie cookies consent gdpr popup modal newsletter comment comments"
+    " commentlist respond reply replies disqus paywall disclaimer".split()
 )
+#: The head or foot of a page is named by its place on the page; that of an article or a section belongs to it.
+HEADS = frozenset("header masthead footer".split())
+PAGE_PLACES = PLACES - frozenset("post posts article articles content section block panel unit box list text message thread blog user".split())
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 KEPT_TAGS = frozenset("html body main article".split())
 SENTENCE = frozenset("p pre td blockquote li dd div section article main body".split())
 
 
-def named_out(names: str) -> bool:
-    """Does a class or id name such a part? ``has-sidebar`` and the like say something about the part itself."""
-    return any(
-        OUT_NAMES.search(CAMEL.sub("-", name).lower()) and not re.match(r"(?:has|with|without|no)[-_]", name.lower())
-        for name in names.split()
-    )
+def out_words(names: str) -> set[str]:
+    """The listed names among class or id tokens.
+
+    A token counts if it is such a name, or one together with words of ``PLACES`` only: ``site-header`` and
+    ``comment-list`` do, ``has-sidebar``, ``related-work`` and ``ad-hoc`` do not.
+    """
+    found = set()
+    for token in names.split():
+        token = CAMEL.sub("-", token).lower()
+        if token in OUT_NAMES:
+            found.add(token)
+            continue
+        words = [word for word in re.split("[-_]+", token.rstrip("0123456789-_")) if word]
+        listed = [word for word in words if word in OUT_NAMES]
+        places = PAGE_PLACES if HEADS.issuperset(listed) else PLACES
+        if listed and all(word in places or word in OUT_NAMES or word.isdigit() for word in words):
+            found.update(listed)
+    return found
 
 
 class Node:
@@ -95,12 +125,12 @@ def left_out(tag: str, attributes: str) -> tuple[bool, bool, bool]:
         value, name = "".join(values), name.lower()
         if name == "role" and value.lower() in OUT_ROLES:
             return True, False, False
-        if name in ("class", "id") and named_out(value):
-            named, never = True, never or bool(NEVER_MAIN.search(CAMEL.sub("-", value).lower()))
+        if name in ("class", "id") and (words := out_words(html.unescape(value))):
+            named, never = True, never or not NEVER_MAIN.isdisjoint(words)
         if name == "aria-hidden" and value.lower() == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
             return True, False, False
-    if re.search(r"(?:^|\s)hidden(?:$|[\s=/])", ATTRIBUTE.sub(" ", attributes)):
-        return True, False, False
+        if name == "hidden" and value.lower() != "until-found":
+            return True, False, False
     return named, named, never
 
 
@@ -134,7 +164,7 @@ def parse(page: str) -> Node:
             node = _make_room(node, name, opened)
             child = Node(name, node, *left_out(name, attributes))
             node.children.append(child)
-            if not attributes.endswith("/") or name in BLOCKS:
+            if name in BLOCKS or not SELF_CLOSED.search(attributes):
                 opened[name] = opened.get(name, 0) + 1
                 node = child
     if position < len(page):
@@ -267,9 +297,12 @@ def main_parts(root: Node) -> list[Node]:
     while around:
         whole[around.tag] = around
         around = around.parent
-    for tag in ("article", "main"):
-        if tag in whole:
-            return [whole[tag]]
+    if "main" in whole:
+        # An article beside others of one main part is not the whole of it.
+        inside = articles(whole["main"])
+        return inside if "article" in whole and len(inside) == 1 else [whole["main"]]
+    if "article" in whole:
+        return articles(whole["article"].parent or whole["article"])
     if best.parent is None or most == 0:
         return [best if most else root]
     # Up to the highest parent that has prose beside the best container.
@@ -291,6 +324,20 @@ def main_parts(root: Node) -> list[Node]:
     return kept
 
 
+def articles(root: Node) -> list[Node]:
+    """The outermost articles at or below a node, in page order."""
+    if root.tag == "article":
+        return [root]
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node.tag == "article":
+            found.append(node)
+        else:
+            stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.out)
+    return found
+
+
 def beside(node: Node | str) -> bool:
     """Is this prose that belongs to what stands beside it?"""
     if isinstance(node, str):
@@ -343,7 +390,10 @@ def blocks(parts: list[Node]) -> list[str]:
             elif item.tag == "br":
                 current.append(" ")
             elif item.out or menus and item.tag in ("ul", "ol") and item.text and density(item) > 0.9:
-                end()
+                if item.tag in BLOCKS:
+                    end()
+                else:
+                    current.append(" ")
             elif item.tag in BLOCKS:
                 end()
                 stack.append(None)

@@ -82,3 +82,56 @@ def test_lists_of_sources_in_the_article_stay():
 
 def test_best_container_inside_an_inline_element():
     assert main_text(page(f"<div><a href=1>{PROSE}</a> x <span><p>{PROSE}</p></span></div><div><p>End.</p></div>")).endswith(f"{PROSE.strip()}\nEnd.")
+
+
+def test_tokens_that_only_hold_a_name_stay():
+    kept = (
+        "<section id='related-work'><p>Work, done, before.</p></section>", "<p class='ad-hoc'>Ad hoc, it is.</p>", "<div class='share-price'>Price, 12</div>",
+        "<div class='section-header'><h2>Part, two</h2></div>", "<p class=\"menu-planning\">Plans, of meals</p>", "<div id=article-header>Over, all</div>",
+        "<p class='socialism navigator'>Words, words</p>", "<div class='notice-board'>Board, of it</div>", "<div class='comment-on-law'>On, law</div>",
+    )
+    for part in kept:
+        text = main_text(page(f"<article><p>{PROSE}</p>{part}</article>"))
+        assert text == PROSE.strip() + "\n" + main_text(part), part
+    dropped = (
+        "siteHeader", "page-footer", "comment-list", "comments-area", "left-sidebar", "ad", "ad-slot-3", "banner_ad", "cookie-notice", "main-menu", "nav",
+        "share-buttons", "newsletter-form", "related-posts", "x sidebar y", "AdUnit",
+    )
+    for name in dropped:
+        assert main_text(page(f"<article><p>{PROSE}</p><div class='{name}'>Out, of it</div></article>")) == PROSE.strip(), name
+
+
+def test_attributes_as_written():
+    assert main_text("<p data-x=it's>Hello</p><p>don't</p>") == "Hello\ndon't"
+    assert main_text("<p title=\"abc>Hello</p><p>World</p>") == "Hello\nWorld"
+    assert main_text("<p title='a > b' class=x\"y>Hello</p>") == "Hello"
+    assert main_text("<p title = \"a'b\" checked = >Hello <a href=http://x/>link</a> end</p>") == "Hello link end"
+    assert main_text("<p =a \"q\" 'r' / x>Hello</p>") == "Hello" and main_text("<p hidden>No</p><p>Yes</p>") == "Yes"
+    assert main_text("<p a='" + "x" * 200_000) == "" and main_text("<p" + " a=\"" * 50_000 + ">Hi") is not None
+
+
+def test_all_articles_of_a_main_part_and_inline_parts():
+    two = f"<article><h2>One</h2><p>{PROSE}</p></article><article><h2>Two</h2><p>{PROSE * 4}</p></article>"
+    want = f"One\n{PROSE.strip()}\nTwo\n{(PROSE * 4).strip()}"
+    assert main_text(page(f"<main>{two}</main>")) == want and main_text(page(f"<div>{two}</div><footer>f</footer>")) == want
+    assert main_text(page(f"<main><h1>All</h1>{two}</main>")) == "All\n" + want
+    assert main_text(page("<p>Press <button>Save</button> now, please, and wait</p>")) == "Press now, please, and wait"
+
+
+#: Pages without an article, marked by hand: the markup and the blocks of its main text.
+MARKED = [
+    (f"<div id=nav><a href=1>Home</a></div><div id=content><h1>Name</h1><p>{PROSE}</p><p>Short.</p></div><div id=footer>Foot, er</div>", ["Name", PROSE.strip(), "Short."]),
+    (f"<table><tr><td class=sidebar><a href=1>A</a></td><td><p>{PROSE}</p><blockquote>Quote, of it</blockquote></td></tr></table>", [PROSE.strip(), "Quote, of it"]),
+    (f"<div class=post><p>{PROSE}</p><pre>code  here</pre><ol><li>First, step</li><li>Second</li></ol></div><div class=comments><p>Nice, one</p></div>",
+     [PROSE.strip(), "code here", "First, step", "Second"]),
+    (f"<section><h2>A</h2><p>{PROSE}</p></section><section><h2>B</h2><p>{PROSE}</p></section><div class=ads><p>Buy, it, now</p></div>", ["A", PROSE.strip(), "B", PROSE.strip()]),
+    (f"<div><div><p>{PROSE}</p></div><figure><figcaption>A, picture</figcaption></figure></div><form><p>Your, name</p></form>", [PROSE.strip(), "A, picture"]),
+    ("<p>Only one, short, paragraph here.</p>", ["Only one, short, paragraph here."]),
+    ("<ul><li>a</li><li>b</li></ul>", ["a", "b"]),
+    (f"<div class=layout-with-sidebar><p>{PROSE}</p></div><div class=pagination><a href=2>2</a></div>", [PROSE.strip()]),
+]
+
+
+def test_pages_marked_by_hand():
+    for body, want in MARKED:
+        assert main_text(page(body)).split("\n") == want, body
