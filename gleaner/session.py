@@ -78,15 +78,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pack(archive: Path) -> Path:
+    """This package, texts included, as a zip that Python imports from."""
+    package = Path(__file__).resolve().parent
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for path in sorted(path for ending in ("py", "txt") for path in package.rglob(f"*.{ending}")):
+            bundle.write(path, path.relative_to(package.parent))
+    return archive
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, for sessions that were not started with ``--py-files``."""
     context = spark.sparkContext
     if getattr(context, "_gleaner_shipped", False):
         return
-    package = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="gleaner-zip-")) / "gleaner.zip"
-    with zipfile.ZipFile(archive, "w") as bundle:
-        for module in sorted(package.rglob("*.py")):
-            bundle.write(module, module.relative_to(package.parent))
+    archive = pack(Path(tempfile.mkdtemp(prefix="gleaner-zip-")) / "gleaner.zip")
     context.addPyFile(str(archive))
     context._gleaner_shipped = True
