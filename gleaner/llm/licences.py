@@ -13,17 +13,25 @@ broadcast by its size, a large one takes a join whose skewed partitions Spark sp
 
 from __future__ import annotations
 
-from pathlib import Path
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COPYRIGHT_LINE = "(?m)^[ \\t]*(?:copyright\\b|\\(c\\)|©|all rights reserved)[^\\n]*$"
-#: Lines that are copyright notices: the word with a sign or a year (or a blank for one), a sign, or all rights reserved alone.
-#: A line of a licence's own words that happens to begin with ``copyright`` is none. ``COPYRIGHT_LINE`` is the wider pattern
-#: of the SQL counterpart.
-NOTICE_LINE = (
-    "(?m)^[ \\t]*(?:copyright[ \\t:]*(?:\\(c\\)|©|[<\\[{(]?(?:(?:19|20)[0-9]{2}|year|yyyy)\\b)[^\\n]*|(?:\\(c\\)|©)[^\\n]*|all rights reserved[ \\t.\\r]*)$"
+#: What may stand before a notice on its line: the mark of a comment.
+_MARK = "^[ \\t]*(?:[#*/;%!-]{1,3}[ \\t]*|dnl[ \\t]+)?"
+_YEAR = "\\b(?:19|20)[0-9]{2}\\b"
+#: Copyright notices: those of the publishers and the blanks to fill in, wherever lines break; lines with the word and a sign or a
+#: blank, or a year after four words at most; lines with a sign and a year or a short name; and all rights reserved alone. Neither a line of a
+#: licence's own words that begins with ``copyright`` nor a list item ``(c)`` is one. Java and RE2 read the pattern alike.
+NOTICE = (
+    f"(?m)(?:{_MARK})?copyright\\s+\\(c\\)\\s+[0-9, -]+\\s+free\\s+software\\s+foundation,?\\s+inc\\.?(?:\\s*<[^>]*>)?"
+    f"|(?:{_MARK})?copyright\\s+(?:(?:\\(c\\)|©)\\s+)?[<\\[{{](?:year|yyyy)[>\\]}}]\\s+[<\\[{{]name\\s+of\\s+(?:author|copyright\\s+owner)[>\\]}}]"
+    f"|(?:{_MARK})?copyright\\s+\\(c\\)\\s+year\\s+name\\s+of\\s+author"
+    f"|{_MARK}(?:portions[ \\t]+)?copyright\\b(?:[^\\n]*?(?:\\(c\\)|©|[<\\[{{(](?:year|yyyy)\\b)|(?:[ \\t,:]+[^\\s]+){{0,4}}?[ \\t,:]+{_YEAR})[^\\n]*$"
+    f"|{_MARK}copyright[ \\t:]*(?:year|yyyy)\\b[^\\n]*$|{_MARK}©[^\\n]*$"
+    f"|{_MARK}\\(c\\)[ \\t]*(?:[^\\n]{{0,40}}?{_YEAR}[^\\n]*|[^\\s,;:]+(?:[ \\t]+[^\\s,;:]+){{0,3}}[ \\t\\r]*)$"
+    f"|{_MARK}all rights reserved[ \\t.\\r]*$"
 )
 #: Spellings that licence matching treats as one (left becomes right).
 SPELLINGS = {
@@ -115,8 +123,8 @@ WTFPL = (
     "modified copies of this license document, and changing it is allowed as long as the name is changed.\n\nDO WHAT THE FUCK YOU WANT "
     "TO PUBLIC LICENSE\nTERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION\n\n0. You just DO WHAT THE FUCK YOU WANT TO."
 )
-#: Whole texts of long licences, one file each, named by the licence.
-FOLDER = Path(__file__).parent / "texts"
+#: Whole texts of long licences, one file each in the folder ``texts`` of this package.
+LONG = ["Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0"]
 #: Long texts are also known up to here, without the part on how to apply them.
 LAST_LINE = "END OF TERMS AND CONDITIONS"
 #: How licences are named in one-line notices.
@@ -144,7 +152,7 @@ VERBS = ["licensed under", "released under", "distributed under", "available und
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
-    lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE_LINE, "")
+    lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE, " ")
     plain = F.trim(F.regexp_replace(lower, "[^\\p{L}\\p{N}]+", " "))
 
     def respelled(form: Column) -> Column:
@@ -163,7 +171,7 @@ def digest(text: Column) -> Column:
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
-    """(licence_id, text): the licence texts of ``TEXTS``, of ``FOLDER`` and the BSD ones, in all their forms."""
+    """(licence_id, text): the licence texts of ``TEXTS``, of ``LONG`` and the BSD ones, in all their forms."""
     return spark.createDataFrame(known_forms(), "licence_id string, text string")
 
 
@@ -176,15 +184,20 @@ def known_forms() -> list[tuple[str, str]]:
         grant = BSD_GRANT.format(*marks[:2])
         untitled += [("BSD-2-Clause", grant + BSD_WARRANTY), ("BSD-3-Clause", grant + BSD_NAMES.format(marks[2]) + BSD_WARRANTY)]
     found += untitled + [(name, f"{title}\n{body}") for name, body in untitled for title in TITLES[name]]
-    for path in sorted(FOLDER.glob("*.txt")):
-        text = path.read_text(encoding="utf-8")
-        found.append((path.stem, text))
+    for name in LONG:
+        text = long_text(name)
+        found.append((name, text))
         if LAST_LINE in text:
             terms = text[: text.index(LAST_LINE)]
-            found += [(path.stem, terms), (path.stem, terms + LAST_LINE)]
+            found += [(name, terms), (name, terms + LAST_LINE)]
     return found
 
 
+def long_text(name: str) -> str:
+    """The text of a long licence, also out of a package that was shipped as a zip; one that is missing fails."""
+    return files(__package__).joinpath("texts", f"{name}.txt").read_text(encoding="utf-8")
+
+
 def known_notices(spark: SparkSession) -> DataFrame:
     """(licence_id, text): one-line notices made from ``SUBJECTS``, ``VERBS`` and ``NAMES``."""
     rows = [

@@ -81,7 +81,7 @@ def llr_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _canonical_sql(text: str) -> str:
-    lower = f"regexp_replace(lower(coalesce({text}, '')), '{licences.COPYRIGHT_LINE}', '', 'g')"
+    lower = f"regexp_replace(lower(coalesce({text}, '')), '{licences.NOTICE}', ' ', 'g')"
     plain = f"trim(regexp_replace({lower}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
     for left, right in licences.SPELLINGS.items():
         plain = f"regexp_replace({plain}, '\\b{left}\\b', '{right}', 'g')"
@@ -100,7 +100,7 @@ def _licence_sql() -> str:
         for subject in licences.SUBJECTS for verb in licences.VERBS
     ]
     return f"""
-WITH known AS {_known_sql(list(licences.TEXTS.items()))},
+WITH known AS {_known_sql(licences.known_forms())},
 notices AS {_known_sql(notices)},
 whole AS (SELECT doc_id, sha256({_canonical_sql('text')}) AS digest FROM documents),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM documents),

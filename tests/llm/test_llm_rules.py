@@ -175,12 +175,12 @@ def test_known_texts_at_any_width(spark):
 def test_whole_texts_with_and_without_titles(spark):
     body = licences.TEXTS["MIT"].split("\n", 1)[1]
     grant = licences.BSD_GRANT.format("1. ", "2. ")
-    apache, gpl = ((licences.FOLDER / f"{name}.txt").read_text() for name in ("Apache-2.0", "GPL-3.0"))
+    apache, gpl = map(licences.long_text, ("Apache-2.0", "GPL-3.0"))
     rows = [
         ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + body), ("MIT", "Copyright (c) 2020 X\n\n" + body),
         ("BSD-2-Clause", "Copyright (c) 2020, X\nAll rights reserved.\n\n" + grant + licences.BSD_WARRANTY), ("WTFPL", licences.WTFPL),
         ("Apache-2.0", apache), ("Apache-2.0", apache[: apache.index("APPENDIX")]), ("GPL-3.0", gpl), (None, gpl[:2000]), (None, grant),
-        *((name, (licences.FOLDER / f"{name}.txt").read_text().upper()) for name in ("GPL-2.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0")),
+        *((name, licences.long_text(name).upper()) for name in ("GPL-2.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0")),
     ]
     docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
     found = {r.doc_id: r.licence_id for r in licences.scan_documents(docs, licences.known_texts(spark), licences.known_notices(spark)).collect()}
@@ -193,3 +193,48 @@ def test_notices_by_line(spark):
     found = {r.doc_id: r.notices for r in licences.scan_documents(docs, licences.known_texts(spark), licences.known_notices(spark)).collect()}
     assert found == {0: "CC-BY-NC-4.0,MIT", 1: "MIT", 2: None, 3: None}
     assert licences.scan_documents(docs.limit(0), licences.known_texts(spark), licences.known_notices(spark)).count() == 0
+
+
+def found_licences(spark, rows):
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: r.licence_id for r in licences.scan_documents(docs, licences.known_texts(spark), licences.known_notices(spark)).collect()}
+    return [found[i] for i in range(len(rows))]
+
+
+def test_every_known_form_wrapped_and_refilled(spark):
+    def paragraphs(text, width):
+        return "\n\n".join(
+            textwrap.fill(" ".join(part.split()), width, break_on_hyphens=False, break_long_words=False) for part in re.split(r"\n\s*\n", text) if part.strip()
+        )
+
+    rows = []
+    for name, text in licences.known_forms():
+        for width in (40, 50, 60, 72, 79, 100, 120):
+            lines = "\n".join(textwrap.fill(line, width, break_on_hyphens=False, break_long_words=False) for line in text.split("\n"))
+            rows += [(name, lines), (name, paragraphs(text, width))]
+        rows.append((name, paragraphs(text, 1_000_000)))
+    wrong = {(name, text[:60]) for (name, text), got in zip(rows, found_licences(spark, rows), strict=True) if got != name}
+    assert not wrong
+
+
+def test_notices_behind_marks_and_in_other_words(spark):
+    body = licences.TEXTS["MIT"].split("\n", 1)[1]
+    notices = (
+        "Copyright John Doe 2020", "Copyright, 2020 X", "# Copyright (c) 2020 X", " * Copyright (c) X", "// Copyright 2020 X", "Portions Copyright (c) X",
+        "Copyright <YEAR> <HOLDER>", "(c) 2020 Somebody, Inc.", "(C) John Doe", "© X and others", "Copyright year name", "All Rights Reserved.",
+    )
+    rows = [("MIT", f"{notice}\n\n{body}") for notice in notices]
+    rows += [(None, f"Copyright holders agree to all of it\n{body}"), (None, f"(c) You must retain, in the Source form of any\n{body}")]
+    assert found_licences(spark, rows) == [name for name, _ in rows]
+
+
+def test_long_texts_come_out_of_a_zip(tmp_path):
+    import subprocess
+    import sys
+
+    from gleaner import session
+
+    archive = session.pack(tmp_path / "gleaner.zip")
+    code = "from gleaner.llm import licences; print(licences.__file__, len(licences.known_forms()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PYTHONPATH": str(archive), "PATH": "/usr/bin:/bin"}, capture_output=True, text=True, check=False)
+    assert "gleaner.zip" in out.stdout and out.stdout.split()[-1] == str(len(licences.known_forms())), out.stderr
