@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.functions.text import words
 from gleaner.functions.vectors import as_double, dequantise, hashed_embedding, normalise, quantise, shorten
 from gleaner.operators.blocks import TILE_ROWS, Scorer, topk, topk_by_key
-from gleaner.operators.sampling import first_by_hash
+from gleaner.operators.sampling import first_by
 from gleaner.session import materialise, scratch_path
 
 BROADCAST_VALUES = 8_000_000  # 64 MB of doubles
@@ -81,7 +81,7 @@ def train_cells(vectors: DataFrame, n_cells: int, rounds: int = 12, sample: int
 
     Only the sample is fitted; every vector is assigned afterwards. Fewer vectors than cells give as many cells.
     """
-    taken = first_by_hash(vectors.select("doc_id", "vector"), sample, "doc_id", seed=seed).toArrow()
+    taken = first_by(vectors.select("doc_id", "vector"), sample, F.xxhash64(F.lit(seed), F.col("doc_id")), "doc_id").toArrow()
     points = _matrix(taken.column("vector"), taken.num_rows)
     chosen = np.random.default_rng(seed).permutation(len(points))[:n_cells]
     centres = points[np.sort(chosen)]

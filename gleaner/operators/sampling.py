@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame
 
 MARGIN = 1000
 
 
-def first_by_hash(rows: DataFrame, limit: int, *keys: str, seed: int = 0, total: int | None = None) -> DataFrame:
-    """The ``limit`` rows with the smallest hash of ``seed`` and ``keys``, ties by ``keys``.
+def first_by(rows: DataFrame, limit: int, order: Column, *ties: str) -> DataFrame:
+    """The ``limit`` rows with the smallest ``order``, a 64-bit hash; equal hashes by ``ties``.
 
-    A plain top-n sends up to ``limit`` rows of every partition to one task. Here the rows are counted first (``total``: at
-    least how many there are, if that is known), and only those below a bound of the hash, about twice the limit and ``MARGIN``
-    more, take part. Keys that many rows share make the sample smaller, never larger.
+    A plain top-n sends up to ``limit`` rows of every partition to one task. Here the rows are counted first, and only those
+    below a bound of the hash, about twice the limit and ``MARGIN`` more, take part. A hash that many rows share makes the
+    sample smaller, never larger.
     """
-    order = F.xxhash64(F.lit(seed), *map(F.col, keys))
-    total = rows.count() if total is None else total
-    share = (2 * limit + MARGIN) / max(total, 1)
-    some = rows.filter(order < F.lit(int(share * 2**64) - 2**63)) if share < 1 else rows
-    return some.orderBy(order, *keys).limit(limit)
+    share = (2 * limit + MARGIN) / max(rows.count(), 1)
+    some = rows.filter(order < int(share * 2**64) - 2**63) if share < 1 else rows
+    return some.orderBy(order, *ties).limit(limit)
