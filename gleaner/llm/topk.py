@@ -64,7 +64,10 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             if rows.num_rows:
                 ids = rows.column("id").to_numpy()
                 weights = _matrix(rows.column("terms").combine_chunks(), size)
-                best = _pass(same, spark.sparkContext.broadcast((ids, weights)), size, k)
+                asking = spark.sparkContext.broadcast((ids, weights))
+                # Stored before the next block is collected: one block at a time is on the driver and the executors.
+                best = materialise(_pass(same, asking, size, k), "best")
+                asking.destroy()
                 found = best if found is None else found.unionByName(best)
     if found is None:
         return spark.createDataFrame([], "query_id bigint, rank int, id bigint, score bigint")

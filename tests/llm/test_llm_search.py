@@ -55,3 +55,25 @@ def test_selection_is_the_sorted_head():
         got = topk.select(scores, ids, 7)
         want = sorted(zip(-scores, ids, strict=True))[:7]
         assert [(-s, i) for s, i in zip(*got, strict=True)] == want
+
+
+def test_one_block_of_queries_at_a_time(spark, monkeypatch):
+    rows = [(i, [(i * 7 + t * t) % 11 - 5 for t in range(6)]) for i in range(120)]
+    vectors = spark.createDataFrame(rows, "id long, terms array<long>")
+    asked = vectors.filter("id % 2 = 0")
+    want = sorted(map(tuple, topk.top_k(vectors, asked, 5).collect()))
+    live, most = set(), []
+    plain = type(spark.sparkContext).broadcast
+
+    def broadcast(context, value):
+        made = plain(context, value)
+        live.add(id(made))
+        most.append(len(live))
+        destroy = made.destroy
+        made.destroy = lambda: (live.discard(id(made)), destroy())
+        return made
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 48 * 7)
+    assert sorted(map(tuple, topk.top_k(vectors, asked, 5).collect())) == want
+    assert len(most) > 8 and max(most) == 1 and not live
