@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import map_batches
+from gleaner.operators.sampling import first_by
 from gleaner.session import materialise
 
 FEATURES = [
@@ -167,7 +168,7 @@ def _grow(binned: np.ndarray, gradient: np.ndarray, curvature: np.ndarray, inner
 def train(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Forest:
     """A forest from ``labels(doc_id, label)``; beyond ``max_rows`` rows those with the smallest id hash are taken."""
     rows = stats.join(labels.filter("label IN (0, 1)"), "doc_id").select("doc_id", "stats", F.col("label").cast("int"))
-    taken = rows.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "label", "stats").limit(max_rows).toArrow()
+    taken = first_by(rows, max_rows, F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "label", "stats").toArrow()
     table = taken.column("stats").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     return fit(table.reshape(-1, len(FEATURES)).astype(np.float32), taken.column("label").to_numpy().astype(np.float64))
 
