@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import word_count
+from gleaner.functions.text import word_count, words
 from gleaner.session import materialise
 
 RELEVANCE_METRICS = ["precision", "recall", "f1", "mrr", "ndcg"]
@@ -163,16 +163,30 @@ def context_efficiency(hits: DataFrame, qrels: DataFrame) -> DataFrame:
     )
 
 
+def word_runs(tokens: Column, lengths: list[int]) -> Column:
+    """All different runs of so many words of a token list, joined by single spaces; a null list has none."""
+    def runs(n: int) -> Column:
+        starts = F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
+        return F.transform(starts, lambda _, i: F.array_join(F.slice(tokens, i + 1, n), " "))
+
+    none = F.array().cast("array<string>")
+    return F.array_distinct(F.concat(none, *(F.coalesce(tokens if n == 1 else runs(n), none) for n in lengths)))
+
+
 def term_coverage(texts: DataFrame, terms: DataFrame, by: list[str]) -> DataFrame:
     """Share of a term list each group of texts mentions: ``texts(by.., tokens)``, ``terms(category, term)``.
 
-    An equi-join on the word; partial distinct sets are merged per group, never the texts themselves. Every group has
-    a row for every category, 0 where it mentions none of its terms.
+    A term is one word or several; each text gives its runs of as many words as some term has, and an equi-join finds all
+    terms in one pass. Partial distinct sets are merged per group, never the texts themselves. Every group has a row for
+    every category, 0 where it mentions none of its terms. White space inside a term counts as one space; blank terms
+    are in no text.
     """
-    terms = materialise(terms.select("category", "term").distinct(), "term-list")  # known size: broadcast if small
+    spaced = F.array_join(words(F.col("term")), " ")
+    terms = materialise(terms.select("category", spaced.alias("term")).distinct(), "term-list")  # known size: broadcast if small
+    lengths = sorted(row[0] for row in terms.filter("term <> ''").select(F.size(F.split("term", " "))).distinct().collect())
     sizes = terms.groupBy("category").agg(F.count(F.lit(1)).alias("n_terms"))
     mentioned = (
-        texts.select(*by, F.explode(F.array_distinct("tokens")).alias("term"))
+        texts.select(*by, F.explode(word_runs(F.col("tokens"), lengths)).alias("term"))
         .join(terms, "term")
         .select(*by, "category", "term")
         .distinct()

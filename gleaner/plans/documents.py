@@ -155,10 +155,18 @@ def _item(path: str):
     return F.regexp_extract(path, "item_id=([0-9]+)/", 1).cast("bigint").alias("item_id")
 
 
-@query("file_listing", "SELECT item_id, strlen(text) + 1 AS length FROM benchmark")
+@query("file_listing", """SELECT item_id, strlen(text) + 1 AS length, NULL AS warning FROM benchmark
+UNION ALL SELECT max(item_id) + 1, 0, 'no content' FROM benchmark""")
 def file_listing(t: Tables) -> DataFrame:
-    """Listing of the passages' files: sizes only, contents not read."""
-    return readers.list_binary(t.spark, passages(t, "listing"), "*.txt").select(_item("path"), "length")
+    """Listing of the passages' files and an empty one after them: sizes only, contents not read; the empty one is warned about."""
+    path = passages(t, "listing")
+    after = t.benchmark.agg(F.max("item_id") + 1).first()[0]
+    place = t.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/item_id={after}/empty.txt")
+    place.getFileSystem(t.spark._jsparkSession.sessionState().newHadoopConf()).create(place).close()
+    files = readers.list_binary(t.spark, path, "*.txt")
+    pages = readers.read_text_files(t.spark, f"{path}/*").select(F.element_at(F.split("source", "/"), -1).alias("file_name"), "page_content")
+    warned = readers.files_without_content(files, pages).select("path", "warning")
+    return files.join(warned, "path", "left").select(_item("path"), "length", "warning")
 
 
 @query("text_directory", "SELECT item_id, md5(text || chr(10)) AS text_print FROM benchmark")

@@ -138,18 +138,25 @@ def context_efficiency(t: Tables) -> DataFrame:
     return rounded(evaluation.context_efficiency(hits, qrels(t)))
 
 
-TERMS_SQL = f"SELECT DISTINCT left(w, 1) AS category, w AS term FROM (SELECT unnest({sql.words('text')}) AS w FROM benchmark) WHERE length(w) >= 8"
+TERMS_SQL = f"""SELECT DISTINCT left(term, 1) AS category, term FROM (
+SELECT w AS term FROM (SELECT unnest({sql.words('text')}) AS w FROM benchmark) WHERE length(w) >= 8
+UNION ALL SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM (SELECT {sql.words('text')} AS w FROM benchmark))"""
 
 
 @query("term_coverage", f"""WITH terms AS ({TERMS_SQL}), n AS (SELECT category, count(*) AS n_terms FROM terms GROUP BY category),
-seen AS (SELECT DISTINCT source, lang, term FROM (SELECT source, lang, unnest({sql.words('text')}) AS term FROM documents)),
+tok AS (SELECT source, lang, {sql.words('text')} AS w FROM documents),
+seen AS (SELECT DISTINCT source, lang, term FROM (SELECT source, lang, unnest(w) AS term FROM tok
+  UNION ALL SELECT source, lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM tok)),
 m AS (SELECT category, source, lang, count(*) AS k FROM seen JOIN terms USING (term) GROUP BY ALL),
 grid AS (SELECT * FROM (SELECT DISTINCT source, lang FROM documents), n)
 SELECT category, source, lang, coalesce(k, 0) AS n_mentioned, n_terms, round(coalesce(k, 0) / n_terms, 6) AS coverage
 FROM grid LEFT JOIN m USING (category, source, lang)""")
 def term_coverage(t: Tables) -> DataFrame:
-    word = t.questions.select(F.explode(words(F.col("text"))).alias("term")).filter(F.length("term") >= 8)
-    terms = word.select(F.substring("term", 1, 1).alias("category"), "term").distinct()
+    """Long words and all pairs of neighbouring words of the passages as terms."""
+    tokens = words(F.col("text"))
+    single = t.questions.select(F.explode(tokens).alias("term")).filter(F.length("term") >= 8)
+    pairs = t.questions.select(F.explode(evaluation.word_runs(tokens, [2])).alias("term"))
+    terms = single.unionByName(pairs).select(F.substring("term", 1, 1).alias("category"), "term").distinct()
     texts = t.spread("documents", "source", "lang", "text").select("source", "lang", words(F.col("text")).alias("tokens"))
     return rounded(evaluation.term_coverage(texts, terms, ["source", "lang"]))
 

@@ -59,9 +59,19 @@ def shifted_access(docs: DataFrame, as_of: Column, parts: int) -> DataFrame:
 def list_binary(spark: SparkSession, path: str, glob: str = "*.pdf", fingerprint: bool = False) -> DataFrame:
     """Files of a folder with size and change time. Contents are read only for fingerprints.
 
-    The scan leaves out files of zero bytes.
+    The scan leaves out files of zero bytes; they are added from the list of files that Spark made for the scan, with a
+    length of 0 and no change time.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+    found = files.select("path", "length", "modificationTime", *(["content"] if fingerprint else []))
+    listed = spark.createDataFrame([(url,) for url in files.inputFiles()], "url string")
+    # The list has encoded addresses; the scan has paths, without an empty authority.
+    decoded = F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B")))
+    paths = listed.select(F.regexp_replace(decoded, "^file:/+", "file:/").alias("path"))
+    empty = paths.join(found.select("path"), "path", "left_anti").select(
+        "path", F.lit(0).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modificationTime"),
+        *([F.lit(b"").alias("content")] if fingerprint else []),
+    )
     columns = [
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length"),
@@ -70,7 +80,7 @@ def list_binary(spark: SparkSession, path: str, glob: str = "*.pdf", fingerprint
     ]
     if fingerprint:
         columns.append(F.sha2("content", 256).alias("sha256"))
-    return files.select(*columns)
+    return found.unionByName(empty).select(*columns)
 
 
 def files_without_content(files: DataFrame, pages: DataFrame) -> DataFrame:

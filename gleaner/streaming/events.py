@@ -114,7 +114,7 @@ def ingest_changed(
     """Append rows that are new or whose content differs from the key's latest version in the target.
 
     Versions are numbered by ``version``, one number per micro-batch that wrote something. Of several rows of a key
-    in one micro-batch the last by ``order``, then by all columns, counts. Parts are kept by query and micro-batch: a
+    in one micro-batch the last by ``order``, then by all columns, counts. A null key is a key like others. Parts are kept by query and micro-batch: a
     repeated micro-batch overwrites its own part only, and a query with a new checkpoint adds to what is there.
     """
     digest = F.sha2(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in content]), 256)
@@ -130,8 +130,8 @@ def ingest_changed(
         if path_exists(spark, target):
             others = spark.read.schema(schema).parquet(target).filter((F.col("run") != run) | (F.col("batch") != batch_id))
             version = (others.agg(F.max("version")).first()[0] or 0) + 1
-            known = others.groupBy(key).agg(F.max_by("digest", "version").alias("known"))
-            fresh = fresh.join(known, key, "left").filter(~F.col("digest").eqNullSafe(F.col("known"))).drop("known")
+            known = others.groupBy(F.col(key).alias("known_key")).agg(F.max_by("digest", "version").alias("known"))
+            fresh = fresh.join(known, F.col(key).eqNullSafe(F.col("known_key")), "left").drop("known_key").filter(~F.col("digest").eqNullSafe(F.col("known"))).drop("known")
         fresh.withColumn("version", F.lit(version).cast("long")).write.mode("overwrite").parquet(f"{target}/run={run}/batch={batch_id}")
 
     _process(stream, merge, state)

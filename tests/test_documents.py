@@ -261,3 +261,16 @@ def test_hashed_vectors_are_unit_length(spark):
 
     rows = embed(spark.createDataFrame([("a b a",), ("",)], "text string"), dims=16).collect()
     assert np.linalg.norm(rows[0].vector) == pytest.approx(1) and sum(rows[1].vector) == 0
+
+
+def test_files_of_zero_bytes_are_listed_and_warned_about(spark, tmp_path):
+    (tmp_path / "in" / "a b").mkdir(parents=True)
+    (tmp_path / "in" / "full.txt").write_text("text")
+    (tmp_path / "in" / "a b" / "em+p%ty.txt").write_text("")
+    (tmp_path / "in" / "other.bin").write_text("")
+    files = readers.list_binary(spark, str(tmp_path / "in"), "*.txt", fingerprint=True)
+    rows = {r.file_name: r for r in files.collect()}
+    assert {name: r.length for name, r in rows.items()} == {"full.txt": 4, "em+p%ty.txt": 0}
+    assert rows["em+p%ty.txt"].path == f"file:{tmp_path}/in/a b/em+p%ty.txt" and rows["em+p%ty.txt"].sha256.startswith("e3b0c442")
+    pages = spark.createDataFrame([("full.txt", "text")], "file_name string, page_content string")
+    assert [r.file_name for r in readers.files_without_content(files, pages).collect()] == ["em+p%ty.txt"]

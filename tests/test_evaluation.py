@@ -142,3 +142,13 @@ def test_empty_sides_stay(spark):
     terms = spark.createDataFrame([("x", "aa"), ("y", "bb")], "category string, term string")
     cover = {(r.lang, r.category): r.coverage for r in evaluation.term_coverage(texts, terms, ["lang"]).collect()}
     assert cover == {("en", "x"): 1.0, ("en", "y"): 0.0, ("de", "x"): 0.0, ("de", "y"): 0.0}
+
+
+def test_terms_of_several_words_are_found(spark):
+    texts = spark.createDataFrame([("a", "new york city and san  francisco".split()), ("a", ["york", "new"]), ("b", None), ("c", [])], "g string, tokens array<string>")
+    terms = spark.createDataFrame(
+        [("x", "new york"), ("x", "new  york"), ("x", "york city and"), ("x", "city"), ("x", "york new"), ("y", "and new"), ("y", "francisco san"), ("y", " ")],
+        "category string, term string",
+    )
+    found = {(r.g, r.category): (r.n_mentioned, r.n_terms) for r in evaluation.term_coverage(texts, terms, ["g"]).collect()}
+    assert found == {("a", "x"): (4, 4), ("a", "y"): (0, 3), ("b", "x"): (0, 4), ("b", "y"): (0, 3), ("c", "x"): (0, 4), ("c", "y"): (0, 3)}

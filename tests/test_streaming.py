@@ -53,8 +53,19 @@ def test_ingest_adds_only_new_or_changed(spark, tmp_path):
     third = [*second, (2, 2, "b"), (2, 4, None)]
     assert run([(2, "b"), (4, None)]) == third
     assert run([]) == third and run([(4, None), (3, "c")]) == third
+    fourth = [*third, (3, None, "n")]
+    key = lambda rows: sorted(rows, key=str)
+    spark.createDataFrame([(None, "n")], "doc_id long, text string").coalesce(1).write.mode("append").parquet(folder)
+    for _ in range(2):
+        stream = spark.readStream.schema("doc_id long, text string").parquet(folder)
+        ev.ingest_changed(stream, target, str(tmp_path / "state"), "doc_id", ["text"])
+        spark.createDataFrame([(None, "n")], "doc_id long, text string").coalesce(1).write.mode("append").parquet(folder)
+    stored = spark.read.parquet(target).select("version", "doc_id", "text").collect()
+    assert key(map(tuple, stored)) == key(fourth)
     # A new checkpoint reads all files again; nothing that was there is lost.
-    assert set(third) <= set(run([(9, "z")], "other"))
+    spark.createDataFrame([(9, "z")], "doc_id long, text string").coalesce(1).write.mode("append").parquet(folder)
+    ev.ingest_changed(spark.readStream.schema("doc_id long, text string").parquet(folder), target, str(tmp_path / "other"), "doc_id", ["text"])
+    assert set(fourth) <= {(r.version, r.doc_id, r.text) for r in spark.read.parquet(target).collect()}
 
 
 def test_regressions_are_flagged_by_direction(spark):
