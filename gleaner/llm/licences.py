@@ -152,7 +152,9 @@ VERBS = ["licensed under", "released under", "distributed under", "available und
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
-    lower = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), NOTICE, " ")
+    # One search first: few texts hold a notice. A list of one binds the small letters.
+    noticed = lambda low: F.when(low.rlike("copyright|©|\\(c\\)|all rights reserved"), F.regexp_replace(low, NOTICE, " ")).otherwise(low)
+    lower = F.get(F.transform(F.array(F.lower(F.coalesce(text, F.lit("")))), noticed), F.lit(0))
     plain = F.trim(F.regexp_replace(lower, "[^\\p{L}\\p{N}]+", " "))
 
     def respelled(form: Column) -> Column:
