@@ -31,7 +31,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     sys.path.insert(0, str(here))
-    from gleaner.session import build_session
+    from gleaner.session import build_session, release
 
     spark = build_session(
         "gleaner-bench", f"local[{cpus}]",
@@ -57,6 +57,7 @@ def main() -> None:
     for name in WARM_UP:
         run(name)
     times = {name: run(name) for name in names}
+    release(spark)
     spark.stop()
     print(json.dumps({
         "metric": "total time of the headline queries", "value": round(sum(times.values()), 3), "unit": "sec",
