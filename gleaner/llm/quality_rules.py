@@ -1,4 +1,4 @@
-"""Quality rules with DataFrame functions only: counting rules and a hashed n-gram log-likelihood ratio.
+"""Quality rules: counting rules with DataFrame functions, and a hashed n-gram log-likelihood ratio.
 
 Every document gets counts that simple rules judge, and the mean log-likelihood ratio of its hashed token n-grams
 between two multinomials: one over the trusted target documents, one over the whole corpus. Both are counted over
@@ -12,9 +12,10 @@ that pass the base rules, so the verdict on a text depends on the corpus and the
   neighbours, counted by the cell their hash falls in, with add-one smoothing over the cells. The number of cells follows
   the characters of the corpus (``CHARS_A_CELL``), so no more n-grams share a cell in a large corpus than in a small one; ``buckets=None`` in the functions below counts each n-gram by its whole 64-bit hash.
 
-Texts stay where they are: what moves are counted cells, combined in each task first. Up to ``ARRAY_CELLS`` the weights
-are one array of whole numbers that is looked up where the text is; a larger table of weights is joined to the n-grams of
-the texts. Both ways give the same sums.
+Texts stay where they are. With cells, each task counts its n-grams in numpy and sends them on as pieces of neighbouring
+cells, a few bytes for each cell that it met; a piece is added up as a stream. Up to ``ARRAY_CELLS`` the weights are one array
+that is looked up where the text is; a larger table of weights is joined to the n-grams of the texts. The form without
+cells uses DataFrame functions alone, and given cells it counts the same (``weights``).
 
 Defined results: null and empty texts have no words, fail the base rules and score 0; repeated rows are judged
 alike; an empty table gives no row; other columns are ignored.
@@ -22,27 +23,39 @@ alike; an empty table gives no row; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections.abc import Iterator
+from itertools import chain, islice
+
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gleaner.llm.common import BROADCAST_IDS
+from gleaner.llm.common import BROADCAST_IDS, map_batches
 from gleaner.session import materialise
 
 BLANKS = " \t\n\x0b\x0c\r"
 WORD_BREAK = "[ \\t-\\r]+"
 SYMBOLS = "[#*$%&|<>]"
 TOKEN = "[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]+"
+_TOKEN = re.compile(r"\w+|[^\w \t-\r]+")  # the same
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30
 #: Characters of the corpus for each cell, and the least number of cells.
 CHARS_A_CELL = 192
 LEAST_CELLS = 1 << 16
-#: Cells of the largest array of weights (four bytes each); they are put together in pieces of ``PIECE``.
+#: Cells of the largest array of weights (two bytes each).
 ARRAY_CELLS = 1 << 24
-PIECE = 1 << 12
-#: More partitions than any table has.
-MANY = 1 << 30
+#: Cells of a piece: at least and at most.
+PIECE = (1 << 15, 1 << 20)
+#: N-grams that a task holds before it sends their counts on, and tokens of a text that are cut at once.
+HELD = 6_000_000
+BLOCK = 1 << 16
 #: N-grams that are looked up without a join: the most frequent one of each slot. Changes no result.
 SLOTS = 1 << 16
 #: Weights are whole numbers of this fraction.
@@ -108,16 +121,20 @@ def found_cells(docs: DataFrame, buckets: int | None) -> DataFrame:
     return docs.withColumn("_t", tokens(F.col("text"))).withColumn("_cells", cells(F.col("_t"), buckets)).drop("_t")
 
 
+def marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(text, target): 1 for a target document, else 0. Texts stay where they are unless the ids outgrow a broadcast, as in ``by_ids``."""
+    ids = materialise(trusted.select("doc_id").distinct(), "ids").withColumn("target", F.lit(1))
+    joined = docs.select("doc_id", "text").join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left")
+    return joined.select("text", F.coalesce("target", F.lit(0)).alias("target"))
+
+
 def weights(docs: DataFrame, trusted: DataFrame, buckets: int | None = None) -> DataFrame:
     """(cell, raw, weight): the log-likelihood ratio of each n-gram that occurs in units of 1 / ``UNIT``, target against raw corpus.
 
     ``trusted(doc_id)`` names the target documents. Without ``buckets`` every n-gram has a row of its own.
     """
-    ids = materialise(trusted.select("doc_id").distinct(), "ids").withColumn("target", F.lit(1))
-    # Texts stay where they are unless the ids outgrow a broadcast, as in ``by_ids``.
-    marked = docs.select("doc_id", "text").join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left")
     # An inner explode would infer a filter that works the tokens out again for every token.
-    each = found_cells(marked, buckets).select(F.explode_outer("_cells").alias("cell"), F.coalesce("target", F.lit(0)).alias("target"))
+    each = found_cells(marked(docs, trusted), buckets).select(F.explode_outer("_cells").alias("cell"), "target")
     tally = each.filter("cell IS NOT NULL").groupBy("cell").agg(F.count("*").alias("raw"), F.sum("target").alias("target"))
     stored = materialise(tally, "ngrams")
     total = stored.agg(F.count("*").alias("n"), F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
@@ -166,34 +183,174 @@ def cell_count(docs: DataFrame) -> int:
     return max(LEAST_CELLS, chars // CHARS_A_CELL)
 
 
-def weight_array(table: DataFrame, buckets: int) -> DataFrame:
-    """One row with the weights of all cells in order, 0 for a cell without n-grams; at most ``ARRAY_CELLS``."""
-    every = table.sparkSession.range(buckets).select(F.col("id").alias("cell")).join(table.select("cell", "weight"), "cell", "left")
-    in_order = lambda key, value: F.transform(F.array_sort(F.collect_list(F.struct(key, value))), lambda s: s[value])
-    pieces = every.select("cell", F.coalesce("weight", F.lit(0)).alias("weight")).groupBy(F.floor(F.col("cell") / PIECE).alias("piece")).agg(
-        in_order("cell", "weight").alias("weights")
-    )
-    return pieces.agg(F.flatten(in_order("piece", "weights")).alias("weights"))
+# --- n-grams by cell, in numpy ---
+
+def ngram_cells(text: str, buckets: int) -> Iterator[np.ndarray]:
+    """The cells of all n-grams of a text, as ``cells`` gives them, for a block of tokens at a time."""
+    found, digest, last = _TOKEN.finditer(text), xxhash.xxh64_intdigest, []
+    while tokens := [m[0].encode("utf-8", "surrogatepass") for m in islice(found, BLOCK)]:
+        single = [digest(t, 42) for t in tokens]
+        # The hash of a pair is that of its second token, seeded with the hash of the first.
+        pairs = [digest(t, seed) for t, seed in zip(tokens if last else tokens[1:], chain(last, single), strict=False)]
+        last = single[-1:]
+        yield np.fromiter(chain(single, pairs), np.uint64, len(single) + len(pairs)).view(np.int64) % buckets
+
+
+def piece_width(buckets: int) -> int:
+    return min(PIECE[1], max(PIECE[0], buckets >> 12))
+
+
+def planes(values: np.ndarray, width: int) -> bytes:
+    """Whole numbers of ``width`` bytes, all lowest bytes first: small numbers leave runs of zeros."""
+    return values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def from_planes(data: bytes, width: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(f"<u{width}").ravel().astype(np.int64)
+
+
+#: Bytes of the three columns of a piece: step to the next cell that occurs, its n-grams, and those of the target.
+STEPS, RAW, TARGET = 4, 4, 4
+
+
+def packed_pieces(keys: np.ndarray, width: int) -> Iterator[tuple[int, bytes]]:
+    """(piece, counts) from keys, each twice a cell plus 1 for the target."""
+    keys.sort()
+    cell = keys >> 1
+    first = np.flatnonzero(np.diff(cell, prepend=-1))
+    raw, target = np.diff(first, append=len(cell)), np.add.reduceat(keys & 1, first)
+    cell = cell[first]
+    piece = cell // width
+    starts = np.flatnonzero(np.diff(piece, prepend=-1))
+    for start, end in zip(starts, chain(starts[1:], [len(cell)]), strict=True):
+        steps = np.diff(cell[start:end] % width, prepend=0)
+        yield int(piece[start]), zlib.compress(planes(steps, STEPS) + planes(raw[start:end], RAW) + planes(target[start:end], TARGET), 1)
 
 
-def scores_in_place(docs: DataFrame, table: DataFrame, buckets: int) -> DataFrame:
+def add_piece(sums: np.ndarray, counts: bytes) -> None:
+    """Add the counts of one piece to the sums, (2, width): all n-grams, and those of the target."""
+    data = zlib.decompress(counts)
+    n = len(data) // (STEPS + RAW + TARGET)
+    at = np.cumsum(from_planes(data[: n * STEPS], STEPS))
+    sums[0, at] += from_planes(data[n * STEPS : n * (STEPS + RAW)], RAW)
+    sums[1, at] += from_planes(data[n * (STEPS + RAW) :], TARGET)
+
+
+def cell_sums(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame:
+    """(piece, raw, target, sums): the n-grams of each piece of cells, and by cell as two rows of 64-bit numbers."""
+    width = piece_width(buckets)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            pieces = packed_pieces(np.concatenate(held), width)
+            while some := list(islice(pieces, 256)):
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in some], pa.int64()), pa.array([c for _, c in some], pa.binary())], ["piece", "counts"])
+
+        for batch in batches:
+            for text, target in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                for found in ngram_cells(text.as_py() or "", buckets):
+                    held.append(found * 2 + target)
+                    size += len(found)
+                    if size >= HELD:
+                        yield from flush()
+                        held, size = [], 0
+        if held:
+            yield from flush()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, None
+
+        def row() -> pa.RecordBatch:
+            raw, target = (int(x) for x in sums.sum(axis=1))
+            return pa.RecordBatch.from_pydict({"piece": [now], "raw": [raw], "target": [target], "sums": [sums.tobytes()]})
+
+        for batch in batches:
+            for piece, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if piece != now:
+                    if now is not None:
+                        yield row()
+                    now, sums = piece, np.zeros((2, width), np.int64)
+                add_piece(sums, counts.as_py())
+        if now is not None:
+            yield row()
+
+    counted = map_batches(marked(docs, trusted), count, "piece bigint, counts binary")
+    ordered = counted.repartition("piece").sortWithinPartitions("piece")
+    return materialise(map_batches(ordered, add, "piece bigint, raw bigint, target bigint, sums binary"), "cells")
+
+
+def cell_weights(sums: DataFrame, buckets: int) -> DataFrame:
+    """(piece, raw, weights): the n-grams and the weight of each cell of a piece, in order, as 64-bit and 16-bit numbers."""
+    total = sums.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0)).alias("target")).first()
+    of_raw, of_target = float(total["raw"] + buckets), float(total["target"] + buckets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw, target = np.frombuffer(data.as_py(), np.int64).reshape(2, -1)
+                # A ratio of shares is below e ** 32, so 16 bits are enough for thousandths of its logarithm.
+                weight = np.rint(UNIT * (np.log((target + 1) / of_target) - np.log((raw + 1) / of_raw))).astype(np.int16)
+                yield pa.RecordBatch.from_pydict({"piece": [piece], "raw": [raw.tobytes()], "weights": [weight.tobytes()]})
+
+    return map_batches(sums.select("piece", "sums"), run, "piece bigint, raw binary, weights binary")
+
+
+def weight_array(weighed: DataFrame, buckets: int) -> np.ndarray:
+    """The weights of all cells in order, at most ``ARRAY_CELLS``; 0 in a piece without n-grams."""
+    width = piece_width(buckets)
+    out = np.zeros(-(-buckets // width) * width, np.int16)
+    for row in weighed.select("piece", "weights").toLocalIterator():
+        out[row["piece"] * width : (row["piece"] + 1) * width] = np.frombuffer(row["weights"], np.int16)
+    return out[:buckets]
+
+
+def weight_rows(weighed: DataFrame, buckets: int) -> DataFrame:
+    """(cell, raw, weight) of each cell that occurs."""
+    width = piece_width(buckets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, raw, weight in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                raw, weight = np.frombuffer(raw, np.int64), np.frombuffer(weight, np.int16)
+                at = np.flatnonzero(raw)
+                yield pa.RecordBatch.from_arrays([pa.array(at + piece * width), pa.array(raw[at]), pa.array(weight[at].astype(np.int32))], ["cell", "raw", "weight"])
+
+    return map_batches(weighed, run, "cell bigint, raw bigint, weight int")
+
+
+def scores_in_place(docs: DataFrame, array: np.ndarray) -> DataFrame:
     """(doc_id, the counts, base_failed, llr) with the weights looked up where the text is: nothing is shuffled."""
-    weighed = materialise(weight_array(table, buckets), "weights").scalar()
-    found = found_cells(counts(docs.select("doc_id", "text")), buckets).drop("text")
-    # No partition changes; above this the optimiser puts the subquery in the place of its only use, so that no row
-    # holds a copy of the array, and below it the cells are made once.
-    found = found.coalesce(MANY).withColumn("_weights", weighed)
-    total = F.aggregate("_cells", F.lit(0).cast("long"), lambda a, c: a + F.get("_weights", c.cast("int")))
-    llr = F.when(F.size("_cells") > 0, total / (F.size("_cells") * float(UNIT))).otherwise(0.0)
-    return found.withColumn("llr", llr).drop("_cells", "_weights")
+    counted = counts(docs.select("doc_id", "text"))
+    kept = [field for field in counted.schema.fields if field.name != "text"]
+    shared = docs.sparkSession.sparkContext.broadcast(array)
+
+    def ratio(text: str) -> float:
+        total = n = 0
+        for found in ngram_cells(text, len(shared.value)):
+            total += int(shared.value[found].sum(dtype=np.int64))
+            n += len(found)
+        return total / (n * float(UNIT)) if n else 0.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ratios = pa.array([ratio(text.as_py() or "") for text in batch.column("text")], pa.float64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), ratios], [*(f.name for f in kept), "llr"])
+
+    return map_batches(counted, run, T.StructType([*kept, T.StructField("llr", T.DoubleType())]))
 
 
 def scores(docs: DataFrame, trusted: DataFrame, buckets: int | None = None) -> DataFrame:
     """(doc_id, the counts, base_failed, llr) for every document; texts without n-grams have 0."""
     rows = docs.select("doc_id", "text")
-    table = weights(rows, trusted, buckets)
-    if buckets and buckets <= ARRAY_CELLS:
-        return scores_in_place(rows, table, buckets)
+    if buckets is None:
+        table = weights(rows, trusted)
+    else:
+        weighed = cell_weights(cell_sums(rows, trusted, buckets), buckets)
+        if buckets <= ARRAY_CELLS:
+            return scores_in_place(rows, weight_array(weighed, buckets))
+        table = materialise(weight_rows(weighed, buckets), "weights")
     found = score(rows, table, buckets)
     counted = counts(rows).withColumn("key", text_key()).drop("text")
     return counted.join(found, "key", "left").drop("key").withColumn("llr", F.coalesce("llr", F.lit(0.0)))
