@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner import schemas
+from gleaner.sources import json_split
 from gleaner.functions.text import html_text, html_title
 
 
@@ -232,12 +233,12 @@ def read_graph(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def read_graph_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes and relationships of JSON documents ``{"nodes": [...], "relationships": [...]}``, one per file."""
-    schema = T.StructType(
-        [T.StructField("nodes", T.ArrayType(schemas.NODE)), T.StructField("relationships", T.ArrayType(schemas.RELATIONSHIP))]
-    )
-    raw = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    return raw.select(F.inline("nodes")), raw.select(F.inline("relationships"))
+    """Nodes and relationships of JSON files ``{"nodes": [...], "relationships": [...]}``; many tasks read one file.
+
+    A file that is cut off fails at once, a broken record fails the job that reads it.
+    """
+    lists = json_split.record_lists(spark, path)
+    return json_split.records(lists, "nodes", schemas.NODE), json_split.records(lists, "relationships", schemas.RELATIONSHIP)
 
 
 def read_json_folder(
