@@ -365,3 +365,22 @@ def graph_json(t: Tables) -> DataFrame:
         return rows.groupBy(F.lit(kind).alias("kind"), F.coalesce("type", F.lit("?")).alias("type")).agg(F.count(F.lit(1)).alias("n"))
 
     return counted(read_nodes, "node").unionByName(counted(read_relationships, "relationship"))
+
+
+@query("graph_file", KG + """ SELECT 'node' AS kind, coalesce(type, '?') AS type, count(*) AS n, sum(length(id) + length(coalesce(name, '')))::BIGINT AS chars FROM nodes GROUP BY ALL
+UNION ALL SELECT 'relationship', type, count(*), sum(length(source) + length(target) + coalesce(length(flag || status || line), 0))::BIGINT FROM rels GROUP BY ALL""")
+def graph_file(t: Tables) -> DataFrame:
+    """Written as files of one JSON object each, read back in splits, counted with the characters of ids, names and edge properties."""
+    path = t.scratch("graph-file")
+    writers.save_graph_file(nodes(t), relationships(t).drop("ordinal"), path, files=2)
+    read_nodes, read_relationships = readers.read_graph_file(t.spark, path)
+
+    def counted(rows: DataFrame, kind: str, chars: Column) -> DataFrame:
+        return rows.groupBy(F.lit(kind).alias("kind"), F.coalesce("type", F.lit("?")).alias("type")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(chars).cast("bigint").alias("chars")
+        )
+
+    held = F.aggregate(F.map_values("properties"), F.lit(0), lambda a, v: a + F.length(v))
+    ends = F.length("source") + F.length("target") + F.coalesce(held, F.lit(0))
+    named = F.length("id") + F.coalesce(F.length(F.col("properties")["name"]), F.lit(0))
+    return counted(read_nodes, "node", named).unionByName(counted(read_relationships, "relationship", ends))

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import types as T
 
-from gleaner.sources import json_split, readers
+from gleaner.sources import json_split, readers, writers
 
 ODD = ["}", "{", "]", "[", '"', "\\", '\\"', "}{", 'a}"b', "\n", "é😀", "", "plain", "}" * 40, '","nodes":[{"id":"x"}]']
 
@@ -82,3 +82,16 @@ def test_broken_record_fails(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.StringType())])
     with pytest.raises(Exception):
         json_split.records(json_split.record_lists(spark, str(tmp_path)), "nodes", schema).collect()
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_graph_files_come_back(spark, tmp_path, small_splits, files):
+    schema = readers.schemas
+    nodes = spark.createDataFrame([(f"n{i}", "t" if i % 2 else None, {"k": ODD[i % len(ODD)]}) for i in range(40)], schema.NODE)
+    for n, links in ((0, nodes.limit(0)), (1, nodes)):
+        links = links.selectExpr("id AS source", "id AS target", "'r' AS type", "properties")
+        writers.save_graph_file(nodes, links, str(tmp_path / f"g{n}"), files)
+        assert len(list((tmp_path / f"g{n}").glob("*.txt"))) <= files
+        small_splits(300)
+        got, found = readers.read_graph_file(spark, str(tmp_path / f"g{n}"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, nodes.collect())) and found.count() == links.count()
