@@ -35,7 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the kind of personal data in its place."""
-    return pii.redact(docs, pii.fit(pii.labelled_windows(docs)))
+    return pii.redact(docs, pii.learn(docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

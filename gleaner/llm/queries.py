@@ -212,7 +212,7 @@ def html_main_text(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_bilstm_crf_pii")
 def bilstm_crf_pii(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    found = pii.find(documents, pii.fit(pii.labelled_windows(documents))).drop("text")
+    found = pii.find(documents, pii.learn(documents)).drop("text")
     order = F.array(*map(F.lit, pii.KINDS))
     keyed = lambda spans: F.transform(spans, lambda s: F.struct(
         F.array_position(order, s["kind"]).alias("i"), s["start"].alias("start"),

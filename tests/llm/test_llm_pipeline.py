@@ -58,7 +58,7 @@ def test_pipeline_equals_a_plain_version(spark, folder):
         if all(100 * len(mine & o) < 85 * len(mine | o) for o in (shingles(k[1]) for k in kept)):
             kept.append(r)
     frame = spark.createDataFrame(kept, SCHEMA)
-    model = pii.fit(pii.labelled_windows(frame))
+    model = pii.learn(frame)
     base = [pii.base_spans(r[1]) for r in kept]
     added = pii.added_spans(model, [r[1] for r in kept], base)
     clean = {r[0]: (pii.replaced(r[1], b + a), r) for r, b, a in zip(kept, base, added, strict=True)}
