@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.operators import lexical, postings
+from gleaner.operators.ordinal import numbered
 
 WORDS = [f"w{i}" for i in range(400)]
 
@@ -115,3 +116,19 @@ def test_empty_tables(spark, frames, index, tmp_path):
     empty = postings.build(frames[0].limit(0), str(tmp_path / "none"))
     assert postings.search(empty, frames[1], 3).count() == 0
     assert postings.search(index, frames[1].limit(0), 3).count() == 0
+
+
+def test_lists_move_and_not_single_postings(spark, frames):
+    counted = lexical.build_index(frames[0], ordered=True)
+    docs = numbered(counted.docs, "num")
+    assert [r.num for r in docs.orderBy("doc_id").collect()] == list(range(frames[0].count()))
+    schema = "bucket int, term string, first long, packed binary"
+    rows = docs.select("num", "dl", "terms", "counts").mapInArrow(postings._gathered(1000), schema).collect()
+    found = set()
+    for r in rows:
+        entries = np.frombuffer(r.packed, np.int32).reshape(-1, 3)
+        assert entries[0, 0] == 0 and (np.diff(entries[:, 0]) > 0).all() and (entries[-1, 0] + r.first) // 1000 == r.first // 1000
+        found |= {(r.term, r.first + int(n), int(tf), int(dl)) for n, tf, dl in entries}
+    want = docs.select("num", "dl", F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("counts").alias("tf"))))
+    want = [(r.term, r.num, r.tf, r.dl) for r in want.collect()]
+    assert found == set(want) and len(rows) < len(want) / 3
