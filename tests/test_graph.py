@@ -193,3 +193,30 @@ def test_structure_counts_all_nodes(spark):
         ("properties", "other"): 1, ("summary", "s"): 1, ("summary", "t"): 1,
     }
     assert graph.structure(nodes.limit(0)).count() == 0
+
+
+def test_neighbours_move_as_lists_and_a_hub_is_cut(spark):
+    edges = spark.createDataFrame([(0, i) for i in range(1, 900)] + [(5, 6), (6, 5), (7, 7)], "src long, dst long")
+    vertices = spark.range(901)
+    rows = graph._neighbours(vertices, edges).collect()
+    assert len([r for r in rows if r.src == 0]) == graph.PIECES
+    found = sorted((r.src, d) for r in rows for d in r.dsts)
+    want = {(i, i) for i in range(901)} | {(0, i) for i in range(1, 900)} | {(i, 0) for i in range(1, 900)} | {(5, 6), (6, 5)}
+    assert found == sorted(want)
+
+
+def test_trade_is_numbered_in_the_order_of_ids(spark, tmp_path):
+    from gleaner.plans.graphs import communities, trade
+    from gleaner.plans.registry import Tables
+
+    lines = [(1, 10, 1), (2, 9, 2), (3, None, 1), (4, None, None), (9, 7, 7)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 1), (2, 2), (3, None), (4, None)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    names, vertices, edges = trade(Tables(spark, str(tmp_path)))
+    known = [r.id for r in names.orderBy("n").collect()]
+    assert known == ["customer:1", "customer:2", "part:10", "part:9", "supplier:1", "supplier:2"]
+    assert dict(names.dtypes)["n"] == "bigint" and sorted(r.id for r in vertices.collect() if r.id is not None) == list(range(6))
+    assert [r.id for r in vertices.collect()].count(None) == 1
+    assert {(r.src, r.dst) for r in edges.collect()} == {(2, 4), (0, 4), (0, 2), (3, 5), (1, 5), (1, 3), (4, 4), (None, None)}
+    found = {r.id: r.community for r in communities(Tables(spark, str(tmp_path))).collect()}
+    assert found == {v: "customer:1" if v in ("customer:1", "part:10", "supplier:1") else "customer:2" for v in known}
