@@ -95,3 +95,20 @@ def test_graph_files_come_back(spark, tmp_path, small_splits, files):
         small_splits(300)
         got, found = readers.read_graph_file(spark, str(tmp_path / f"g{n}"))
         assert sorted(map(str, got.collect())) == sorted(map(str, nodes.collect())) and found.count() == links.count()
+
+
+def test_a_graph_file_is_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """A task that sorts its file's rows holds them; the rows are read in the order of the lists instead."""
+    from pyspark.sql import DataFrame
+
+    sorts = []
+    plain = DataFrame.sortWithinPartitions
+    monkeypatch.setattr(DataFrame, "sortWithinPartitions", lambda self, *a, **k: sorts.append(a) or plain(self, *a, **k))
+    nodes = spark.range(300).selectExpr("cast(id as string) id", "'t' type", "map('k', 'v') properties").repartition(5)
+    links = spark.range(900).selectExpr("cast(id as string) source", "'x' target", "'r' type", "map('k', 'v') properties").repartition(7)
+    writers.save_graph_file(nodes, links, str(tmp_path / "g"), 3)
+    assert not sorts
+    files = [json.loads(path.read_text()) for path in (tmp_path / "g").glob("part-*")]
+    assert len(files) == 3 and all(list(f) == ["nodes", "relationships"] for f in files)
+    assert sorted(int(n["id"]) for f in files for n in f["nodes"]) == list(range(300))
+    assert sorted(int(n["source"]) for f in files for n in f["relationships"]) == list(range(900))
