@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from gleaner.functions.vectors import list_lengths, token_buckets
 
 # Separators from coarse to fine.
 SEPARATORS = ["\n\n", "\n", " ", ""]
+TEXTS = 200  # texts that are split before their chunks are handed on
 
 
 def fixed_windows(docs: DataFrame, size: int, overlap: int, keys: list[str], text: str = "text") -> DataFrame:
@@ -83,11 +84,18 @@ def recursive_chunks(
     """Recursive character splitting: ``key, chunk_id, chunk_text``. Narrow, one row at a time in Arrow batches."""
     order = separators or SEPARATORS
 
-    @F.pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_recursive(t, size, overlap, order) if t else [])
-
-    return docs.select(key, F.posexplode(split(text)).alias("chunk_id", "chunk_text"))
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # A few texts at a time: what a worker holds does not follow the size of the batch it is given.
+            for start in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(start, TEXTS)
+                chunks = [split_recursive(t, size, overlap, order) if t else [] for t in some.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(chunks, pa.list_(pa.string()))], [key, "chunks"])
+        pa.default_memory_pool().release_unused()
+
+    kind = docs.schema[key].dataType.simpleString()
+    listed = docs.select(key, text).mapInArrow(split, f"`{key}` {kind}, chunks array<string>")
+    return listed.select(key, F.posexplode("chunks").alias("chunk_id", "chunk_text"))
 
 
 def child_chunks(parents: DataFrame, size: int = 200, overlap: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:

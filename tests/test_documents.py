@@ -274,3 +274,18 @@ def test_files_of_zero_bytes_are_listed_and_warned_about(spark, tmp_path):
     assert rows["em+p%ty.txt"].path == f"file:{tmp_path}/in/a b/em+p%ty.txt" and rows["em+p%ty.txt"].sha256.startswith("e3b0c442")
     pages = spark.createDataFrame([("full.txt", "text")], "file_name string, page_content string")
     assert [r.file_name for r in readers.files_without_content(files, pages).collect()] == ["em+p%ty.txt"]
+
+
+def test_recursive_chunks_hand_on_a_few_texts_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    from gleaner.operators import chunking
+
+    held = []
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda self, run, schema: held.append(run) or self.withColumn("chunks", F.array()))
+    chunking.recursive_chunks(spark.createDataFrame([(1, "x")], "doc_id long, text string"), 10, 2)
+    texts = ["some words here"] * 950 + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(952)), "text": texts})
+    out = list(held[0](iter([batch])))
+    assert max(b.num_rows for b in out) <= chunking.TEXTS and sum(b.num_rows for b in out) == 952
+    assert [c for b in out for c in b.column(1).to_pylist()] == [chunking.split_recursive(t, 10, 2, chunking.SEPARATORS) if t else [] for t in texts]
