@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import sentences, words
-from gleaner.functions.vectors import list_lengths, token_buckets
+from gleaner.functions.vectors import list_lengths, md5_buckets, token_buckets
 
 # Separators from coarse to fine.
 SEPARATORS = ["\n\n", "\n", " ", ""]
@@ -125,17 +125,22 @@ def _cuts(counts: np.ndarray, percentile: float, buffer: int) -> np.ndarray:
     return np.cumsum(np.concatenate([[False], distances > limit]), dtype=np.int32)
 
 
-def chunk_numbers(dims: int, percentile: float, buffer: int):
-    """Arrow UDF: token buckets per sentence (a list of lists per text) to chunk numbers per sentence."""
+def chunk_numbers(dims: int, percentile: float, buffer: int, hashing: str):
+    """Arrow UDF: the sentences of a text, or for cheap hashes the token buckets of each, to chunk numbers per sentence."""
+
+    def entries(per_text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if hashing == "md5":
+            return md5_buckets(per_text, dims)
+        return np.repeat(np.arange(len(per_text)), list_lengths(per_text)), per_text.flatten().to_numpy(zero_copy_only=False)
 
     @F.arrow_udf("array<int>")
     def number(texts: pa.Array) -> pa.Array:
         numbers = []
-        for start in range(0, len(texts), 200):
-            part = texts.slice(start, 200)
+        for start in range(0, len(texts), TEXTS):
+            part = texts.slice(start, TEXTS)
             per_text = part.flatten()
-            rows = np.repeat(np.arange(len(per_text)), list_lengths(per_text))
-            slots = rows * dims + per_text.flatten().to_numpy(zero_copy_only=False)
+            rows, buckets = entries(per_text)
+            slots = rows * dims + buckets
             counts = np.bincount(slots, minlength=len(per_text) * dims).reshape(-1, dims)
             edges = np.cumsum(list_lengths(part))[:-1]
             numbers += [_cuts(c, percentile, buffer) for c in np.split(counts, edges)]
@@ -155,8 +160,8 @@ def semantic_chunks(
     document is one row from the scan to its chunks, so nothing is shuffled.
     """
     split = docs.select(key, sentences(F.col(text)).alias("sentences"))
-    buckets = F.transform("sentences", lambda s: token_buckets(words(s), dims, hashing))
-    numbered = split.select(key, "sentences", chunk_numbers(dims, percentile, buffer)(buckets).alias("numbers"))
+    seen = F.col("sentences") if hashing == "md5" else F.transform("sentences", lambda s: token_buckets(words(s), dims, hashing))
+    numbered = split.select(key, "sentences", chunk_numbers(dims, percentile, buffer, hashing)(seen).alias("numbers"))
 
     def chunk(n):
         length = F.size(F.filter("numbers", lambda x: x == n))

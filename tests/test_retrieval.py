@@ -5,9 +5,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from gleaner.functions import vectors
+from gleaner.functions.text import words
 from gleaner.operators import blocks, catalog, dense, fusion, lexical
 from gleaner.operators.matching import containment
 
@@ -276,3 +279,19 @@ def test_registered_retrievers_run_in_a_sweep(frames):
     catalog.register("mine", lambda c, q, k: lexical.bm25(lexical.build_index(c), q, k))
     hits = catalog.run_registered(["mine"], corpus, queries, k=2)
     assert {r.retriever_type for r in hits.select("retriever_type").distinct().collect()} == {"mine"}
+
+
+def test_md5_vectors_hash_each_different_word_once(spark, monkeypatch):
+    """The buckets are those of the column expression, and md5 is not taken of every word of every text."""
+    texts = ["one two two three", None, "", " \t one\n\r", "a\x0bb one", "é ü one", " "]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    embedded = dense.embed(rows, hashing="md5")
+    assert "md5" not in embedded._jdf.queryExecution().optimizedPlan().toString()
+    want = rows.select("doc_id", vectors.count_vectors(64)(vectors.token_buckets(words(F.col("text")), 64, "md5")).alias("vector"))
+    assert sorted(embedded.select("doc_id", "vector").collect()) == sorted(want.collect())
+
+    asked = []
+    real = vectors.hashlib.md5
+    monkeypatch.setattr(vectors.hashlib, "md5", lambda word: asked.append(word) or real(word))
+    held, buckets = vectors.md5_buckets(pa.array(["x y x", "y  x"]), 64)
+    assert sorted(w for w in asked if w) == [b"x", b"y"] and held.tolist() == [0, 0, 0, 1, 1] and len(buckets) == 5
