@@ -220,3 +220,30 @@ def test_trade_is_numbered_in_the_order_of_ids(spark, tmp_path):
     assert {(r.src, r.dst) for r in edges.collect()} == {(2, 4), (0, 4), (0, 2), (3, 5), (1, 5), (1, 3), (4, 4), (None, None)}
     found = {r.id: r.community for r in communities(Tables(spark, str(tmp_path))).collect()}
     assert found == {v: "customer:1" if v in ("customer:1", "part:10", "supplier:1") else "customer:2" for v in known}
+
+
+def _stored(monkeypatch):
+    """What the graph operators store from here on, by name."""
+    seen, real = [], graph.materialise
+
+    def spy(df, name):
+        seen.append((name, real(df, name)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(graph, "materialise", spy)
+    return seen
+
+
+def test_components_of_a_chain_store_a_few_times_its_length(spark, monkeypatch):
+    n = 512
+    seen = _stored(monkeypatch)
+    vertices = spark.createDataFrame([(i,) for i in range(n)], "id long")
+    chain = spark.createDataFrame([(i, i + 1) for i in range(n - 1)], "src long, dst long")
+    assert {tuple(r) for r in graph.connected_components(vertices, chain).collect()} == {(i, 0) for i in range(n)}
+    assert sum(stored.count() for _, stored in seen) < 10 * n
+
+
+def test_repeated_vertices_stay_as_they_are_and_others_link_nothing(spark):
+    vertices = spark.createDataFrame([(1,), (1,), (2,), (3,), (5,), (None,)], "id long")
+    edges = spark.createDataFrame([(2, 1), (1, 2), (3, 4), (4, 5), (5, 5), (None, 3)], "src long, dst long")
+    assert sorted(tuple(r) for r in graph.connected_components(vertices, edges).collect()) == [(1, 1), (1, 1), (2, 1), (3, 3), (5, 5)]
