@@ -5,8 +5,11 @@ import random
 from collections import Counter, defaultdict, deque
 
 import pytest
+from pyspark.sql import functions as F
 
 from gleaner.operators import graph, testset
+from gleaner.plans import graphs
+from gleaner.plans.registry import Tables
 
 
 @pytest.fixture(scope="module")
@@ -247,3 +250,36 @@ def test_repeated_vertices_stay_as_they_are_and_others_link_nothing(spark):
     vertices = spark.createDataFrame([(1,), (1,), (2,), (3,), (5,), (None,)], "id long")
     edges = spark.createDataFrame([(2, 1), (1, 2), (3, 4), (4, 5), (5, 5), (None, 3)], "src long, dst long")
     assert sorted(tuple(r) for r in graph.connected_components(vertices, edges).collect()) == [(1, 1), (1, 1), (2, 1), (3, 3), (5, 5)]
+
+
+def test_betweenness_moves_neighbours_as_lists(spark, frames, monkeypatch):
+    seen = _stored(monkeypatch)
+    vertices, edges = frames
+    graph.betweenness(vertices, edges, vertices.orderBy("id").limit(2))
+    assert [stored.columns for name, stored in seen if name == "links"] == [["src", "piece", "dsts"]]
+
+
+def test_vertex_numbers_stand_for_the_ids_of_the_graph(spark, tmp_path):
+    tables = {
+        "region": ([(0, "r")], "r_regionkey int, r_name string"), "nation": ([(7, "n", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(1, "c", "m", 7), (2, "c", "m", None)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey int"),
+        "supplier": ([(12, "s", 7)], "s_suppkey long, s_name string, s_nationkey int"),
+        "part": ([(3, "p", 1, "t", "b")], "p_partkey long, p_name string, p_size int, p_type string, p_brand string"),
+        "lineitem": ([(1, i, p, s, "A", "F") for i, (p, s) in enumerate([(3, 12), (3, 12), (9, 12), (None, 12), (None, None)])],
+                     "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, l_linestatus string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    t = Tables(spark, str(tmp_path))
+    (numbers, pairs), (ids, edges) = graphs.coded(t), graphs.simple(t)
+    assert dict(numbers.dtypes + pairs.dtypes) == {"id": "bigint", "src": "bigint", "dst": "bigint"}
+    assert Counter(r[0] for r in numbers.select(graphs._name(F.col("id"))).collect()) == Counter(r[0] for r in ids.collect())
+    ends = lambda rows: Counter(frozenset(r) for r in rows.collect())
+    assert ends(pairs.select(graphs._name(F.col("src")).alias("a"), graphs._name(F.col("dst")).alias("b"))) == ends(edges)
+
+
+def test_equal_components_are_told_apart_by_name(spark):
+    vertices = spark.createDataFrame([(i,) for i in (2, 3, 10, 11)], "id long")
+    edges = spark.createDataFrame([(2, 3), (10, 11)], "src long, dst long")
+    members, _ = graph.largest_component(vertices, edges, lambda id_: id_.cast("string"))
+    assert sorted(r.id for r in members.collect()) == [10, 11]
