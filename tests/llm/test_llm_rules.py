@@ -147,6 +147,52 @@ def test_cells_are_counted_as_dataframe_functions_count_them(spark, monkeypatch)
         assert plan.count("Exchange") == 1  # that of the test's own repartition
 
 
+def test_the_registered_form_runs_no_python_and_equals_the_arrow_form(spark, monkeypatch):
+    odd = ["\u00e9t\u00e9 \U0001f600\U0001f600! x_y 12\u00b2 \u4e2d\u6587", None, "", " \n", "a", "don't stop!! " * 50, "don't stop!! " * 50]
+    texts = [f"some words of text {i % 7}, and {i} " * (1 + i % 9) for i in range(200)] + odd
+    docs = spark.createDataFrame([*enumerate(texts), (None, "some words"), (3, "some words"), (3, "some words")], "doc_id long, text string").repartition(3)
+    trusted = docs.select("doc_id").filter("doc_id % 3 = 0")
+    monkeypatch.setattr(quality_rules, "SAMPLE", 1.0)
+    key = lambda r: (r[0] is None, *r)
+    for buckets, share, keys in ((1 << 16, 1, 1 << 20), (100_003, 1024, 2), (100_003, 100_000, 1 << 20)):
+        monkeypatch.setattr(quality_rules, "SHARE", share)
+        monkeypatch.setattr(quality_rules, "LISTS_IN_MEMORY", (quality_rules.LISTS_IN_MEMORY[0], keys))
+        before = spark.conf.get(quality_rules.LISTS_IN_MEMORY[0])
+        found = quality_rules.scores(docs, trusted, buckets)
+        assert spark.conf.get(quality_rules.LISTS_IN_MEMORY[0]) == before
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Arrow" not in plan and "Python" not in plan
+        want = quality_rules.scores(docs, trusted, buckets, arrow=True).select(found.columns)
+        assert sorted(map(tuple, found.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+def test_frequent_cells_are_counted_and_others_listed(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "the " * 30 + f"w{i} of{i}") for i in range(60)] + [(None, None)], "doc_id long, text string").repartition(4)
+    trusted = docs.select("doc_id").filter("doc_id < 20")
+    monkeypatch.setattr(quality_rules, "SAMPLE", 1.0)
+    buckets = 1 << 17
+    plain = quality_rules.ngram_rows(docs, trusted, buckets).groupBy("cell").agg(F.count("*").alias("raw"), F.sum("target").alias("target"))
+    want = {tuple(r) for r in plain.collect()}
+    for share, alone in ((1, 2), (100_000, 2), (0.0001, 0)):  # "the" and "the the" have nearly all, until a cell must have more than there are
+        monkeypatch.setattr(quality_rules, "SHARE", share)
+        frequent = quality_rules.frequent_cells(docs, buckets)
+        listed = quality_rules.listed_cells(quality_rules.ngram_rows(docs, trusted, buckets), frequent)
+        rows = listed.collect()
+        assert sum(r["key"] < 0 for r in rows) == frequent.count() and (frequent.count() >= alone if alone else frequent.count() == 0)
+        assert all(not r["places"] for r in rows if r["key"] < 0)
+        assert {r["cell"]: (r["raw"], r["target"]) for r in quality_rules.tally_of_lists(listed).collect()} == {c: (n, t) for c, n, t in want}
+        plan = quality_rules.tally_of_lists(listed)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_lists_of_weights_have_gaps_filled(spark):
+    wide = quality_rules.LIST
+    rows = [(3, 1, -7), (0, 2, 5), (wide - 1, 1, 9), (wide, 4, -32000), (5 * wide + 2, 1, 1)]
+    found = {r["piece"]: r["weights"] for r in quality_rules.weight_lists(spark.createDataFrame(rows, "cell long, raw long, weight int")).collect()}
+    assert set(found) == {0, 1, 5} and found[1] == [-32000] and found[5] == [0, 0, 1]
+    assert found[0] == [5, 0, 0, -7] + [0] * (wide - 5) + [9]
+
+
 def test_pieces_hold_any_counts():
     cells = np.array([5, 5, 5, 70_000, 70_001, 131_071, 5, 400_000], np.int64)
     target = np.array([1, 0, 1, 0, 1, 1, 0, 0], np.int64)
