@@ -41,6 +41,19 @@ def test_counts_equal_brute_force(spark):
         assert tuple(row[n] for n in names) == plain_counts(TEXTS[row.doc_id]), TEXTS[row.doc_id]
 
 
+def test_halves_of_windows_may_repeat_where_no_window_does(spark):
+    texts = [
+        "a b c d e f g h 1 a b c d 2 e f g h", "a b c d " * 2, "a b c d " * 3, "\x0b a\tb  c\r\nd\n\ne f g h\x0ca b c d e f g h \n", "a\u00a0b\u3000c \x1c d",
+        " ".join(f"w{i % 7}" for i in range(40)), " ".join(f"w{i}" for i in range(7)), " ".join(f"w{i % 9 if i < 20 else i}" for i in range(60)), "a a a a a a a a", "a a a a a a a a a",
+    ]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "")], "doc_id long, text string")
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    found = quality_rules.counts(docs)
+    assert not [c for c in found.columns if c.startswith("_")] and found.count() == len(texts) + 1
+    for row in found.filter("doc_id IS NOT NULL").collect():
+        assert tuple(row[n] for n in names) == plain_counts(texts[row.doc_id]), texts[row.doc_id]
+
+
 def test_likelihood_ratio_equals_brute_force(spark):
     texts = ["the cat sat on the mat %%% !!"] * 3 + ["THE!! CAT!! 12 é_x ???", None, "", "a"]
     docs = spark.createDataFrame([(i, t, 0.5) for i, t in enumerate(texts)], "doc_id long, text string, llr double")
