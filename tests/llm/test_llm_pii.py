@@ -106,6 +106,69 @@ def test_windows_without_digits_add_nothing(model):
     assert pii.added_spans(model, texts, base) == pii.added_spans(model, texts, base, every=True)
 
 
+def test_every_window_is_decoded(model, monkeypatch):
+    seen = []
+
+    def paths(tagger, x, mask):
+        seen.extend("".join(map(chr, row[on > 0])) for row, on in zip(x, mask, strict=True))
+        return np.zeros(x.shape, np.int64), np.zeros(x.shape, np.float32)
+
+    monkeypatch.setattr(pii, "best_paths", paths)
+    texts = ["only words " * 30 + "and an end", "", "short", "a number 7 " * 9]
+    assert pii.added_spans(model, texts, [[]] * len(texts)) == [[]] * len(texts)
+    starts = [[*range(0, max(0, len(t) - pii.WINDOW), pii.STEP), max(0, len(t) - pii.WINDOW)] for t in texts if t]
+    assert seen == [t[s : s + pii.WINDOW] for t, own in zip(filter(None, texts), starts, strict=True) for s in own]
+
+
+def test_an_address_in_words_is_added(model, monkeypatch):
+    text = "words before it, then anna at example.org and more words " + "that go on and on " * 5
+    start, end = text.index("anna"), text.index(" and more")
+
+    def paths(tagger, x, mask):
+        tags = np.zeros(x.shape, np.int64)
+        tags[0, start:end], tags[0, start] = 2, 1
+        return tags, np.zeros(x.shape, np.float32)
+
+    monkeypatch.setattr(pii, "best_paths", paths)
+    assert pii.added_spans(model, [text], [[]]) == [[(0, start, end)]]
+
+
+def test_windows_of_words_are_learnt_from(spark):
+    docs = spark.createDataFrame([(1, "nothing but words in this text, " * 8)], "doc_id long, text string")
+    windows = pii.labelled_windows(docs)
+    assert len(windows) == 6 and all(spans == [] for _, spans in windows)
+
+
+def test_best_paths_of_many_windows_equal_plain_decoding():
+    rng = np.random.default_rng(6)
+    tagger = pii.Tagger.new()
+    for w in tagger.parameters():
+        w += rng.standard_normal(w.shape).astype(np.float32) * 0.4
+    tagger.bo[0] += 2.5  # some rows stay outside
+    x, mask = pii.packed(["".join(chr(c) for c in rng.integers(32, 127, size)) for size in [80] * 60 + [*range(1, 80, 3)]])
+    scores, _ = pii.emissions(tagger, x, mask)
+    assert np.allclose(pii.tag_scores(tagger, x, mask).transpose(0, 2, 1), scores, atol=1e-4)
+    tags, sure = pii.best_paths(tagger, x, mask)
+    forward, ahead, total = pii.sums(tagger, scores, mask)
+    outside = 0
+    for row, length in enumerate(mask.sum(axis=1).astype(int)):
+        best, back = scores[0, row], []
+        for t in range(1, length):
+            step = best[:, None] + tagger.moves
+            back.append(step.argmax(axis=0))
+            best = step.max(axis=0) + scores[t, row]
+        path = [int(best.argmax())]
+        for places in back[::-1]:
+            path.append(int(places[path[-1]]))
+        path = path[::-1]
+        assert tags[row, :length].tolist() == path
+        outside += not any(path)
+        if any(path):
+            want = [(forward + ahead)[t, row, k] - total[row] for t, k in enumerate(path)]
+            assert np.allclose(sure[row, :length], want, atol=1e-3)
+    assert 0 < outside < len(x)
+
+
 def test_reconciling():
     join = [(0, 10, 40, -0.1, True), (0, 30, 60, -0.1, True)]
     assert pii.reconciled(join) == [(0, 10, 60)]
