@@ -99,6 +99,27 @@ def test_clustering(data, frames):
         assert row.coefficient == pytest.approx(2 * closed / (size * (size - 1)) if size > 1 else 0.0)
 
 
+def test_lists_are_sent_to_ends_with_a_list_and_only_what_comes_after(spark):
+    pairs = [(0, 1), (0, 2), (0, 3), (0, 9), (1, 2), (1, 9), (2, 9), (3, 9)]
+    directed = spark.createDataFrame(pairs, "a int, b int")
+    onward = directed.groupBy("a").agg(F.collect_list("b").alias("onward"))
+    sent = {(r.a, r.b): sorted(r.after) for r in graph._tails(directed, onward).collect()}
+    assert sent == {(0, 1): [2, 3, 9], (0, 2): [3, 9], (0, 3): [9], (1, 2): [9]}
+
+
+def test_trade_in_codes_is_the_same_graph(spark, tmp_path):
+    lines = [(1, 10, 1), (2, 9, 2), (3, None, 1), (4, None, None), (9, 7, 7), (1, 10, 1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 1), (2, 2), (3, None), (4, None)], "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    names, vertices, edges = graphs.trade(Tables(spark, str(tmp_path)))
+    of = {r.n: r.id for r in names.collect()} | {None: None}
+    coded, pairs = graphs.coded_trade(Tables(spark, str(tmp_path)))
+    named = [r.id for r in coded.select(graphs._name(F.col("id")).alias("id")).collect()]
+    assert sorted(named, key=str) == sorted((of[r.id] for r in vertices.collect()), key=str)
+    ends = {frozenset(r) for r in pairs.select(graphs._name(F.col("src")), graphs._name(F.col("dst"))).collect()}
+    assert ends == {frozenset((of[r.src], of[r.dst])) for r in edges.collect()}
+
+
 def test_communities(data, frames):
     ids, pairs = data
     near, labels = neighbours(pairs), {v: v for v in ids}
