@@ -133,6 +133,15 @@ def test_communities(data, frames):
     assert {r.converged for r in rows} == {labels == states[-1]}
 
 
+def test_communities_move_numbers_as_labels(spark, frames, monkeypatch):
+    stored = _stored(monkeypatch)
+    labels = {(r.id, r.community) for r in graph.communities(*frames).collect()}
+    rounds = [frame for name, frame in stored if name == "community"]
+    assert rounds and all(dict(frame.dtypes)["community"] == "bigint" for frame in rounds)
+    monkeypatch.setattr(graph, "PACKED_BITS", 0)  # the votes and the label of a larger graph
+    assert {(r.id, r.community) for r in graph.communities(*frames).collect()} == labels
+
+
 def test_communities_of_a_cycle_of_states(spark):
     """A double star swaps its labels for ever: the first state of the cycle comes back, flagged."""
     pairs = [(a, b) for a in ("a", "b") for b in ("x", "y", "z")]
